@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaywright.operators.skew import ROWS_PER_TASK
-from delaywright.runtime import cut_lineage, spool
+from delaywright.runtime import cut_lineage
 
 
 def edges_from(df: DataFrame, src: Column, dst: Column, weight: Column | None = None) -> DataFrame:
@@ -128,59 +128,75 @@ def adjacency_list(edges: DataFrame, per_record: int = 100_000) -> DataFrame:
 
 
 @dataclass
-class _Prepared:
+class _Links:
+    """Edges with transition probabilities, laid out for repeated joins with their sources."""
+
     edges: DataFrame  # src, salt, dst, weight, p
-    nodes: DataFrame  # id, slices (0 for dangling nodes)
+    heavy: DataFrame | None  # id, slices of the sources that are spread over several salts
 
 
-def _prepare(edges: DataFrame, edges_per_task: int, weighted: bool = True) -> _Prepared:
-    """Attach transition probabilities and salts to the edges, and salt counts to the nodes."""
+def _prepare(edges: DataFrame, edges_per_task: int, weighted: bool = True) -> _Links:
     base = edges if weighted else edges.withColumn("weight", F.lit(1).cast("bigint"))
-    degree = base.groupBy(F.col("src").alias("id")).agg(
-        F.sum("weight").alias("degree"), F.count(F.lit(1)).alias("links")
-    )
-    sliced = degree.withColumn("slices", F.ceil(F.col("links") / edges_per_task).cast("int"))
-    # Sources with more than one slice: at most edges / edges_per_task rows.
-    heavy = sliced.filter(F.col("slices") > 1).select(
-        F.col("id").alias("_heavy"), F.col("slices").alias("_slices")
-    )
-    salted = base.join(F.broadcast(heavy), base["src"] == heavy["_heavy"], "left").select(
-        "src",
-        F.coalesce(F.pmod(F.xxhash64("dst"), F.col("_slices")), F.lit(0)).cast("int").alias("salt"),
-        "dst",
-        "weight",
+    degree = cut_lineage(
+        base.groupBy(F.col("src").alias("id")).agg(
+            F.sum("weight").alias("degree"), F.count(F.lit(1)).alias("links")
+        )
     )
+    slices = F.ceil(F.col("links") / edges_per_task).cast("int")
+    sliced = degree.select("id", "degree", slices.alias("slices"))
+    # never more than edges / edges_per_task rows, so it can be broadcast
+    heavy = sliced.filter(F.col("slices") > 1).select("id", "slices")
+    if heavy.isEmpty():
+        joined = base.join(sliced, base["src"] == sliced["id"]).select(
+            "src", F.lit(0).alias("salt"), "dst", "weight", (F.col("weight") / F.col("degree")).alias("p")
+        )
+        return _Links(joined, None)
+    salted = _salted(base, heavy, "src", F.pmod(F.xxhash64("dst"), F.col("_slices")))
     repeated = sliced.select(
         F.col("id").alias("_id"),
         "degree",
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("_salt"),
     )
-    with_p = salted.join(
-        repeated, (salted["src"] == repeated["_id"]) & (salted["salt"] == repeated["_salt"])
-    ).select("src", "salt", "dst", "weight", (F.col("weight") / F.col("degree")).alias("p"))
-    nodes = (
-        nodes_of(edges)
-        .join(sliced.select("id", "slices"), "id", "left")
-        .select("id", F.coalesce("slices", F.lit(0)).alias("slices"))
+    match = (salted["src"] == repeated["_id"]) & (salted["salt"] == repeated["_salt"])
+    joined = salted.join(repeated, match).select(
+        "src", "salt", "dst", "weight", (F.col("weight") / F.col("degree")).alias("p")
     )
-    return _Prepared(with_p, nodes)
+    return _Links(joined, heavy)
+
 
+def _salted(df: DataFrame, heavy: DataFrame, key: str, pick: Column) -> DataFrame:
+    """Add ``salt``: ``pick`` on the rows of a heavy key, 0 elsewhere."""
+    known = heavy.select(F.col("id").alias("_heavy"), F.col("slices").alias("_slices"))
+    marked = df.join(F.broadcast(known), df[key] == known["_heavy"], "left")
+    salt = F.coalesce(pick, F.lit(0)).cast("int").alias("salt")
+    return marked.select(*[df[c] for c in df.columns], salt)
 
-def _flow(prepared: _Prepared, ranks: DataFrame) -> DataFrame:
-    """Mass that arrives at each node in one step: ``(id, inflow)``.
 
-    ``ranks`` is ``(id, slices, rank)``. Dangling nodes have no slices and send nothing.
+def _step(links: _Links, state: DataFrame, factor: float = 1.0) -> DataFrame:
+    """One walk step: ``factor`` times the value that arrives at each node, ``(id, value)``.
+
+    Nodes that receive nothing are left out. The state is shuffled to the edges, the partial sums
+    are shuffled to their destinations; the edges stay where they are.
     """
-    senders = ranks.filter(F.col("slices") > 0).select(
-        F.col("id").alias("_id"),
-        "rank",
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("_salt"),
-    )
-    links = prepared.edges
-    sent = links.join(
-        senders, (links["src"] == senders["_id"]) & (links["salt"] == senders["_salt"])
-    )
-    return sent.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("p")).alias("inflow"))
+    senders = state.select(F.col("id").alias("_id"), "value")
+    match = links.edges["src"] == senders["_id"]
+    if links.heavy is not None:
+        known = links.heavy.select(F.col("id").alias("_heavy"), "slices")
+        copies = F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)
+        senders = senders.join(F.broadcast(known), senders["_id"] == known["_heavy"], "left").select(
+            "_id", "value", F.explode(copies).alias("_salt")
+        )
+        match = (links.edges["src"] == senders["_id"]) & (links.edges["salt"] == senders["_salt"])
+    sent = F.sum(F.col("value") * F.col("p")) * F.lit(factor)
+    return links.edges.join(senders, match).groupBy(F.col("dst").alias("id")).agg(sent.alias("value"))
+
+
+def _place(links: _Links) -> _Links:
+    """Partition the edges by their source (and salt) and keep them for the iterations."""
+    partitions = int(links.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["src"] if links.heavy is None else ["src", "salt"]
+    placed = links.edges.select("src", "salt", "dst", "p").repartition(partitions, *keys)
+    return _Links(placed.persist(StorageLevel.MEMORY_AND_DISK), links.heavy)
 
 
 def pagerank(
@@ -198,40 +214,47 @@ def pagerank(
     nodes before the step. Multiplicity counts through ``weight`` unless ``weighted`` is off;
     ``normalise=False`` scales the result by N, as graph libraries report it.
 
-    The salted edges are kept between the iterations. Ranks are written to the checkpoint folder
-    every ``cut_every`` steps, which bounds the lineage and survives a lost executor. Only the
-    node count and the dangling mass (two numbers) reach the driver.
+    Teleportation and dangling mass add the same amount to every node, and a step is linear. So
+    the rank after T steps is ``sum_k c_k * v_k`` with ``v_0 = 1`` and ``v_k`` the k-step walk of
+    ``v_0``. The walks need no global figure between the steps; the coefficients follow at the
+    end from the dangling sums of all ``v_k``, which is one aggregate row. Lineage is cut every
+    ``cut_every`` steps by a checkpoint in the shared folder.
     """
-    prepared = _prepare(edges, edges_per_task, weighted)
-    partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = prepared.edges.select("src", "salt", "dst", "p").repartition(partitions, "src", "salt")
-    links = links.persist(StorageLevel.MEMORY_AND_DISK)
-    prepared = _Prepared(links, prepared.nodes)
-    nodes = cut_lineage(prepared.nodes)
-    n = nodes.count()
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n))
-    held: list[DataFrame] = []
-    for step in range(1, iterations + 1):
-        # this sum also fills the cache of the previous step
-        mass = ranks.filter(F.col("slices") == 0).agg(F.sum("rank")).first()[0] or 0.0
-        while len(held) > 1:
-            held.pop(0).unpersist()
-        base = alpha / n + (1 - alpha) * mass / n
-        ranks = nodes.join(_flow(prepared, ranks), "id", "left").select(
-            "id",
-            "slices",
-            (F.lit(base) + F.lit(1 - alpha) * F.coalesce("inflow", F.lit(0.0))).alias("rank"),
+    links = _place(_prepare(edges, edges_per_task, weighted))
+    flags = _nodes_with_links(edges)
+    walks = [cut_lineage(flags.select("id", "has_links", F.lit(1.0).alias("value")))]
+    for k in range(1, iterations + 1):
+        walk = _step(links, walks[-1], 1 - alpha)
+        cut = k % cut_every == 0 and k < iterations
+        walks.append(cut_lineage(walk) if cut else walk.persist(StorageLevel.MEMORY_AND_DISK))
+
+    tagged = walks[0].select("id", "has_links", F.lit(0).alias("k"), "value")
+    for k, walk in enumerate(walks[1:], start=1):
+        part = walk.select("id", F.lit(None).cast("boolean").alias("has_links"), F.lit(k).alias("k"), "value")
+        tagged = tagged.unionByName(part)
+    table = cut_lineage(
+        tagged.groupBy("id").agg(
+            F.max("has_links").alias("has_links"),
+            *[F.sum(F.when(F.col("k") == k, F.col("value")).otherwise(0.0)).alias(f"v{k}") for k in range(iterations + 1)],
         )
-        if step == iterations or step % cut_every == 0:
-            ranks = cut_lineage(ranks)
-        else:
-            ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(ranks)
-    for frame in held:
-        frame.unpersist()
-    links.unpersist()
-    scale = 1.0 if normalise else float(n)
-    return ranks.select("id", (F.col("rank") * scale).alias("pagerank"))
+    )
+    for walk in walks[1:]:
+        walk.unpersist()
+    links.edges.unpersist()
+
+    sums = table.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.when(~F.col("has_links"), F.col(f"v{k}"))).alias(f"v{k}") for k in range(iterations + 1)],
+    ).first()
+    n = sums["n"]
+    coefficients = [1.0 / n if n else 0.0]
+    for _ in range(iterations):
+        mass = sum(c * (sums[f"v{k}"] or 0.0) for k, c in enumerate(coefficients))
+        coefficients = [(alpha + (1 - alpha) * mass) / n if n else 0.0, *coefficients]
+    rank = F.lit(0.0)
+    for k, c in enumerate(coefficients):
+        rank = rank + F.col(f"v{k}") * F.lit(c)
+    return table.select("id", (rank * F.lit(1.0 if normalise else float(n))).alias("pagerank"))
 
 
 def total_mass(ranks: DataFrame) -> DataFrame:
@@ -251,20 +274,18 @@ def steady_state(edges: DataFrame, steps: int, start=None, cut_every: int = 8) -
     Starts on ``start`` (or spread evenly). Without dangling nodes the state stays a probability
     distribution; with them, mass leaks, which is what the damped form repairs.
     """
-    prepared = _prepare(edges, ROWS_PER_TASK)
-    links = spool(prepared.edges, "transitions")
-    nodes = cut_lineage(prepared.nodes)
-    prepared = _Prepared(links, nodes)
+    links = _place(_prepare(edges, ROWS_PER_TASK))
+    nodes = cut_lineage(nodes_of(edges))
     first = F.lit(1.0 / nodes.count()) if start is None else (F.col("id") == F.lit(start)).cast("double")
-    state = nodes.withColumn("rank", first)
-    for step in range(steps):
-        arrived = _flow(prepared, state)
-        state = nodes.join(arrived, "id", "left").select(
-            "id", "slices", F.coalesce("inflow", F.lit(0.0)).alias("rank")
-        )
-        if (step + 1) % cut_every == 0:
+    state = nodes.select("id", first.alias("value"))
+    for step in range(1, steps + 1):
+        state = _step(links, state)
+        if step % cut_every == 0 or step == steps:
             state = cut_lineage(state)
-    return state.select("id", F.col("rank").alias("probability"))
+    links.edges.unpersist()
+    return nodes.join(state, "id", "left").select(
+        "id", F.coalesce("value", F.lit(0.0)).alias("probability")
+    )
 
 
 def ranks_with_links(edges: DataFrame, ranks: DataFrame, rank: str = "rank") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from delaywright.operators.selection import non_null_counts
 from delaywright.operators.skew import ROWS_PER_TASK, attach
+from delaywright.runtime import spool
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4_096
@@ -27,10 +28,11 @@ def prefix_sums(
 ) -> DataFrame:
     """Add ``before_<measure>``: its total over all smaller values of ``value``.
 
-    ``table`` has one row per distinct non-null numeric ``value``.
+    ``table`` has one row per distinct non-null numeric ``value``. It is written to the shared
+    folder once, because the ranges, their totals and the final join all read it.
     """
-    rows = table.count()
-    ranges = min(MAX_RANGES, max(1, math.ceil(rows / rows_per_range)))
+    table = spool(table, "frequencies")
+    ranges = min(MAX_RANGES, max(1, math.ceil(table.count() / rows_per_range)))
     ranged = _with_range(table, value, ranges)
     earlier = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     inside = ranged.select(
@@ -69,9 +71,16 @@ def average_ranks(df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RAN
 
 
 def _attach_centred_rank(
-    rows: DataFrame, column: str, total: int, distinct: int, rows_per_task: int, rows_per_range: int
+    rows: DataFrame,
+    source: DataFrame,
+    column: str,
+    total: int,
+    distinct: int,
+    rows_per_task: int,
+    rows_per_range: int,
 ) -> DataFrame:
-    ranks = average_ranks(rows, column, rows_per_range).select(
+    """Join the centred ranks of ``column``, computed on ``source``, to ``rows``."""
+    ranks = average_ranks(source, column, rows_per_range).select(
         F.col(column).alias("_value"), "n", (F.col("rank") - (total + 1) / 2.0).alias(f"_rank_{column}")
     )
     if distinct <= BROADCAST_VALUES:
@@ -117,15 +126,15 @@ def spearman_pairs(
     if shared:
         ranked = rows.select(*complete)
         for c in complete:
-            ranked = _attach_centred_rank(ranked, c, total, distinct[c], rows_per_task, rows_per_range)
+            ranked = _attach_centred_rank(ranked, rows, c, total, distinct[c], rows_per_task, rows_per_range)
         parts.append(_pairs_to_rows(ranked, shared))
     for a, b in pairs:
         if (a, b) in shared:
             continue
-        both = rows.select(a, b).dropna()
-        n = both.count()
+        present = rows.select(a, b).dropna()
+        n, both = present.count(), present
         for c in (a, b):
-            both = _attach_centred_rank(both, c, n, distinct[c], rows_per_task, rows_per_range)
+            both = _attach_centred_rank(both, present, c, n, distinct[c], rows_per_task, rows_per_range)
         parts.append(_pairs_to_rows(both, [(a, b)]))
     if not parts:
         return spark.createDataFrame([], "col_a string, col_b string, rho double")

@@ -80,7 +80,7 @@ def residual_stddev(spark, sf_dir):
 
 @query(
     "interval_classify",
-    f"""WITH {_intervals_sql(TRAIN_SIGMA)} SELECT flight_id, round(prediction, 6) AS prediction,
+    f"""WITH {_intervals_sql(TRAIN_SIGMA)} SELECT flight_id, round(prediction, 9) AS prediction,
       round(lower_bound, 6) AS lower_bound, round(upper_bound, 6) AS upper_bound, predicted_delayed,
       predicted_interval_delayed, predicted_interval_delayed_binary,
       CASE WHEN predicted_interval_delayed = 2 THEN 'uncertain' ELSE 'high' END AS prediction_confidence
@@ -89,7 +89,7 @@ def residual_stddev(spark, sf_dir):
 def interval_classify(spark, sf_dir):
     return _intervals(spark, sf_dir).select(
         "flight_id",
-        rounded("prediction").alias("prediction"),
+        rounded("prediction", 9).alias("prediction"),
         rounded("lower_bound").alias("lower_bound"),
         rounded("upper_bound").alias("upper_bound"),
         "predicted_delayed",

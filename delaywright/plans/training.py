@@ -288,7 +288,7 @@ def cv_random(spark, sf_dir):
     (train_x,) = _prepared(TREE_SPEC, _late(train))
     width = ft.vector_width(train_x, "assembled_features")
     mlp = MultilayerPerceptronClassifier(
-        featuresCol="features", labelCol="sign_delay", layers=[width, 5, 4, 2], seed=1234, solver="gd"
+        featuresCol="features", labelCol="sign_delay", layers=[width, 5, 4, 2], seed=1234
     )
     grid = (
         ParamGridBuilder()
