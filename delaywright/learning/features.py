@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.base import Estimator, Transformer
 from pyspark.ml.feature import (
     MinMaxScaler,
@@ -79,3 +81,19 @@ def vector_names(df: DataFrame, column: str) -> list[str]:
 def vector_width(df: DataFrame, column: str) -> int:
     """Slots of a vector column, from its metadata."""
     return int(df.schema[column].metadata["ml_attr"]["num_attrs"])
+
+
+def cache_for_training(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
+    """Keep a training frame, with no more partitions than its rows need.
+
+    Iterative fits run one job per step, so a fold of a few thousand rows must not be spread over
+    hundreds of tiny partitions. Large frames keep their partitioning.
+    """
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    wanted = max(1, math.ceil(held.count() / rows_per_partition))
+    if wanted >= held.rdd.getNumPartitions():
+        return held
+    sized = held.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+    sized.count()
+    held.unpersist()
+    return sized

@@ -220,8 +220,9 @@ def pagerank(
     end from the dangling sums of all ``v_k``, which is one aggregate row. Lineage is cut every
     ``cut_every`` steps by a checkpoint in the shared folder.
     """
-    links = _place(_prepare(edges, edges_per_task, weighted))
-    flags = _nodes_with_links(edges)
+    held = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    links = _place(_prepare(held, edges_per_task, weighted))
+    flags = _nodes_with_links(held)
     walks = [cut_lineage(flags.select("id", "has_links", F.lit(1.0).alias("value")))]
     for k in range(1, iterations + 1):
         walk = _step(links, walks[-1], 1 - alpha)
@@ -238,9 +239,8 @@ def pagerank(
             *[F.sum(F.when(F.col("k") == k, F.col("value")).otherwise(0.0)).alias(f"v{k}") for k in range(iterations + 1)],
         )
     )
-    for walk in walks[1:]:
-        walk.unpersist()
-    links.edges.unpersist()
+    for frame in (*walks[1:], links.edges, held):
+        frame.unpersist()
 
     sums = table.agg(
         F.count(F.lit(1)).alias("n"),
@@ -274,15 +274,17 @@ def steady_state(edges: DataFrame, steps: int, start=None, cut_every: int = 8) -
     Starts on ``start`` (or spread evenly). Without dangling nodes the state stays a probability
     distribution; with them, mass leaks, which is what the damped form repairs.
     """
-    links = _place(_prepare(edges, ROWS_PER_TASK))
-    nodes = cut_lineage(nodes_of(edges))
+    held = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    links = _place(_prepare(held, ROWS_PER_TASK))
+    nodes = cut_lineage(nodes_of(held))
     first = F.lit(1.0 / nodes.count()) if start is None else (F.col("id") == F.lit(start)).cast("double")
     state = nodes.select("id", first.alias("value"))
     for step in range(1, steps + 1):
         state = _step(links, state)
         if step % cut_every == 0 or step == steps:
             state = cut_lineage(state)
-    links.edges.unpersist()
+    for frame in (links.edges, held):
+        frame.unpersist()
     return nodes.join(state, "id", "left").select(
         "id", F.coalesce("value", F.lit(0.0)).alias("probability")
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -20,6 +19,7 @@ from delaywright.learning import models, search
 from delaywright.operators import splitting, windows
 from delaywright.plans.registry import query
 from delaywright.plans.views import FLIGHTS, flights, rounded, sql_rounded, table
+from delaywright.runtime import scratch_path
 
 SPEC = ft.FeatureSpec(
     categorical=("carrier", "origin_text", "part_of_day"),
@@ -51,7 +51,7 @@ def model_rows(spark, sf_dir):
 
 def _split(spark, sf_dir):
     rows = model_rows(spark, sf_dir)
-    return splitting.split_train_val_test(rows, "fl_date", "flight_id").persist(StorageLevel.MEMORY_AND_DISK)
+    return ft.cache_for_training(splitting.split_train_val_test(rows, "fl_date", "flight_id"))
 
 
 def _train_test(spark, sf_dir):
@@ -223,7 +223,7 @@ def _linear(params, features="features"):
 
 @query("tune_grid_timefold")
 def tune_grid_timefold(spark, sf_dir):
-    rows = model_rows(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = ft.cache_for_training(model_rows(spark, sf_dir))
     folds = splitting.sliding_folds(splitting.total_rows(rows))
     predicates = splitting.fold_predicates(rows, "fl_date", "flight_id", folds)
     spec = ft.FeatureSpec(SPEC.categorical, SPEC.numeric, one_hot=False, scaler="standard")
@@ -235,7 +235,7 @@ def tune_grid_timefold(spark, sf_dir):
 def _prepared(spec, train, *frames):
     """Fit the feature stages once and cache the prepared rows that all trials share."""
     stages = Pipeline(stages=spec.stages()).fit(train)
-    return [stages.transform(f).persist(StorageLevel.MEMORY_AND_DISK) for f in (train, *frames)]
+    return [ft.cache_for_training(stages.transform(f)) for f in (train, *frames)]
 
 
 def _boosted_trial(train_x, test_x, trial):
@@ -258,7 +258,7 @@ def tune_random(spark, sf_dir):
     flagged = splitting.training_with_validation_flag(train)
     train_x, test_x = _prepared(TREE_SPEC, flagged, test)
     trials = search.draw_trials(search.BOOSTED_SPACE, 4, seed=11)
-    return search.run_rows(spark, search.run_trials(trials, partial(_boosted_trial, train_x, test_x)))
+    return search.run_rows(spark, search.run_trials(spark, trials, partial(_boosted_trial, train_x, test_x)))
 
 
 def _perceptron_trial(width, train_x, test_x, trial):
@@ -277,7 +277,7 @@ def tune_mlp(spark, sf_dir):
     train_x, test_x = _prepared(TREE_SPEC, _late(train), _late(test))
     width = ft.vector_width(train_x, "assembled_features")
     trials = search.draw_trials(search.PERCEPTRON_SPACE, 8, seed=11)
-    rows = search.run_trials(trials, partial(_perceptron_trial, width, train_x, test_x))
+    rows = search.run_trials(spark, trials, partial(_perceptron_trial, width, train_x, test_x))
     return search.run_rows(spark, rows)
 
 
@@ -309,9 +309,7 @@ def cv_random(spark, sf_dir):
 
 @query("run_log_rows")
 def run_log_rows(spark, sf_dir):
-    """Two fits recorded with parameters, metrics and importances, appended to one run table."""
-    from delaywright.runtime import scratch_path
-
+    """Two fits recorded with parameters, metrics and coefficients, appended to one run table."""
     train, test, _ = _train_test(spark, sf_dir)
     path = scratch_path(spark, "runs")
     flagged = splitting.training_with_validation_flag(train)
