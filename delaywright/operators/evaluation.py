@@ -98,7 +98,7 @@ def by_label_rates(df: DataFrame, predicted: str, actual: str) -> DataFrame:
         F.sum(F.when(~actual_side, F.col("n")).otherwise(0)).alias("predicted"),
         F.sum(F.when(actual_side & F.col("hit"), F.col("n")).otherwise(0)).alias("tp"),
     )
-    everything = Window.partitionBy(F.lit(0))  # one row per class
+    everything = Window.partitionBy()  # one row per class
     total = F.sum("support").over(everything)
     return counted.select(
         "label",

@@ -33,26 +33,31 @@ def prefix_sums(
     """
     table = spool(table, "frequencies")
     ranges = min(MAX_RANGES, max(1, math.ceil(table.count() / rows_per_range)))
+    inside = [F.coalesce(F.sum(m).over(_earlier(value, ranges)), F.lit(0)) for m in measures]
+    if ranges == 1:
+        return table.select("*", *[c.alias(f"before_{m}") for c, m in zip(inside, measures)])
     ranged = _with_range(table, value, ranges)
-    earlier = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    inside = ranged.select(
-        "*", *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_in_{m}") for m in measures]
-    )
+    local = ranged.select("*", *[c.alias(f"_in_{m}") for c, m in zip(inside, measures)])
     totals = ranged.groupBy(F.col("_range").alias("_r")).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     # at most MAX_RANGES rows: one task and a broadcast are fine
-    by_range = Window.partitionBy(F.lit(0)).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    by_range = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_r", *[F.coalesce(F.sum(f"_t_{m}").over(by_range), F.lit(0)).alias(f"_off_{m}") for m in measures]
     )
-    return inside.join(F.broadcast(offsets), inside["_range"] == offsets["_r"]).select(
-        *[inside[c] for c in table.columns],
+    return local.join(F.broadcast(offsets), local["_range"] == offsets["_r"]).select(
+        *[local[c] for c in table.columns],
         *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"before_{m}") for m in measures],
     )
 
 
+def _earlier(value: str, ranges: int):
+    """All smaller values; of the same range if there are several."""
+    window = Window.partitionBy("_range") if ranges > 1 else Window.partitionBy()
+    return window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _with_range(table: DataFrame, value: str, ranges: int) -> DataFrame:
-    if ranges == 1:
-        return table.withColumn("_range", F.lit(0.0))
+    """Number the value ranges; the cut points come from a quantile sketch of the table."""
     keyed = table.withColumn("_as_double", F.col(value).cast("double"))
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(keyed.approxQuantile("_as_double", probabilities, 0.25 / ranges)))
