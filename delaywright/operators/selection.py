@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FINISH_ROWS = 100_000
+FINISH_ROWS = 20_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -75,41 +75,51 @@ def non_null_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
     return df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
 
 
+def _grid_edges(target: _Target) -> tuple[float, float]:
+    """Probabilities around the target on a fixed grid, so that close ranks ask for the same."""
+    at = target.rank - target.below
+    step = SKETCH_ACCURACY // 2
+    low = math.floor(at / target.inside * step) - 1
+    high = math.ceil(at / target.inside * step) + 1
+    return max(0, low) / step, min(step, high) / step
+
+
 def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    margin = 2.0 / SKETCH_ACCURACY
+    groups: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault((t.column, t.low, t.high), []).append(t)
+    # one sketch per column and bracket, asked for all probabilities at once
+    asked = [sorted({p for t in members for p in _grid_edges(t)}) for members in groups.values()]
     sketches = []
-    for i, t in enumerate(targets):
-        p = (t.rank - t.below) / t.inside
-        around = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
-        picked = F.when(t.bracket(), F.col(t.column))
-        sketches.append(F.percentile_approx(picked, around, SKETCH_ACCURACY).alias(f"s{i}"))
+    for i, (members, probabilities) in enumerate(zip(groups.values(), asked)):
+        picked = F.when(members[0].bracket(), F.col(members[0].column))
+        wanted = F.array(*[F.lit(p) for p in probabilities])
+        sketches.append(F.percentile_approx(picked, wanted, SKETCH_ACCURACY).alias(f"s{i}"))
     proposal = df.agg(*sketches).first()
 
+    edges = [sorted(set(found)) for found in proposal]
     checks = []
-    for i, t in enumerate(targets):
-        col, inside = F.col(t.column), t.bracket()
-        for j, edge in enumerate(proposal[i]):
+    for i, members in enumerate(groups.values()):
+        col, inside = F.col(members[0].column), members[0].bracket()
+        for j, edge in enumerate(edges[i]):
             checks.append(F.count_if(inside & (col < F.lit(edge))).alias(f"l{i}_{j}"))
             checks.append(F.count_if(inside & (col == F.lit(edge))).alias(f"e{i}_{j}"))
     measured = df.agg(*checks).first()
 
-    for i, t in enumerate(targets):
-        edges = sorted(
-            {
-                (edge, t.below + measured[f"l{i}_{j}"], measured[f"e{i}_{j}"])
-                for j, edge in enumerate(proposal[i])
-            }
-        )
-        end = t.below + t.inside
-        for edge, before, equal in edges:
-            if before < t.rank <= before + equal:
-                t.settle(edge)
-                break
-            if t.rank <= before:
-                t.high, end = edge, before
-                break
-            t.low, t.below = edge, before + equal
-        t.inside = end - t.below
+    for i, members in enumerate(groups.values()):
+        for t in members:
+            start, end = t.below, t.below + t.inside
+            for j, edge in enumerate(edges[i]):
+                before = start + measured[f"l{i}_{j}"]
+                equal = measured[f"e{i}_{j}"]
+                if before < t.rank <= before + equal:
+                    t.settle(edge)
+                    break
+                if t.rank <= before:
+                    t.high, end = edge, before
+                    break
+                t.low, t.below = edge, before + equal
+            t.inside = end - t.below
 
 
 def _finish(df: DataFrame, targets: list[_Target]) -> None:

@@ -65,9 +65,15 @@ def chronological_cuts(df: DataFrame, date: str, row_id: str, positions: Sequenc
             i = bisect.bisect_left(ends, k)
             day_start = ends[i - 1] if i else 0
             open_days.setdefault(daily[i][0], []).append((k, k - day_start))
-    for day, wanted in open_days.items():
-        ids = order_statistics(df.filter(F.col(date) == F.lit(day)), [(row_id, r) for _, r in wanted])
-        for (k, _), last_id in zip(wanted, ids):
+    if open_days:
+        # ids of each boundary day side by side, so one pass serves all cuts
+        days = list(open_days)
+        ids = [F.when(F.col(date) == F.lit(day), F.col(row_id)).alias(f"_{i}") for i, day in enumerate(days)]
+        sizes = {f"_{i}": r["n"] for i, day in enumerate(days) for r in daily if r[0] == day}
+        wanted = [(f"_{i}", rank) for i, day in enumerate(days) for _, rank in open_days[day]]
+        found = order_statistics(df.filter(F.col(date).isin(days)).select(*ids), wanted, sizes)
+        targets = [(k, day) for day in days for k, _ in open_days[day]]
+        for (k, day), last_id in zip(targets, found):
             cuts[k] = Cut(k, day, last_id)
     return [cuts[k] for k in positions]
 
