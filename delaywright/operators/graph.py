@@ -192,10 +192,11 @@ def _step(links: _Links, state: DataFrame, factor: float = 1.0) -> DataFrame:
 
 
 def _place(links: _Links) -> _Links:
-    """Partition the edges by their source (and salt) and keep them for the iterations."""
+    """Partition and sort the edges by their source (and salt) once, for all iterations."""
     partitions = int(links.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["src"] if links.heavy is None else ["src", "salt"]
     placed = links.edges.select("src", "salt", "dst", "p").repartition(partitions, *keys)
+    placed = placed.sortWithinPartitions(*keys)
     return _Links(placed.persist(StorageLevel.MEMORY_AND_DISK), links.heavy)
 
 

@@ -122,6 +122,7 @@ class OrderedScan:
         hot, hot_rows = self._hot_keys(df)
         if not hot_rows:
             return self._plain(df, outputs)
+        hot = cut_lineage(hot)
         mark = same_keys(df, hot, self.keys, "_h_")
         cold = df.join(F.broadcast(hot), mark, "left_anti")
         heavy = df.join(F.broadcast(hot), mark, "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaywright.functions.expressions import safe_ratio
+from delaywright.operators.skew import ROWS_PER_TASK, attach
 
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "flights") -> DataFrame:
@@ -37,25 +38,20 @@ def ratio_by(df: DataFrame, keys: Sequence[str], flag: Column, name: str = "rati
     )
 
 
-def share_within(df: DataFrame, group: Sequence[str], category: Sequence[str]) -> DataFrame:
+def share_within(
+    df: DataFrame,
+    group: Sequence[str],
+    category: Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Count per (group, category) and its percentage of the group.
 
     Counts are aggregated first; the group totals are summed from the counts, not from the rows.
     """
     counts = df.groupBy(*group, *category).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy(*group).agg(F.sum("n").alias("total"))
-    left = counts.alias("c")
-    right = totals.alias("t")
-    match = None
-    for key in group:
-        term = F.col(f"c.{key}").eqNullSafe(F.col(f"t.{key}"))
-        match = term if match is None else match & term
-    return left.join(right, match).select(
-        *[F.col(f"c.{k}").alias(k) for k in (*group, *category)],
-        F.col("c.n").alias("n"),
-        F.col("t.total").alias("total"),
-        (F.col("c.n") / F.col("t.total") * 100).alias("percentage"),
-    )
+    totals = counts.groupBy(*group).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("_categories"))
+    joined = attach(counts, totals, list(group), "_categories", list(category), rows_per_task)
+    return joined.drop("_categories").withColumn("percentage", F.col("n") / F.col("total") * 100)
 
 
 def daily_by_year(df: DataFrame, date: str, years: Sequence[int]) -> DataFrame:

@@ -155,15 +155,16 @@ NATIONS = list(range(25))
 
 @query(
     "adjacency_matrix",
-    f"WITH {TRADE_EDGES}, big AS (SELECT src, dst FROM v_trade WHERE (src + dst) % 2 = 0) SELECT n_nationkey AS node, "
-    + ", ".join(
-        f"CAST(count(*) FILTER (big.dst = {n}) > 0 AS INTEGER) AS to_{n}" for n in NATIONS
-    )
+    f"""WITH {TRADE_EDGES}, big AS (SELECT src, dst FROM v_trade
+      WHERE weight >= (SELECT avg(weight) FROM v_trade)) SELECT n_nationkey AS node, """
+    + ", ".join(f"CAST(count(*) FILTER (big.dst = {n}) > 0 AS INTEGER) AS to_{n}" for n in NATIONS)
     + " FROM nation LEFT JOIN big ON n_nationkey = src GROUP BY 1",
 )
 def adjacency_matrix(spark, sf_dir):
-    edges = trade_edges(spark, sf_dir).filter((F.col("src") + F.col("dst")) % 2 == 0)
-    return graph.adjacency_matrix(edges, NATIONS)
+    """Matrix of the trade links that are at least as strong as the average link."""
+    edges = trade_edges(spark, sf_dir)
+    strong = edges.filter(F.col("weight") >= edges.agg(F.avg("weight")).scalar())
+    return graph.adjacency_matrix(strong, NATIONS)
 
 
 def _unrolled(edge_cte: str, name: str, steps: int, weighted: bool = True, alpha: float = 0.15) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import cleaning, joins, profiling, summaries
+from delaywright.operators.skew import small_lookup
 from delaywright.plans.registry import query
 from delaywright.plans.views import (
     FLIGHTS,
@@ -347,6 +348,41 @@ def nearest_station_pairs(spark, sf_dir):
     return nearest.join(stations, nearest["l_suppkey"] == stations["s_suppkey"], "left").drop("s_suppkey")
 
 
+@query(
+    "flight_weather_join",
+    f"""WITH {FLIGHTS}, {TRADE_EDGES},
+    nearest AS (SELECT src AS origin, min(struct_pack(d := weight, s := dst)).s AS station FROM v_trade GROUP BY src),
+    report AS (SELECT event_id AS report_id, ts AS report_ts, user_id % 25 AS station, value AS reading
+      FROM events WHERE event_type = 'error'),
+    f AS (SELECT v.flight_id, v.origin, v.dep_ts, n.station FROM v_flight v LEFT JOIN nearest n ON v.origin = n.origin)
+    SELECT f.flight_id, f.origin, f.station, r.report_id, r.reading
+    FROM f ASOF LEFT JOIN report r ON f.station = r.station AND f.dep_ts - INTERVAL 2 HOUR >= r.report_ts""",
+)
+def flight_weather_join(spark, sf_dir):
+    """Flights → nearest station → latest report at least two hours before departure."""
+    distances = trade_edges(spark, sf_dir).select(
+        F.col("src").cast("bigint").alias("origin"),
+        F.col("dst").cast("bigint").alias("station"),
+        F.col("weight").alias("distance"),
+    )
+    stations = small_lookup(joins.nearest_per_key(distances, "origin", "station", "distance").drop("distance"))
+    left = flights(spark, sf_dir).select("flight_id", "origin", "dep_ts").join(stations, "origin", "left")
+    reports = (
+        table(spark, sf_dir, "events")
+        .filter(F.col("event_type") == "error")
+        .select(
+            F.col("event_id").alias("report_id"),
+            F.col("ts").alias("report_ts"),
+            (F.col("user_id") % 25).alias("station"),
+            F.col("value").alias("reading"),
+        )
+    )
+    cut_off = F.col("dep_ts") - F.expr("INTERVAL 2 HOURS")
+    return joins.asof_join(
+        left, reports, ["station"], cut_off, "report_ts", "flight_id", "report_id", ["report_id", "reading"]
+    ).drop("dep_ts")
+
+
 # --- aggregates --------------------------------------------------------------------------------------
 
 
@@ -529,8 +565,8 @@ def sample_hash_mod(spark, sf_dir):
     return profiling.keyed_sample(table(spark, sf_dir, "events").select("event_id", "value"), "event_id", 1, 5)
 
 
-@query("sample_bernoulli")
-def sample_bernoulli(spark, sf_dir):
+@query("sample")
+def sample(spark, sf_dir):
     return profiling.bernoulli_sample(table(spark, sf_dir, "events").select("event_id", "value"), 0.2, 42)
 
 
