@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import cleaning, windows
+from delaywright.operators.feature_table import ENGINEERED, flight_features
 from delaywright.operators.graph import edges_from, pagerank
 from delaywright.operators.skew import small_lookup
 from delaywright.plans.registry import query
@@ -15,6 +16,14 @@ MINUTES = "CAST(floor(crs_dep_time / 100) * 60 + crs_dep_time % 100 AS INTEGER)"
 HOUR = "CAST(floor(crs_dep_time / 100) AS INTEGER)"
 PART_OF_DAY = f"""CASE WHEN {HOUR} BETWEEN 5 AND 11 THEN 'Morning'
   WHEN {HOUR} BETWEEN 12 AND 17 THEN 'Afternoon' ELSE 'Night' END"""
+HOLIDAY_RULES = """(
+      (month(d) = 1 AND day(d) = 1) OR (month(d) = 7 AND day(d) = 4) OR (month(d) = 11 AND day(d) = 11)
+      OR (month(d) = 12 AND day(d) = 25)
+      OR (month(d) IN (1, 2) AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21)
+      OR (month(d) = 5 AND isodow(d) = 1 AND day(d) BETWEEN 25 AND 31)
+      OR (month(d) = 9 AND isodow(d) = 1 AND day(d) BETWEEN 1 AND 7)
+      OR (month(d) = 10 AND isodow(d) = 1 AND day(d) BETWEEN 8 AND 14)
+      OR (month(d) = 11 AND isodow(d) = 4 AND day(d) BETWEEN 22 AND 28))"""
 
 
 @query(
@@ -70,15 +79,8 @@ def feat_christmas(spark, sf_dir):
 
 @query(
     "feat_holiday",
-    """WITH day AS (SELECT CAST(unnest(generate_series(DATE '1994-01-01', DATE '2002-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
-    holiday AS (SELECT d FROM day WHERE
-      (month(d) = 1 AND day(d) = 1) OR (month(d) = 7 AND day(d) = 4) OR (month(d) = 11 AND day(d) = 11)
-      OR (month(d) = 12 AND day(d) = 25)
-      OR (month(d) IN (1, 2) AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21)
-      OR (month(d) = 5 AND isodow(d) = 1 AND day(d) BETWEEN 25 AND 31)
-      OR (month(d) = 9 AND isodow(d) = 1 AND day(d) BETWEEN 1 AND 7)
-      OR (month(d) = 10 AND isodow(d) = 1 AND day(d) BETWEEN 8 AND 14)
-      OR (month(d) = 11 AND isodow(d) = 4 AND day(d) BETWEEN 22 AND 28)),
+    f"""WITH day AS (SELECT CAST(unnest(generate_series(DATE '1994-01-01', DATE '2002-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+    holiday AS (SELECT d FROM day WHERE {HOLIDAY_RULES}),
     mark AS (SELECT day.d, max(CASE WHEN day.d = holiday.d THEN 2 ELSE 1 END) AS m
       FROM day JOIN holiday ON abs(date_diff('day', day.d, holiday.d)) <= 3 GROUP BY day.d)
     SELECT o_orderkey, CAST(coalesce(m, 0) AS INTEGER) AS federal_holiday_indicator
@@ -282,6 +284,37 @@ def win_prior_delay(spark, sf_dir):
     return prior.select("flight_id", rounded("prior_flight_dep_delay_new").alias("prior_flight_dep_delay_new"))
 
 
+@query(
+    "feature_table",
+    f"""WITH {FLIGHTS},
+    day AS (SELECT CAST(unnest(generate_series(DATE '2023-01-01', DATE '2025-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+    holiday AS (SELECT d FROM day WHERE {HOLIDAY_RULES} OR (month(d) = 6 AND day(d) = 19)),
+    mark AS (SELECT day.d, max(CASE WHEN day.d = holiday.d THEN 2 ELSE 1 END) AS m
+      FROM day JOIN holiday ON abs(date_diff('day', day.d, holiday.d)) <= 3 GROUP BY day.d),
+    w AS (SELECT *, CAST(floor(epoch(dep_ts) / 60) AS BIGINT) AS minute,
+        lag(dep_delay) OVER (PARTITION BY tail_num ORDER BY dep_ts, flight_id) AS prior,
+        row_number() OVER (PARTITION BY tail_num, fl_date ORDER BY dep_ts, flight_id) AS seq,
+        max(fl_date) OVER () AS latest FROM v_flight)
+    SELECT flight_id, {MINUTES} AS crs_dep_time_minutes_from_midnight,
+      {sql_rounded(f"sin({HOUR} * (2 * pi() / 24))")} AS crs_dep_hour_sin,
+      {sql_rounded(f"cos({HOUR} * (2 * pi() / 24))")} AS crs_dep_hour_cos,
+      {sql_rounded("sin(dayofyear(fl_date) * (2 * pi() / 365))")} AS crs_dep_day_of_year_sin,
+      {sql_rounded("cos(dayofyear(fl_date) * (2 * pi() / 365))")} AS crs_dep_day_of_year_cos,
+      {PART_OF_DAY} AS crs_dep_time_part_of_day, seq AS tail_num_flight_seq_num,
+      count(*) OVER (PARTITION BY origin ORDER BY minute RANGE BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS parallel_flights,
+      round(CASE WHEN prior IS NOT NULL THEN greatest(prior, 0) END, 6) AS prior_flight_dep_delay_new,
+      CASE WHEN (month(fl_date) = 12 AND day(fl_date) >= 20) OR (month(fl_date) = 1 AND day(fl_date) <= 10)
+        THEN 1 ELSE 0 END AS christmas_travel,
+      CAST(coalesce(m, 0) AS INTEGER) AS federal_holiday_indicator,
+      CAST(date_diff('day', fl_date, latest) AS INTEGER) AS recency_days
+    FROM w LEFT JOIN mark ON fl_date = mark.d""",
+)
+def feature_table(spark, sf_dir):
+    featured = flight_features(flights(spark, sf_dir))
+    digits = [c for c in ENGINEERED if c.endswith(("_sin", "_cos", "_delay_new"))]
+    return featured.select("flight_id", *[rounded(c).alias(c) if c in digits else c for c in ENGINEERED])
+
+
 # --- rank of the airport the aircraft comes from ---------------------------------------------------
 
 RANK_AS_OF = "2024-01-16"

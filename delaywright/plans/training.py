@@ -16,37 +16,40 @@ from pyspark.sql import functions as F
 from delaywright.functions import expressions as fx
 from delaywright.learning import features as ft
 from delaywright.learning import models, search
-from delaywright.operators import splitting, windows
+from delaywright.operators import cleaning, splitting
+from delaywright.operators.feature_table import flight_features
 from delaywright.plans.registry import query
 from delaywright.plans.views import FLIGHTS, flights, rounded, sql_rounded, table
 from delaywright.runtime import scratch_path
 
 SPEC = ft.FeatureSpec(
-    categorical=("carrier", "origin_text", "part_of_day"),
-    numeric=("minutes", "hour_sin", "hour_cos", "parallel_flights", "recency", "sequence"),
+    categorical=(
+        "carrier",
+        "origin",
+        "dest",
+        "crs_dep_time_part_of_day",
+        "christmas_travel",
+        "federal_holiday_indicator",
+    ),
+    numeric=(
+        "crs_dep_hour_sin",
+        "crs_dep_hour_cos",
+        "crs_dep_day_of_year_sin",
+        "crs_dep_day_of_year_cos",
+        "tail_num_flight_seq_num",
+        "parallel_flights",
+        "prior_flight_dep_delay_new",
+        "recency_days",
+    ),
 )
 TREE_SPEC = ft.FeatureSpec(categorical=SPEC.categorical, numeric=SPEC.numeric, one_hot=False)
 TARGET = "dep_delay_new"
 
 
 def model_rows(spark, sf_dir):
-    """Flights with calendar, congestion and sequence features; the target is known."""
-    base = flights(spark, sf_dir).filter(F.col(TARGET).isNotNull())
-    sin, cos = fx.cyclic(fx.clock_hour("crs_dep_time"), 24)
-    latest = base.agg(F.max("fl_date")).scalar()
-    featured = base.select(
-        "*",
-        F.col("origin").cast("string").alias("origin_text"),
-        fx.part_of_day("crs_dep_time").alias("part_of_day"),
-        fx.clock_minutes("crs_dep_time").alias("minutes"),
-        sin.alias("hour_sin"),
-        cos.alias("hour_cos"),
-        fx.epoch_minutes("dep_ts").alias("minute"),
-        fx.recency_days("fl_date", latest).alias("recency"),
-    )
-    crowded = windows.flights_within(featured, ["origin"], "minute", "flight_id", 15)
-    numbered = windows.number_rows(crowded, ["tail_num", "fl_date"], ["dep_ts", "flight_id"], "sequence")
-    return ft.numeric_as_double(numbered, SPEC.numeric)
+    """The feature table of all flights with a known target."""
+    known = cleaning.with_known_target(flights(spark, sf_dir), TARGET)
+    return ft.numeric_as_double(flight_features(known), SPEC.numeric)
 
 
 def _split(spark, sf_dir):
