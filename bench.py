@@ -26,7 +26,9 @@ HEADLINE = [
     "win_last_known_delay",
     "win_tail_sequence",
     "win_prior_delay",
+    "feature_table",
     "asof_join_prior_event",
+    "flight_weather_join",
     "nearest_neighbor_lookup",
     "profile_null_pct",
     "quartile_shares",

@@ -78,9 +78,9 @@ def flight_features(
     crowded = windows.flights_within(minute, [airport], "_minute", row_id, 15, rows_per_task=rows_per_task)
     order = [timestamp, row_id]
     followed = OrderedScan([aircraft], order, rows_per_task).run(
-        crowded.drop("_minute"), prior_flight_dep_delay_new=Previous(delay)
+        crowded.drop("_minute"), measured_on=df, prior_flight_dep_delay_new=Previous(delay)
     )
     numbered = OrderedScan([aircraft, date], order, rows_per_task).run(
-        followed, tail_num_flight_seq_num=Position()
+        followed, measured_on=df, tail_num_flight_seq_num=Position()
     )
     return numbered.withColumn("prior_flight_dep_delay_new", fx.positive_part("prior_flight_dep_delay_new"))

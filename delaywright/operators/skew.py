@@ -118,8 +118,13 @@ class OrderedScan:
     order_by: list[str]
     rows_per_task: int = ROWS_PER_TASK
 
-    def run(self, df: DataFrame, **outputs: Running) -> DataFrame:
-        hot, hot_rows = self._hot_keys(df)
+    def run(self, df: DataFrame, measured_on: DataFrame | None = None, **outputs: Running) -> DataFrame:
+        """Add the outputs to ``df``.
+
+        The group sizes are counted first; ``measured_on`` names a cheaper frame with the same
+        keys (the scan ``df`` was derived from), so that ``df`` is not evaluated for the count.
+        """
+        hot, hot_rows = self._hot_keys(df if measured_on is None else measured_on)
         if not hot_rows:
             return self._plain(df, outputs)
         hot = cut_lineage(hot)

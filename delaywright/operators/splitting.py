@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import bisect
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -48,12 +48,21 @@ class Fold:
     test_end: int
 
 
-def chronological_cuts(df: DataFrame, date: str, row_id: str, positions: Sequence[int]) -> list[Cut]:
+def chronological_cuts(
+    df: DataFrame, date: str, row_id: str, positions: Sequence[int] | Callable[[int], Sequence[int]]
+) -> list[Cut]:
+    """Cuts after the given row positions, or after those a function derives from the row count.
+
+    Give it the narrow source frame, not a derived one: the cuts hold for every frame with the
+    same dates and ids.
+    """
     daily = df.groupBy(date).agg(F.count(F.lit(1)).alias("n")).orderBy(date).collect()
     if daily and daily[0][0] is None:
         raise ValueError(f"{date} has nulls; filter them before a chronological split")
     ends = list(accumulate(r["n"] for r in daily))
     total = ends[-1] if ends else 0
+    if callable(positions):
+        positions = positions(total)
     cuts: dict[int, Cut] = {}
     open_days: dict[dt.date, list[tuple[int, int]]] = {}
     for k in sorted(set(positions)):
@@ -100,14 +109,14 @@ def label_parts(
 
 
 def split_train_test(df: DataFrame, date: str, row_id: str, train: float = 0.8) -> DataFrame:
-    cuts = chronological_cuts(df, date, row_id, split_positions(total_rows(df), train))
+    cuts = chronological_cuts(df, date, row_id, lambda total: split_positions(total, train))
     return label_parts(df, date, row_id, cuts, ["train", "test"])
 
 
 def split_train_val_test(
     df: DataFrame, date: str, row_id: str, train: float = 0.8, fit: float = 0.7
 ) -> DataFrame:
-    cuts = chronological_cuts(df, date, row_id, split_positions(total_rows(df), train, fit))
+    cuts = chronological_cuts(df, date, row_id, lambda total: split_positions(total, train, fit))
     return label_parts(df, date, row_id, cuts, ["train", "validation", "test"])
 
 

@@ -46,15 +46,27 @@ TREE_SPEC = ft.FeatureSpec(categorical=SPEC.categorical, numeric=SPEC.numeric, o
 TARGET = "dep_delay_new"
 
 
+def known_flights(spark, sf_dir):
+    return cleaning.with_known_target(flights(spark, sf_dir), TARGET)
+
+
 def model_rows(spark, sf_dir):
     """The feature table of all flights with a known target."""
-    known = cleaning.with_known_target(flights(spark, sf_dir), TARGET)
-    return ft.numeric_as_double(flight_features(known), SPEC.numeric)
+    return ft.numeric_as_double(flight_features(known_flights(spark, sf_dir)), SPEC.numeric)
 
 
 def _split(spark, sf_dir):
-    rows = model_rows(spark, sf_dir)
-    return ft.cache_for_training(splitting.split_train_val_test(rows, "fl_date", "flight_id"))
+    """Train, validation and test parts; the cuts are found on the scan, not on the features."""
+    cuts = splitting.chronological_cuts(
+        known_flights(spark, sf_dir),
+        "fl_date",
+        "flight_id",
+        lambda total: splitting.split_positions(total, 0.8, 0.7),
+    )
+    parts = splitting.label_parts(
+        model_rows(spark, sf_dir), "fl_date", "flight_id", cuts, ["train", "validation", "test"]
+    )
+    return ft.cache_for_training(parts)
 
 
 def _train_test(spark, sf_dir):
@@ -227,8 +239,9 @@ def _linear(params, features="features"):
 @query("tune_grid_timefold")
 def tune_grid_timefold(spark, sf_dir):
     rows = ft.cache_for_training(model_rows(spark, sf_dir))
-    folds = splitting.sliding_folds(splitting.total_rows(rows))
-    predicates = splitting.fold_predicates(rows, "fl_date", "flight_id", folds)
+    known = known_flights(spark, sf_dir)
+    folds = splitting.sliding_folds(splitting.total_rows(known))
+    predicates = splitting.fold_predicates(known, "fl_date", "flight_id", folds)
     spec = ft.FeatureSpec(SPEC.categorical, SPEC.numeric, one_hot=False, scaler="standard")
     cells = search.grid_over_folds(rows, predicates, spec, _linear, search.LINEAR_GRID, TARGET)
     rows.unpersist()

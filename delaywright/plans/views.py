@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from delaywright.functions.expressions import clock_hour, delay_flag, positive_part
 from delaywright.operators.graph import edges_from
 from delaywright.operators.skew import small_lookup
-from delaywright.operators.splitting import chronological_cuts, label_parts, split_positions, total_rows
+from delaywright.operators.splitting import chronological_cuts, label_parts, split_positions
 from delaywright.sources.tables import read_parquet
 
 
@@ -48,7 +48,7 @@ v_flight AS (
 
 def with_parts(df: DataFrame) -> DataFrame:
     """Chronological train (80 %) and test parts of the flights."""
-    cuts = chronological_cuts(df, "fl_date", "flight_id", split_positions(total_rows(df)))
+    cuts = chronological_cuts(df, "fl_date", "flight_id", split_positions)
     return label_parts(df, "fl_date", "flight_id", cuts, ["train", "test"])
 
 

@@ -176,3 +176,16 @@ def test_tagged_union(spark):
 def test_zero_guard(spark):
     df = spark.createDataFrame([(1, 0), (1, 2)], "a int, b int")
     assert [r[0] for r in df.select(fx.safe_ratio("a", "b")).collect()] == [0.0, 0.5]
+
+
+def test_feature_table_keeps_every_row(spark, sf_dir):
+    from delaywright.operators.feature_table import ENGINEERED, flight_features
+    from delaywright.plans.views import flights
+
+    base = flights(spark, sf_dir)
+    built = flight_features(base, as_of=dt.date(2024, 2, 1))
+    assert built.count() == base.count()
+    assert set(ENGINEERED) <= set(built.columns)
+    # splitting every aircraft and airport changes nothing
+    split = flight_features(base, as_of=dt.date(2024, 2, 1), rows_per_task=3)
+    assert rows_of(split, "flight_id", *ENGINEERED) == rows_of(built, "flight_id", *ENGINEERED)
