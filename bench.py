@@ -52,7 +52,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     wanted = os.environ.get("BENCH_QUERIES")
     spark = local_session(cores, cores, **{"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaywright.operators.skew import ROWS_PER_TASK
-from delaywright.runtime import cut_lineage
+from delaywright.runtime import cut_lineage, spool
 
 
 def edges_from(df: DataFrame, src: Column, dst: Column, weight: Column | None = None) -> DataFrame:
@@ -74,16 +74,18 @@ def _nodes_with_links(edges: DataFrame) -> DataFrame:
 
 
 def init_graph(edges: DataFrame) -> DataFrame:
-    """One record per node including dangling ones: start rank ``1/N`` and out-degree."""
+    """One record per node including dangling ones: start rank ``1/N`` and out-degree.
+
+    The records are written once; their number then comes from the file footers.
+    """
     ends = F.inline(
         F.array(
             F.struct(F.col("src").alias("id"), F.col("weight").alias("w")),
             F.struct(F.col("dst").alias("id"), F.lit(0).cast("bigint").alias("w")),
         )
     )
-    nodes = edges.select(ends).groupBy("id").agg(F.sum("w").alias("out_degree"))
-    total = node_count(edges).scalar()
-    return nodes.withColumn("rank", F.lit(1.0) / total)
+    nodes = spool(edges.select(ends).groupBy("id").agg(F.sum("w").alias("out_degree")), "nodes")
+    return nodes.withColumn("rank", F.lit(1.0 / max(nodes.count(), 1)))
 
 
 def lookup_node(edges: DataFrame, node) -> DataFrame:

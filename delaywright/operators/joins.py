@@ -19,27 +19,30 @@ def asof_join(
     payload: list[str],
     prefix: str = "",
     rows_per_task: int = ROWS_PER_TASK,
+    measured_left: DataFrame | None = None,
 ) -> DataFrame:
     """For each left row, the latest right row of the same key at or before the left time.
 
     Both sides go into one ordered stream per key and the last right row is carried forward, so
     no pair of rows is ever built. ``left_time`` may be an expression such as the departure
     minus two hours. Of right rows with the same time the highest ``right_id`` wins. Left rows
-    without a match keep nulls.
+    without a match keep nulls. ``measured_left`` names a cheaper frame with the same keys as
+    ``left`` for counting the group sizes.
     """
     clock = F.col(left_time) if isinstance(left_time, str) else left_time
     stamp = F.col(right_time) if isinstance(right_time, str) else right_time
     record = F.struct(*[F.col(c) for c in payload])
     whole = F.struct(*[F.col(c) for c in left.columns])
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(on)]
     l_stream = left.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)],
+        *named,
         clock.alias("_t"),
         F.lit(1).alias("_side"),
         F.col(left_id).alias("_id"),
         whole.alias("_left"),
     )
     r_stream = right.filter(stamp.isNotNull()).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)],
+        *named,
         stamp.alias("_t"),
         F.lit(0).alias("_side"),
         F.col(right_id).alias("_id"),
@@ -47,8 +50,9 @@ def asof_join(
     )
     stream = l_stream.unionByName(r_stream, allowMissingColumns=True)
     keys = [f"_k{i}" for i in range(len(on))]
+    sizes = (left if measured_left is None else measured_left).select(*named).unionByName(right.select(*named))
     scan = OrderedScan(keys, ["_t", "_side", "_id"], rows_per_task)
-    carried = scan.run(stream, _match=LastKnown("_right")).filter(F.col("_side") == 1)
+    carried = scan.run(stream, measured_on=sizes, _match=LastKnown("_right")).filter(F.col("_side") == 1)
     # a left row without a time sorts first and must not match
     match = F.when(F.col("_t").isNotNull(), F.col("_match"))
     return carried.select(
@@ -89,7 +93,7 @@ def nearest_by_value(
         left, points, on, left_value, right_value, left_id, right_id, payload, "_lo_", rows_per_task
     )
     both = asof_join(
-        lower, up, on, -F.col(left_value), "_neg", left_id, right_id, payload, "_hi_", rows_per_task
+        lower, up, on, -F.col(left_value), "_neg", left_id, right_id, payload, "_hi_", rows_per_task, left
     )
 
     def candidate(side: str) -> Column:

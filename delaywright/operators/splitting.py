@@ -16,6 +16,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from delaywright.operators.selection import order_statistics
 
@@ -56,6 +57,8 @@ def chronological_cuts(
     Give it the narrow source frame, not a derived one: the cuts hold for every frame with the
     same dates and ids.
     """
+    if not isinstance(df.schema[date].dataType, DateType):
+        raise TypeError(f"{date} must be a date: the daily counts are held on the driver")
     daily = df.groupBy(date).agg(F.count(F.lit(1)).alias("n")).orderBy(date).collect()
     if daily and daily[0][0] is None:
         raise ValueError(f"{date} has nulls; filter them before a chronological split")

@@ -109,9 +109,23 @@ def inline_rows(spark, sf_dir):
     )
 
 
-@query("estimate_size")
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query(
+    "estimate_size",
+    "WITH t AS (SELECT CAST(sum("
+    + " + ".join(f"length(CAST({c} AS VARCHAR)) + 1" for c in ORDER_COLUMNS)
+    + """) AS BIGINT) AS b FROM orders)
+    SELECT b AS text_bytes, round(b / 1073741824.0, 9) AS size_gib, round(b / 1073741824.0 * 24, 9) AS projected_gib
+    FROM t""",
+)
 def estimate_size(spark, sf_dir):
-    return tables.size_estimate(table(spark, sf_dir, "lineitem"), months_covered=3, months_wanted=72)
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    size = tables.size_estimate(orders, months_covered=3, months_wanted=72)
+    return size.select(
+        "text_bytes", rounded("size_gib", 9).alias("size_gib"), rounded("projected_gib", 9).alias("projected_gib")
+    )
 
 
 @query(
@@ -355,7 +369,7 @@ def nearest_station_pairs(spark, sf_dir):
     report AS (SELECT event_id AS report_id, ts AS report_ts, user_id % 25 AS station, value AS reading
       FROM events WHERE event_type = 'error'),
     f AS (SELECT v.flight_id, v.origin, v.dep_ts, n.station FROM v_flight v LEFT JOIN nearest n ON v.origin = n.origin)
-    SELECT f.flight_id, f.origin, f.station, r.report_id, r.reading
+    SELECT f.flight_id, f.origin, CAST(f.station AS BIGINT) AS station, r.report_id, r.reading
     FROM f ASOF LEFT JOIN report r ON f.station = r.station AND f.dep_ts - INTERVAL 2 HOUR >= r.report_ts""",
 )
 def flight_weather_join(spark, sf_dir):

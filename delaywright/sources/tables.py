@@ -63,10 +63,15 @@ def load_report(df: DataFrame, date_column: str, pattern: str = "yyyy-MM-dd HH:m
 
 
 def size_estimate(df: DataFrame, months_covered: int, months_wanted: int) -> DataFrame:
-    """Text size of the rows in GiB and its projection to a longer period."""
-    length = F.length(F.to_json(F.struct("*"))).cast("double")
-    gib = F.sum(length) / F.lit(float(1024**3))
+    """Size of the rows as delimited text in bytes and GiB, and its projection to a longer period."""
+    widths = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 1 for c in df.columns]
+    row_width = widths[0]
+    for width in widths[1:]:
+        row_width = row_width + width
+    total = F.coalesce(F.sum(row_width.cast("bigint")), F.lit(0))
+    gib = total / F.lit(float(1024**3))
     return df.agg(
+        total.alias("text_bytes"),
         gib.alias("size_gib"),
         (gib * F.lit(months_wanted / months_covered)).alias("projected_gib"),
     )

@@ -147,3 +147,9 @@ def test_fixed_size_sample_is_repeatable(spark):
         for d in (df, df.repartition(7))
     )
     assert first == second and len(set(first)) == 50
+
+
+def test_cuts_need_a_date_column(spark):
+    rows = spark.createDataFrame([(1, "2015-01-01")], "id bigint, d string")
+    with pytest.raises(TypeError):
+        splitting.chronological_cuts(rows, "d", "id", [1])
