@@ -83,7 +83,7 @@ def vector_width(df: DataFrame, column: str) -> int:
     return int(df.schema[column].metadata["ml_attr"]["num_attrs"])
 
 
-def cache_for_training(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+def cache_for_training(df: DataFrame, rows_per_partition: int = 25_000) -> DataFrame:
     """Keep a training frame, with no more partitions than its rows need.
 
     Iterative fits run one job per step, so a fold of a few thousand rows must not be spread over

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, IntegralType, NumericType, StringType, StructType
 
 from delaywright.operators.selection import exact_quantiles
 
@@ -28,14 +28,25 @@ def keep_known(df: DataFrame, allowed: Iterable[str]) -> DataFrame:
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str | DataType] | StructType) -> DataFrame:
-    """Cast the listed columns in one projection; text that does not parse becomes null."""
+    """Cast the listed columns in one projection; text that does not parse becomes null.
+
+    Whole numbers written with a decimal point (``-3.0``) are read as such, fractions are cut off.
+    """
     if isinstance(types, StructType):
         types = {f.name: f.dataType for f in types.fields}
     return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+        *[_narrowed(df, c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
     )
 
 
+def _narrowed(df: DataFrame, column: str, target: str | DataType) -> Column:
+    wanted = target if isinstance(target, DataType) else DataType.fromDDL(target)
+    value = F.col(column)
+    if isinstance(wanted, IntegralType) and isinstance(df.schema[column].dataType, StringType):
+        return F.coalesce(value.try_cast(wanted), value.try_cast("double").try_cast(wanted))
+    return value.try_cast(wanted)
+
+
 def cast_dates(df: DataFrame, columns: Sequence[str], pattern: str = "yyyy-MM-dd") -> DataFrame:
     return df.select(
         *[F.try_to_date(F.col(c), pattern).alias(c) if c in columns else F.col(c) for c in df.columns]
@@ -121,8 +132,6 @@ def keys_without_match(left: DataFrame, right: DataFrame, on: Sequence[str]) ->
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    from pyspark.sql.types import NumericType
-
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 

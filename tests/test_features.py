@@ -189,3 +189,22 @@ def test_feature_table_keeps_every_row(spark, sf_dir):
     # splitting every aircraft and airport changes nothing
     split = flight_features(base, as_of=dt.date(2024, 2, 1), rows_per_task=3)
     assert rows_of(split, "flight_id", *ENGINEERED) == rows_of(built, "flight_id", *ENGINEERED)
+
+
+def test_raw_flights_are_typed_and_guarded(spark):
+    from delaywright.sources import schemas
+
+    raw = spark.createDataFrame(
+        [("2015-01-02", "1345", "-3.0", "0.05s", "AA", "17.0"), ("bad", "", "x", "1.5", "DL", None)],
+        "FL_DATE string, CRS_DEP_TIME string, DEP_DELAY string, HourlyPrecipitation string, OP_CARRIER string, ARR_DELAY string",
+    )
+    typed = schemas.type_raw_flights(raw)
+    assert [t for _, t in typed.dtypes] == ["date", "int", "int", "double", "string", "int"]
+    assert typed.collect() == [
+        (dt.date(2015, 1, 2), 1345, -3, None, "AA", 17),
+        (None, None, None, 1.5, "DL", None),
+    ]
+    # arrival delays are not known before departure
+    assert schemas.known_before_departure(typed).columns == ["FL_DATE", "OP_CARRIER", "HourlyPrecipitation", "DEP_DELAY"]
+    featured = spark.createDataFrame([("12", "3.0", "2015-01-02")], "parallel_flights string, DISTANCE string, FL_DATE string")
+    assert schemas.type_feature_table(featured).first() == (12, 3.0, dt.date(2015, 1, 2))
