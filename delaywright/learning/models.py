@@ -75,7 +75,7 @@ def fit_perceptron(
     return PipelineModel(stages=[*prepared.stages, model])
 
 
-def slot_values(model: PipelineModel, scored: DataFrame, values) -> DataFrame:
+def slot_values(scored: DataFrame, values) -> DataFrame:
     """``(slot, feature, value)`` with the names of the assembled vector."""
     names = vector_names(scored, "assembled_features")
     rows = [(i, n, float(v)) for i, (n, v) in enumerate(zip(names, values, strict=True))]
@@ -83,11 +83,11 @@ def slot_values(model: PipelineModel, scored: DataFrame, values) -> DataFrame:
 
 
 def coefficients(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    return slot_values(model, scored, model.stages[-1].coefficients.toArray())
+    return slot_values(scored, model.stages[-1].coefficients.toArray())
 
 
 def importances(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    return slot_values(model, scored, model.stages[-1].featureImportances.toArray())
+    return slot_values(scored, model.stages[-1].featureImportances.toArray())
 
 
 def selected_features(model: PipelineModel, scored: DataFrame, epsilon: float = 1e-6) -> DataFrame:

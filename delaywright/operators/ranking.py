@@ -14,7 +14,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaywright.operators.selection import non_null_counts
 from delaywright.operators.skew import ROWS_PER_TASK, attach
 from delaywright.runtime import spool
 
