@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from delaywright.plans import all_queries
@@ -54,7 +55,9 @@ def main() -> None:
     cores = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     wanted = os.environ.get("BENCH_QUERIES")
-    spark = local_session(cores, cores, **{"spark.ui.showConsoleProgress": "false"})
+    shared = os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")
+    conf = {"spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": shared}
+    spark = local_session(cores, cores, **conf)
     spark.sparkContext.setLogLevel("ERROR")
     registered = all_queries()
     seconds: dict[str, float] = {}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +25,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
-
-    Where the setting is missing, a temporary folder is used in local mode only; on a cluster
-    that is an error, because a machine-local folder would not survive a lost executor.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or the checkpoint folder the
+    context has been given. Without either there is no safe place for intermediate tables, so
+    that is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
@@ -42,11 +40,7 @@ def shared_root(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="delaywright-")
-    context.setCheckpointDir(folder)
-    return folder
+    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

@@ -11,8 +11,10 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, 4, **{"spark.ui.showConsoleProgress": "false"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    conf = {"spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": shared}
+    session = local_session(4, 4, **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
