@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaywright.llm import packing, pieces
+from pyspark.sql import functions as F
+
+from delaywright.llm import licenses, packing, pieces, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document; the models are trained on all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    return secrets.span_digests(secrets.scan(docs, secrets.train_on_documents(docs)))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in every document."""
+    return licenses.summarise(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labelled rows that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~toxicity.is_held_out(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -29,8 +54,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secrets": op1_secrets,
+    "op4_licenses": op4_licenses,
+    "op6_toxicity": op6_toxicity,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}
