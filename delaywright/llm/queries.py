@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from delaywright.llm import licenses, packing, pieces, secrets, toxicity
+from delaywright.llm import licenses, packing, pieces, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without word windows of earlier documents."""
+    return substrings.digests(_table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -57,8 +62,12 @@ QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op4_licenses": op4_licenses,
     "op6_toxicity": op6_toxicity,
+    "op7_substrings": op7_substrings,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {"op4_licenses": licenses.oracle_sql()}
+ORACLES: dict[str, str] = {
+    "op4_licenses": licenses.oracle_sql(),
+    "op7_substrings": substrings.oracle_sql(),
+}
