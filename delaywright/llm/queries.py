@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from delaywright.llm import licenses, packing, pieces, secrets, substrings, toxicity
+from delaywright.llm import licenses, minhash, packing, pieces, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.scan(docs, secrets.train_on_documents(docs)))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on shingles of two words."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), minhash.Settings(shingle=2))
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named in every document."""
     return licenses.summarise(licenses.scan(_table(spark, sf_dir, "documents")))
@@ -60,6 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op3_minhash": op3_minhash,
     "op4_licenses": op4_licenses,
     "op6_toxicity": op6_toxicity,
     "op7_substrings": op7_substrings,
@@ -68,6 +74,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_minhash": minhash.oracle_sql(2),
     "op4_licenses": licenses.oracle_sql(),
     "op7_substrings": substrings.oracle_sql(),
 }

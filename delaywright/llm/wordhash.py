@@ -66,6 +66,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
 
 def window_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     """The hash of every ``size`` consecutive entries, by their first."""
+    size = int(size)
     n = len(hashes) - size + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
