@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from delaywright.llm import licenses, minhash, packing, pieces, secrets, substrings, toxicity
+from delaywright.llm import annsearch, crosspolytope, licenses, minhash, packing, pieces, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.scan(docs, secrets.train_on_documents(docs)))
 
 
+def op2_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest rows of every 50th vector, searched among all vectors."""
+    table = _table(spark, sf_dir, "embeddings")
+    return annsearch.search(table, table.filter("vec_id % 50 = 0"), k=5)
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on shingles of two words."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), minhash.Settings(shingle=2))
@@ -34,6 +40,11 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summarise(licenses.scan(_table(spark, sf_dir, "documents")))
 
 
+def op5_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of every label."""
+    return crosspolytope.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labelled rows that are not held out."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -65,8 +76,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op2_ann_search": op2_ann_search,
     "op3_minhash": op3_minhash,
     "op4_licenses": op4_licenses,
+    "op5_crosspolytope": op5_crosspolytope,
     "op6_toxicity": op6_toxicity,
     "op7_substrings": op7_substrings,
     "op9_sentencepiece": op9_sentencepiece,
@@ -76,5 +89,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_minhash": minhash.oracle_sql(2),
     "op4_licenses": licenses.oracle_sql(),
+    "op5_crosspolytope": crosspolytope.oracle_sql(),
     "op7_substrings": substrings.oracle_sql(),
 }
