@@ -80,8 +80,12 @@ class MarkovPair:
         return cls(np.log((0.5 * chance[1] + 0.5 * even) / chance[0]))
 
     def score(self, run: str) -> float:
-        codes = np.frombuffer(run.encode("ascii").translate(_TRANSLATE), dtype=np.uint8)
-        return float(self.ratio[codes[:-1], codes[1:]].sum() + self.ratio[0, codes[0]])
+        """Each distinct transition counts once, so that a repeated pattern is no evidence."""
+        codes = np.frombuffer(run.encode("ascii").translate(_TRANSLATE), dtype=np.uint8).astype(np.int32)
+        steps = np.concatenate([codes[:1], codes[:-1] * _N + codes[1:]])
+        if float(self.ratio.ravel()[steps].sum()) <= 0:
+            return float(self.ratio.ravel()[steps].sum())
+        return float(self.ratio.ravel()[np.unique(steps)].sum())
 
     def spans(self, text: str, taken: list[Span], min_length: int, margin: float) -> list[Span]:
         found = []
