@@ -75,12 +75,15 @@ def christmas_travel(date: ColumnLike) -> Column:
     return F.when(inside, 1).otherwise(0)
 
 
+# Fixed values: (month, day) holidays, (month, weekday Monday=1, n-th) holidays with n = -1 for the
+# last one of the month, and the first year of June 19.
+HOLIDAY_DATES = ((1, 1), (7, 4), (11, 11), (12, 25))
+HOLIDAY_WEEKDAYS = ((1, 1, 3), (2, 1, 3), (5, 1, -1), (9, 1, 1), (10, 1, 2), (11, 4, 4))
+JUNETEENTH_SINCE = 2021
+
+
 def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """Dates of the US federal holidays by their legal rules, one row per holiday."""
-    # Fixed values: (month, day) holidays and (month, weekday Monday=1, n-th) holidays;
-    # n = -1 is the last one of the month.
-    fixed = [(1, 1), (7, 4), (11, 11), (12, 25)]
-    floating = [(1, 1, 3), (2, 1, 3), (5, 1, -1), (9, 1, 1), (10, 1, 2), (11, 4, 4)]
     years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
 
     def date_of(month: int, day: int) -> Column:
@@ -94,31 +97,37 @@ def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> Da
         shift = F.pmod(F.lit(weekday) - (F.weekday(first) + 1), F.lit(7))
         return F.date_add(first, shift + 7 * (n - 1))
 
-    days = [date_of(m, d) for m, d in fixed] + [nth(m, w, n) for m, w, n in floating]
-    juneteenth = F.when(F.col("year") >= 2021, date_of(6, 19))
+    days = [date_of(m, d) for m, d in HOLIDAY_DATES] + [nth(m, w, n) for m, w, n in HOLIDAY_WEEKDAYS]
+    juneteenth = F.when(F.col("year") >= JUNETEENTH_SINCE, date_of(6, 19))
     listed = years.select(F.explode(F.array(*days, juneteenth)).alias("holiday"))
     return listed.filter(F.col("holiday").isNotNull())
 
 
-def holiday_calendar(holidays: DataFrame, days_around: int = 3) -> DataFrame:
-    """``(day, indicator)``: 2 on a holiday, 1 within ``days_around`` days; overlaps take the max."""
-    around = F.sequence(F.date_sub("holiday", days_around), F.date_add("holiday", days_around))
-    return (
-        holidays.select("holiday", F.explode(around).alias("day"))
-        .groupBy("day")
-        .agg(F.max(F.when(F.col("day") == F.col("holiday"), 2).otherwise(1)).alias("indicator"))
-    )
+def is_federal_holiday(date: ColumnLike) -> Column:
+    """Whether a day is a US federal holiday, by the legal rules, for any year."""
+    value = _col(date)
+    month, day, weekday = F.month(value), F.dayofmonth(value), F.weekday(value) + 1
+    found = F.lit(False)
+    for m, d in HOLIDAY_DATES:
+        found = found | ((month == m) & (day == d))
+    for m, w, n in HOLIDAY_WEEKDAYS:
+        of_month = day > F.dayofmonth(F.last_day(value)) - 7 if n < 0 else F.ceil(day / 7) == n
+        found = found | ((month == m) & (weekday == w) & of_month)
+    return found | ((month == 6) & (day == 19) & (F.year(value) >= JUNETEENTH_SINCE))
+
+
+def holiday_indicator(date: ColumnLike, days_around: int = 3) -> Column:
+    """2 on a holiday, 1 within ``days_around`` days of one, else 0 (unknown dates as well)."""
+    value = F.to_date(_col(date))
+    near = F.lit(False)
+    for k in range(1, days_around + 1):
+        near = near | is_federal_holiday(F.date_add(value, k)) | is_federal_holiday(F.date_sub(value, k))
+    return F.when(is_federal_holiday(value), 2).when(near, 1).otherwise(0)
 
 
-def with_holiday_indicator(
-    df: DataFrame, date: str, first_year: int, last_year: int, output: str = "federal_holiday_indicator"
-) -> DataFrame:
-    """Join the holiday calendar: at most 77 rows per year of the span, hence broadcast."""
-    if last_year - first_year > 1000:
-        raise ValueError("the calendar span is limited to 1000 years")
-    calendar = holiday_calendar(federal_holidays(df.sparkSession, first_year - 1, last_year + 1))
-    joined = df.join(F.broadcast(calendar), F.to_date(df[date]) == calendar["day"], "left")
-    return joined.withColumn(output, F.coalesce("indicator", F.lit(0))).drop("day", "indicator")
+def with_holiday_indicator(df: DataFrame, date: str, output: str = "federal_holiday_indicator") -> DataFrame:
+    """Add the indicator; it is computed from the row's date, so no calendar and no span is needed."""
+    return df.withColumn(output, holiday_indicator(date))
 
 
 # --- cyclical encodings --------------------------------------------------------------------
@@ -147,6 +156,7 @@ def delay_flag(delay: ColumnLike, minutes: float, inclusive: bool = True) -> Col
 
 
 def status_bucket(delay: ColumnLike) -> Column:
+    # The limits and names of the classes.
     value = _col(delay)
     return (
         F.when(value <= 0, "On Time")
@@ -156,6 +166,7 @@ def status_bucket(delay: ColumnLike) -> Column:
 
 
 def part_of_day(hhmm: ColumnLike) -> Column:
+    # The hours and names of the parts.
     hour = clock_hour(hhmm)
     return (
         F.when((hour >= 5) & (hour < 12), "Morning")

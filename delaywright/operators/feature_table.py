@@ -33,9 +33,9 @@ ENGINEERED = [
 
 
 def calendar_features(
-    df: DataFrame, clock: str, date: str, as_of: Column | dt.date, first_year: int, last_year: int
+    df: DataFrame, clock: str, date: str, as_of: Column | dt.date
 ) -> DataFrame:
-    """Features that depend on one row only (the holiday calendar is a bounded broadcast)."""
+    """Features that depend on one row only."""
     hour_sin, hour_cos = fx.cyclic(fx.clock_hour(clock), 24)
     day_sin, day_cos = fx.cyclic(F.dayofyear(date), 365)
     projected = df.select(
@@ -49,7 +49,7 @@ def calendar_features(
         fx.christmas_travel(date).alias("christmas_travel"),
         fx.recency_days(date, as_of).alias("recency_days"),
     )
-    return fx.with_holiday_indicator(projected, date, first_year, last_year)
+    return fx.with_holiday_indicator(projected, date)
 
 
 def flight_features(
@@ -68,12 +68,10 @@ def flight_features(
 
     ``as_of`` fixes the reference day of ``recency_days``; by default it is the latest date.
     """
-    span = df.agg(F.min(F.year(date)).alias("first"), F.max(F.year(date)).alias("last"), F.max(date).alias("latest"))
-    bounds = span.first()
-    if bounds["first"] is None:
+    as_of = as_of if as_of is not None else df.agg(F.max(date)).first()[0]
+    if as_of is None:
         raise ValueError("no dated rows")
-    as_of = as_of if as_of is not None else bounds["latest"]
-    base = calendar_features(df, clock, date, as_of, bounds["first"], bounds["last"])
+    base = calendar_features(df, clock, date, as_of)
     minute = base.withColumn("_minute", fx.epoch_minutes(timestamp))
     crowded = windows.flights_within(minute, [airport], "_minute", row_id, 15, rows_per_task=rows_per_task)
     order = [timestamp, row_id]

@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaywright.operators.skew import ROWS_PER_TASK
+from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Position
 from delaywright.runtime import cut_lineage, spool
 
 
@@ -101,8 +101,11 @@ def transition_probabilities(edges: DataFrame) -> DataFrame:
 
 
 def adjacency_matrix(edges: DataFrame, nodes: list) -> DataFrame:
-    """0/1 matrix with one column per node, zero rows kept. For small graphs with known nodes."""
+    """0/1 matrix with one column per node, zero rows kept. For small graphs with known nodes; an
+    edge outside ``nodes`` is an error. Larger graphs have :func:`adjacency_entries`."""
     spark = edges.sparkSession
+    if not edges.filter(~(F.col("src").isin(nodes) & F.col("dst").isin(nodes))).isEmpty():
+        raise ValueError("an edge leads outside the given nodes")
     every = spark.createDataFrame([(n,) for n in nodes], f"node {edges.schema['src'].dataType.simpleString()}")
     marks = (
         edges.groupBy(F.col("src").alias("node")).pivot("dst", nodes).agg(F.lit(1))
@@ -112,13 +115,21 @@ def adjacency_matrix(edges: DataFrame, nodes: list) -> DataFrame:
     )
 
 
+def adjacency_entries(edges: DataFrame) -> DataFrame:
+    """The 0/1 matrix as rows ``(i, j, v)``, one for each entry that is not zero; for any graph."""
+    return edges.filter("src IS NOT NULL AND dst IS NOT NULL").select(
+        F.col("src").alias("i"), F.col("dst").alias("j"), F.lit(1).alias("v")
+    ).distinct()
+
+
 def adjacency_list(edges: DataFrame, per_record: int = 100_000) -> DataFrame:
     """``(id, part, neighbours)``: sorted neighbours, every node kept.
 
-    A node with more than ``per_record`` out-links gets several records, so no array is unbounded.
+    Record ``part`` of a node holds its neighbours number ``part * per_record`` onwards, in order,
+    at most ``per_record`` of them; a node without any has one empty record.
     """
-    linked = _prepare(edges, per_record).edges
-    lists = linked.groupBy(F.col("src").alias("id"), F.col("salt").alias("part")).agg(
+    ordered = OrderedScan(["src"], ["dst"]).run(edges.select("src", "dst").distinct(), _at=Position())
+    lists = ordered.groupBy(F.col("src").alias("id"), F.expr(f"int((_at - 1) div {per_record})").alias("part")).agg(
         F.sort_array(F.collect_list("dst")).alias("neighbours")
     )
     empty = F.array().cast(lists.schema["neighbours"].dataType)
@@ -202,6 +213,15 @@ def _place(links: _Links) -> _Links:
     return _Links(placed.persist(StorageLevel.MEMORY_AND_DISK), links.heavy)
 
 
+def _hold(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The edges kept in memory, and what to release afterwards: nothing the caller had cached."""
+    level = edges.storageLevel
+    if level.useMemory or level.useDisk:
+        return edges, []
+    held = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    return held, [held]
+
+
 def pagerank(
     edges: DataFrame,
     alpha: float = 0.15,
@@ -223,7 +243,7 @@ def pagerank(
     end from the dangling sums of all ``v_k``, which is one aggregate row. Lineage is cut every
     ``cut_every`` steps by a checkpoint in the shared folder.
     """
-    held = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    held, own = _hold(edges)
     links = _place(_prepare(held, edges_per_task, weighted))
     flags = _nodes_with_links(held)
     walks = [cut_lineage(flags.select("id", "has_links", F.lit(1.0).alias("value")))]
@@ -242,7 +262,7 @@ def pagerank(
             *[F.sum(F.when(F.col("k") == k, F.col("value")).otherwise(0.0)).alias(f"v{k}") for k in range(iterations + 1)],
         )
     )
-    for frame in (*walks[1:], links.edges, held):
+    for frame in (*walks[1:], links.edges, *own):
         frame.unpersist()
 
     sums = table.agg(
@@ -277,7 +297,7 @@ def steady_state(edges: DataFrame, steps: int, start=None, cut_every: int = 8) -
     Starts on ``start`` (or spread evenly). Without dangling nodes the state stays a probability
     distribution; with them, mass leaks, which is what the damped form repairs.
     """
-    held = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    held, own = _hold(edges)
     links = _place(_prepare(held, ROWS_PER_TASK))
     nodes = cut_lineage(nodes_of(held))
     first = F.lit(1.0 / nodes.count()) if start is None else (F.col("id") == F.lit(start)).cast("double")
@@ -286,7 +306,7 @@ def steady_state(edges: DataFrame, steps: int, start=None, cut_every: int = 8) -
         state = _step(links, state)
         if step % cut_every == 0 or step == steps:
             state = cut_lineage(state)
-    for frame in (links.edges, held):
+    for frame in (links.edges, *own):
         frame.unpersist()
     return nodes.join(state, "id", "left").select(
         "id", F.coalesce("value", F.lit(0.0)).alias("probability")

@@ -26,7 +26,7 @@ def asof_join(
     Both sides go into one ordered stream per key and the last right row is carried forward, so
     no pair of rows is ever built. ``left_time`` may be an expression such as the departure
     minus two hours. Of right rows with the same time the highest ``right_id`` wins. Left rows
-    without a match keep nulls. ``measured_left`` names a cheaper frame with the same keys as
+    without a match keep nulls; a null in a key matches nothing, on either side. ``measured_left`` names a cheaper frame with the same keys as
     ``left`` for counting the group sizes.
     """
     clock = F.col(left_time) if isinstance(left_time, str) else left_time
@@ -34,23 +34,32 @@ def asof_join(
     record = F.struct(*[F.col(c) for c in payload])
     whole = F.struct(*[F.col(c) for c in left.columns])
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(on)]
+    unknown = F.lit(False)
+    for k in on:
+        unknown = unknown | F.col(k).isNull()
+    # Left rows without a key are spread over many groups: together they would be one hot key.
+    spread = F.when(unknown, F.pmod(F.xxhash64(left_id), F.lit(4096))).otherwise(0).cast("int").alias("_null")
+    known = right.filter(~unknown)
     l_stream = left.select(
         *named,
+        spread,
         clock.alias("_t"),
         F.lit(1).alias("_side"),
         F.col(left_id).alias("_id"),
         whole.alias("_left"),
     )
-    r_stream = right.filter(stamp.isNotNull()).select(
+    r_stream = known.filter(stamp.isNotNull()).select(
         *named,
+        F.lit(0).alias("_null"),
         stamp.alias("_t"),
         F.lit(0).alias("_side"),
         F.col(right_id).alias("_id"),
         record.alias("_right"),
     )
     stream = l_stream.unionByName(r_stream, allowMissingColumns=True)
-    keys = [f"_k{i}" for i in range(len(on))]
-    sizes = (left if measured_left is None else measured_left).select(*named).unionByName(right.select(*named))
+    keys = [*[f"_k{i}" for i in range(len(on))], "_null"]
+    measured = (left if measured_left is None else measured_left).select(*named, spread)
+    sizes = measured.unionByName(known.select(*named, F.lit(0).alias("_null")))
     scan = OrderedScan(keys, ["_t", "_side", "_id"], rows_per_task)
     carried = scan.run(stream, measured_on=sizes, _match=LastKnown("_right")).filter(F.col("_side") == 1)
     # a left row without a time sorts first and must not match

@@ -197,12 +197,14 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 
 
-def keyed_sample(df: DataFrame, key: str, keep: int, out_of: int) -> DataFrame:
-    """Repeatable sample: the same ids are drawn however the rows are distributed."""
-    return df.filter(F.pmod(F.col(key), F.lit(out_of)) < keep)
+def keyed_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Repeatable sample by the md5 of the key: the same ids are drawn wherever the rows lie, and
+    any system with md5 can draw them again."""
+    bound = f"{min(0xFFFFFFFF, int(fraction * (1 << 32))):08x}"
+    return df.filter(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8) < bound)
 
 
 def fixed_size_sample(df: DataFrame, n: int, seed: int, key: Sequence[str]) -> DataFrame:
-    """``n`` rows without replacement: the smallest seeded hashes (a distributed top-k)."""
-    order = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
+    """``n`` rows without replacement: the smallest md5 of seed and key (a distributed top-k)."""
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]).cast("binary"))
     return df.withColumn("_h", order).orderBy("_h", *key).limit(n).drop("_h")

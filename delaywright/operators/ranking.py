@@ -18,7 +18,6 @@ from delaywright.operators.skew import ROWS_PER_TASK, attach
 from delaywright.runtime import spool
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4_096
 BROADCAST_VALUES = 400_000
 
 
@@ -31,14 +30,14 @@ def prefix_sums(
     folder once, because the ranges, their totals and the final join all read it.
     """
     table = spool(table, "frequencies")
-    ranges = min(MAX_RANGES, max(1, math.ceil(table.count() / rows_per_range)))
+    ranges = max(1, math.ceil(table.count() / rows_per_range))
     inside = [F.coalesce(F.sum(m).over(_earlier(value, ranges)), F.lit(0)) for m in measures]
     if ranges == 1:
         return table.select("*", *[c.alias(f"before_{m}") for c, m in zip(inside, measures)])
     ranged = _with_range(table, value, ranges)
     local = ranged.select("*", *[c.alias(f"_in_{m}") for c, m in zip(inside, measures)])
     totals = ranged.groupBy(F.col("_range").alias("_r")).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    # at most MAX_RANGES rows: one task and a broadcast are fine
+    # one row per million distinct values: one task and a broadcast are fine
     by_range = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_r", *[F.coalesce(F.sum(f"_t_{m}").over(by_range), F.lit(0)).alias(f"_off_{m}") for m in measures]

@@ -54,15 +54,20 @@ def share_within(
     return joined.drop("_categories").withColumn("percentage", F.col("n") / F.col("total") * 100)
 
 
-def daily_by_year(df: DataFrame, date: str, years: Sequence[int]) -> DataFrame:
+def daily_by_year(df: DataFrame, date: str, years: Sequence[int] | None = None) -> DataFrame:
     """Rows per calendar day of the year, one column per year.
 
-    The years are given, so the pivot needs no extra pass, and daily totals are built first.
+    Daily totals are built first. Without ``years``, the years are those that occur in the totals
+    (at most one column per year of the data); a year that is not listed is an error, not a loss.
     """
-    daily = df.groupBy(F.to_date(date).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    daily = df.groupBy(F.to_date(date).alias("day")).agg(F.count(F.lit(1)).alias("n")).filter("day IS NOT NULL")
+    daily = daily.withColumn("_year", F.year("day"))
+    known = sorted(r["_year"] for r in daily.select("_year").distinct().collect())
+    if years is not None and not set(known) <= set(years):
+        raise ValueError(f"years outside the list: {sorted(set(known) - set(years))}")
+    years = known if years is None else years
     return (
-        daily.withColumn("_year", F.year("day"))
-        .groupBy(F.date_format("day", "MM-dd").alias("month_day"))
+        daily.groupBy(F.date_format("day", "MM-dd").alias("month_day"))
         .pivot("_year", list(years))
         .agg(F.sum("n"))
         .select("month_day", *[F.coalesce(F.col(str(y)), F.lit(0)).alias(f"y{y}") for y in years])
@@ -95,16 +100,25 @@ def with_prf(df: DataFrame, beta: float = 2.0) -> DataFrame:
 
 
 def confusion_matrix(
-    df: DataFrame, predicted: str, actual: str, classes: Sequence[int] = (0, 1)
+    df: DataFrame, predicted: str, actual: str, classes: Sequence[int] | None = None
 ) -> DataFrame:
-    """One row per actual class, one column ``predicted_<class>`` per predicted class, 0-filled."""
+    """One row per actual class, one column ``predicted_<class>`` per predicted class, 0-filled.
+
+    Without ``classes``, 0, 1 and every other class that is predicted get a column; a predicted
+    class outside a given list is an error, not a loss. Rows without a prediction count as ``predicted_null`` if
+    there are any.
+    """
     counts = df.groupBy(F.col(actual).cast("int").alias("actual"), F.col(predicted).cast("int").alias("_p")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    wide = counts.groupBy("actual").pivot("_p", list(classes)).agg(F.sum("n"))
-    return wide.select(
-        "actual", *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"predicted_{c}") for c in classes]
-    )
+    found = {r["_p"] for r in counts.select("_p").distinct().collect()}
+    known = sorted(found - {None})
+    if classes is not None and not set(known) <= set(classes):
+        raise ValueError(f"predicted classes outside the list: {sorted(set(known) - set(classes))}")
+    names = [str(c) for c in (sorted({0, 1, *known}) if classes is None else classes)] + ["null"] * (None in found)
+    wide = counts.withColumn("_p", F.coalesce(F.col("_p").cast("string"), F.lit("null")))
+    wide = wide.groupBy("actual").pivot("_p", names).agg(F.sum("n"))
+    return wide.select("actual", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(f"predicted_{c}") for c in names])
 
 
 def calendar_averages(df: DataFrame, parts: Mapping[str, Column], value: str) -> DataFrame:

@@ -60,18 +60,12 @@ def flights_within(
     """Departures of the same airport within ± ``minutes`` of a row, itself included.
 
     ``minute`` is a running minute number (it does not restart at midnight). Per-minute counts
-    are cut into day-long blocks; the edges of a block are repeated in its neighbour, so each
-    window holds at most ``1440 + 2 * minutes`` rows.
+    are cut into day-long blocks; a minute is repeated in every block it reaches, so each window
+    holds at most ``1440 + 2 * minutes`` rows. A row without a minute has no count (null).
     """
     slots = df.groupBy(*group, minute).agg(F.count(F.lit(1)).alias("_here"))
     block = F.floor(F.col(minute) / 1440)
-    blocks = F.array_distinct(
-        F.array(
-            block,
-            F.floor((F.col(minute) - minutes) / 1440),
-            F.floor((F.col(minute) + minutes) / 1440),
-        )
-    )
+    blocks = F.sequence(F.floor((F.col(minute) - minutes) / 1440), F.floor((F.col(minute) + minutes) / 1440))
     spread = slots.withColumn("_home", block).withColumn("_block", F.explode(blocks))
     around = (
         Window.partitionBy(*group, "_block").orderBy(minute).rangeBetween(-minutes, minutes)

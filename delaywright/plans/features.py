@@ -79,8 +79,9 @@ def feat_christmas(spark, sf_dir):
 
 @query(
     "feat_holiday",
-    f"""WITH day AS (SELECT CAST(unnest(generate_series(DATE '1994-01-01', DATE '2002-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
-    holiday AS (SELECT d FROM day WHERE {HOLIDAY_RULES}),
+    f"""WITH day AS (SELECT CAST(unnest(generate_series((SELECT min(o_orderdate) - INTERVAL 4 DAY FROM orders),
+      (SELECT max(o_orderdate) + INTERVAL 4 DAY FROM orders), INTERVAL 1 DAY)) AS DATE) AS d),
+    holiday AS (SELECT d FROM day WHERE {HOLIDAY_RULES} OR (month(d) = 6 AND day(d) = 19 AND year(d) >= 2021)),
     mark AS (SELECT day.d, max(CASE WHEN day.d = holiday.d THEN 2 ELSE 1 END) AS m
       FROM day JOIN holiday ON abs(date_diff('day', day.d, holiday.d)) <= 3 GROUP BY day.d)
     SELECT o_orderkey, CAST(coalesce(m, 0) AS INTEGER) AS federal_holiday_indicator
@@ -88,7 +89,7 @@ def feat_christmas(spark, sf_dir):
 )
 def feat_holiday(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return fx.with_holiday_indicator(orders, "o_orderdate", 1995, 2001).drop("o_orderdate")
+    return fx.with_holiday_indicator(orders, "o_orderdate").drop("o_orderdate")
 
 
 @query(
@@ -287,7 +288,8 @@ def win_prior_delay(spark, sf_dir):
 @query(
     "feature_table",
     f"""WITH {FLIGHTS},
-    day AS (SELECT CAST(unnest(generate_series(DATE '2023-01-01', DATE '2025-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+    day AS (SELECT CAST(unnest(generate_series((SELECT min(fl_date) - INTERVAL 4 DAY FROM v_flight),
+      (SELECT max(fl_date) + INTERVAL 4 DAY FROM v_flight), INTERVAL 1 DAY)) AS DATE) AS d),
     holiday AS (SELECT d FROM day WHERE {HOLIDAY_RULES} OR (month(d) = 6 AND day(d) = 19)),
     mark AS (SELECT day.d, max(CASE WHEN day.d = holiday.d THEN 2 ELSE 1 END) AS m
       FROM day JOIN holiday ON abs(date_diff('day', day.d, holiday.d)) <= 3 GROUP BY day.d),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from delaywright.operators import graph
 from delaywright.plans.registry import query
 from delaywright.plans.views import (
+    table,
     SUPPLY_EDGES,
     TRADE_EDGES,
     rounded,
@@ -139,32 +140,41 @@ def transition_probs(spark, sf_dir):
     return graph.transition_probabilities(supply_edges(spark, sf_dir)).withColumn("p", F.round("p", 8))
 
 
+PER_RECORD = 50
+
+
 @query(
     "adjacency_list",
-    f"""WITH {SUPPLY_EDGES}, {NODES}, l AS (SELECT src AS id, string_agg(dst, ',' ORDER BY dst) AS neighbours
-      FROM v_edge GROUP BY src)
-    SELECT id, 0 AS part, coalesce(neighbours, '') AS neighbours FROM v_node LEFT JOIN l USING (id)""",
+    f"""WITH {SUPPLY_EDGES}, {NODES},
+    o AS (SELECT src, dst, CAST((row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {PER_RECORD} AS INTEGER) AS part FROM v_edge),
+    l AS (SELECT src AS id, part, string_agg(dst, ',' ORDER BY dst) AS neighbours FROM o GROUP BY src, part)
+    SELECT id, coalesce(part, 0) AS part, coalesce(neighbours, '') AS neighbours FROM v_node LEFT JOIN l USING (id)""",
 )
 def adjacency_list(spark, sf_dir):
-    lists = graph.adjacency_list(supply_edges(spark, sf_dir))
+    lists = graph.adjacency_list(supply_edges(spark, sf_dir), PER_RECORD)
     return lists.withColumn("neighbours", F.array_join("neighbours", ","))
 
 
-NATIONS = list(range(25))
-
-
 @query(
     "adjacency_matrix",
     f"""WITH {TRADE_EDGES}, big AS (SELECT src, dst FROM v_trade
-      WHERE weight >= (SELECT avg(weight) FROM v_trade)) SELECT n_nationkey AS node, """
-    + ", ".join(f"CAST(count(*) FILTER (big.dst = {n}) > 0 AS INTEGER) AS to_{n}" for n in NATIONS)
-    + " FROM nation LEFT JOIN big ON n_nationkey = src GROUP BY 1",
+      WHERE weight >= (SELECT avg(weight) FROM v_trade)),
+    cell AS (SELECT a.n_nationkey AS node, 'to_' || b.n_nationkey AS name, CAST(big.src IS NOT NULL AS INTEGER) AS v
+      FROM nation a CROSS JOIN nation b LEFT JOIN big ON big.src = a.n_nationkey AND big.dst = b.n_nationkey)
+    SELECT * FROM (PIVOT cell ON name USING max(v) GROUP BY node)""",
 )
 def adjacency_matrix(spark, sf_dir):
     """Matrix of the trade links that are at least as strong as the average link."""
     edges = trade_edges(spark, sf_dir)
     strong = edges.filter(F.col("weight") >= edges.agg(F.avg("weight")).scalar())
-    return graph.adjacency_matrix(strong, NATIONS)
+    nations = [r[0] for r in table(spark, sf_dir, "nation").select("n_nationkey").orderBy("n_nationkey").collect()]
+    return graph.adjacency_matrix(strong, nations)
+
+
+@query("adjacency_entries", f"WITH {SUPPLY_EDGES} SELECT DISTINCT src AS i, dst AS j, 1 AS v FROM v_edge")
+def adjacency_entries(spark, sf_dir):
+    """The whole 0/1 matrix as (i, j, v) rows."""
+    return graph.adjacency_entries(supply_edges(spark, sf_dir))
 
 
 def _unrolled(edge_cte: str, name: str, steps: int, weighted: bool = True, alpha: float = 0.15) -> str:

@@ -117,12 +117,13 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
     "WITH t AS (SELECT CAST(sum("
     + " + ".join(f"length(CAST({c} AS VARCHAR)) + 1" for c in ORDER_COLUMNS)
     + """) AS BIGINT) AS b FROM orders)
-    SELECT b AS text_bytes, round(b / 1073741824.0, 9) AS size_gib, round(b / 1073741824.0 * 24, 9) AS projected_gib
-    FROM t""",
+    , m AS (SELECT count(DISTINCT strftime(o_orderdate, '%Y-%m')) AS n FROM orders)
+    SELECT b AS text_bytes, round(b / 1073741824.0, 9) AS size_gib, round(b / 1073741824.0 * (72.0 / n), 9) AS projected_gib
+    FROM t, m""",
 )
 def estimate_size(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
-    size = tables.size_estimate(orders, months_covered=3, months_wanted=72)
+    size = tables.size_estimate(orders, "o_orderdate", months_wanted=72)
     return size.select(
         "text_bytes", rounded("size_gib", 9).alias("size_gib"), rounded("projected_gib", 9).alias("projected_gib")
     )
@@ -307,21 +308,26 @@ def join_share_of_group(spark, sf_dir):
 @query(
     "asof_join_prior_event",
     f"""WITH {FLIGHTS},
-    report AS (SELECT event_id AS report_id, ts AS report_ts, user_id % 20 AS station, value AS reading
-      FROM events WHERE event_type = 'error')
+    report AS (SELECT event_id AS report_id, ts AS report_ts, CASE WHEN event_id % 89 <> 0 THEN user_id % 20 END AS station,
+        value AS reading FROM events WHERE event_type = 'error')
     SELECT f.flight_id, f.origin, r.report_id, r.reading
-    FROM v_flight f ASOF LEFT JOIN report r
+    FROM (SELECT flight_id, dep_ts, CASE WHEN flight_id % 97 <> 0 THEN origin END AS origin FROM v_flight) f
+    ASOF LEFT JOIN report r
       ON f.origin = r.station AND f.dep_ts - INTERVAL 2 HOUR >= r.report_ts""",
 )
 def asof_join_prior_event(spark, sf_dir):
-    left = flights(spark, sf_dir).select("flight_id", "origin", "dep_ts")
+    """Latest error event (as a stand-in for a weather report) two hours before departure. Some
+    flights and some reports have no known airport: they match nothing."""
+    left = flights(spark, sf_dir).select(
+        "flight_id", F.when(F.col("flight_id") % 97 != 0, F.col("origin")).alias("origin"), "dep_ts"
+    )
     reports = (
         table(spark, sf_dir, "events")
         .filter(F.col("event_type") == "error")
         .select(
             F.col("event_id").alias("report_id"),
             F.col("ts").alias("report_ts"),
-            (F.col("user_id") % 20).alias("origin"),
+            F.when(F.col("event_id") % 89 != 0, F.col("user_id") % 20).alias("origin"),
             F.col("value").alias("reading"),
         )
     )
@@ -469,17 +475,13 @@ def daily_counts(spark, sf_dir):
     return summaries.count_by(events, iso("ts").alias("fl_date")).orderBy("fl_date")
 
 
-YEARS = list(range(1995, 2002))
-
-
 @query(
     "pivot_daily_by_year",
-    "SELECT strftime(o_orderdate, '%m-%d') AS month_day, "
-    + ", ".join(f"count(*) FILTER (year(o_orderdate) = {y}) AS y{y}" for y in YEARS)
-    + " FROM orders GROUP BY 1",
+    """SELECT * FROM (PIVOT (SELECT strftime(o_orderdate, '%m-%d') AS month_day, 'y' || year(o_orderdate) AS y FROM orders)
+    ON y USING count(*) GROUP BY month_day)""",
 )
 def pivot_daily_by_year(spark, sf_dir):
-    return summaries.daily_by_year(table(spark, sf_dir, "orders"), "o_orderdate", YEARS)
+    return summaries.daily_by_year(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
 @query(
@@ -574,9 +576,12 @@ def limit_ordered(spark, sf_dir):
     return orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
 
 
-@query("sample_hash_mod", "SELECT event_id, value FROM events WHERE event_id % 5 < 1")
+@query(
+    "sample_hash_mod",
+    "SELECT event_id, value FROM events WHERE substr(md5(CAST(event_id AS VARCHAR)), 1, 8) < '33333333'",
+)
 def sample_hash_mod(spark, sf_dir):
-    return profiling.keyed_sample(table(spark, sf_dir, "events").select("event_id", "value"), "event_id", 1, 5)
+    return profiling.keyed_sample(table(spark, sf_dir, "events").select("event_id", "value"), "event_id", 0.2)
 
 
 @query("sample")
@@ -584,7 +589,11 @@ def sample(spark, sf_dir):
     return profiling.bernoulli_sample(table(spark, sf_dir, "events").select("event_id", "value"), 0.2, 42)
 
 
-@query("sample_fixed_size")
+@query(
+    "sample_fixed_size",
+    f"""WITH {SUPPLY_EDGES} SELECT src, dst, weight FROM v_edge
+    ORDER BY md5('42:' || src || ':' || dst), src, dst LIMIT 1000""",
+)
 def sample_fixed_size(spark, sf_dir):
     return profiling.fixed_size_sample(supply_edges(spark, sf_dir), 1000, 42, ["src", "dst"])
 

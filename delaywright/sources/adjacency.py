@@ -73,12 +73,17 @@ def write_adjacency(edges: DataFrame, path: str) -> str:
 
 
 def expand_multiplicity(records: DataFrame) -> DataFrame:
-    """``(node, neighbours)`` → ``(node, outlinks)``: each destination repeated by its count.
+    """``(node, neighbours)`` → ``(node, outlinks)``: each destination repeated by its count, one
+    row for each node however many records it came in.
 
-    Only for exporting the comma-separated text form; computations keep the weight instead.
+    Only for exporting the comma-separated text form, whose one line per node is by definition as
+    long as the node's links; computations keep the weight instead.
     """
-    repeated = F.transform(
-        F.array_sort(F.map_entries("neighbours")),
-        lambda e: F.array_repeat(e["key"], e["value"].cast("int")),
+    entry = F.expr("rtrim(',', repeat(concat(dst, ','), int(weight)))")
+    listed = explode_edges(records).filter("weight > 0").withColumn("entry", entry)
+    lists = listed.groupBy(F.col("src").alias("node")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dst", "entry"))), lambda e: e["entry"]), ",").alias("outlinks")
+    )
+    return records.select("node").distinct().join(lists, "node", "left").select(
+        "node", F.coalesce("outlinks", F.lit("")).alias("outlinks")
     )
-    return records.select("node", F.concat_ws(",", F.flatten(repeated)).alias("outlinks"))

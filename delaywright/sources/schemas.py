@@ -1,4 +1,4 @@
-"""Column lists and types of the flight data, for typed reading and for the models."""
+"""Column lists and types of the flight data, for typed reading."""
 
 from __future__ import annotations
 
@@ -8,32 +8,117 @@ from delaywright.operators.cleaning import cast_columns, cast_dates, keep_known
 
 # Types of the raw joined flight and weather file, which is read as text.
 RAW_INTEGERS = (
-    "QUARTER DAY_OF_MONTH DAY_OF_WEEK OP_CARRIER_AIRLINE_ID OP_CARRIER_FL_NUM ORIGIN_AIRPORT_ID "
-    "ORIGIN_AIRPORT_SEQ_ID ORIGIN_CITY_MARKET_ID ORIGIN_STATE_FIPS ORIGIN_WAC DEST_AIRPORT_ID "
-    "DEST_AIRPORT_SEQ_ID DEST_CITY_MARKET_ID DEST_STATE_FIPS DEST_WAC CRS_DEP_TIME DEP_TIME "
-    "DEP_DELAY TAXI_OUT WHEELS_OFF WHEELS_ON TAXI_IN CRS_ARR_TIME ARR_TIME ARR_DELAY CANCELLED "
-    "DIVERTED CRS_ELAPSED_TIME ACTUAL_ELAPSED_TIME AIR_TIME DISTANCE"
-).split()
-RAW_FLOATS = "LATITUDE LONGITUDE ELEVATION".split()
+    "QUARTER",
+    "DAY_OF_MONTH",
+    "DAY_OF_WEEK",
+    "OP_CARRIER_AIRLINE_ID",
+    "OP_CARRIER_FL_NUM",
+    "ORIGIN_AIRPORT_ID",
+    "ORIGIN_AIRPORT_SEQ_ID",
+    "ORIGIN_CITY_MARKET_ID",
+    "ORIGIN_STATE_FIPS",
+    "ORIGIN_WAC",
+    "DEST_AIRPORT_ID",
+    "DEST_AIRPORT_SEQ_ID",
+    "DEST_CITY_MARKET_ID",
+    "DEST_STATE_FIPS",
+    "DEST_WAC",
+    "CRS_DEP_TIME",
+    "DEP_TIME",
+    "DEP_DELAY",
+    "TAXI_OUT",
+    "WHEELS_OFF",
+    "WHEELS_ON",
+    "TAXI_IN",
+    "CRS_ARR_TIME",
+    "ARR_TIME",
+    "ARR_DELAY",
+    "CANCELLED",
+    "DIVERTED",
+    "CRS_ELAPSED_TIME",
+    "ACTUAL_ELAPSED_TIME",
+    "AIR_TIME",
+    "DISTANCE",
+)
+RAW_FLOATS = (
+    "LATITUDE",
+    "LONGITUDE",
+    "ELEVATION",
+)
 RAW_DOUBLES = (
-    "MONTH YEAR HourlyDewPointTemperature HourlyDryBulbTemperature HourlyPrecipitation "
-    "HourlyRelativeHumidity HourlySkyConditions HourlySeaLevelPressure HourlyStationPressure "
-    "HourlyVisibility HourlyWetBulbTemperature HourlyWindSpeed HourlyAltimeterSetting DEP_DEL15"
-).split()
+    "MONTH",
+    "YEAR",
+    "HourlyDewPointTemperature",
+    "HourlyDryBulbTemperature",
+    "HourlyPrecipitation",
+    "HourlyRelativeHumidity",
+    "HourlySkyConditions",
+    "HourlySeaLevelPressure",
+    "HourlyStationPressure",
+    "HourlyVisibility",
+    "HourlyWetBulbTemperature",
+    "HourlyWindSpeed",
+    "HourlyAltimeterSetting",
+    "DEP_DEL15",
+)
 
 # What is known two hours before departure, and the target.
 KNOWN_TWO_HOURS_BEFORE = (
-    "QUARTER MONTH DAY_OF_MONTH DAY_OF_WEEK FL_DATE OP_UNIQUE_CARRIER OP_CARRIER_AIRLINE_ID "
-    "OP_CARRIER TAIL_NUM OP_CARRIER_FL_NUM ORIGIN_AIRPORT_ID ORIGIN_CITY_MARKET_ID ORIGIN "
-    "ORIGIN_CITY_NAME ORIGIN_STATE_ABR ORIGIN_STATE_FIPS ORIGIN_STATE_NM ORIGIN_WAC "
-    "DEST_AIRPORT_ID DEST_CITY_MARKET_ID DEST DEST_CITY_NAME DEST_STATE_ABR DEST_STATE_FIPS "
-    "DEST_STATE_NM DEST_WAC DISTANCE YEAR STATION DATE LATITUDE LONGITUDE ELEVATION NAME "
-    "HourlyAltimeterSetting HourlyDewPointTemperature HourlyDryBulbTemperature "
-    "HourlyPrecipitation HourlyPresentWeatherType HourlyPressureChange HourlyPressureTendency "
-    "HourlyRelativeHumidity HourlySkyConditions HourlySeaLevelPressure HourlyStationPressure "
-    "HourlyVisibility HourlyWetBulbTemperature HourlyWindDirection HourlyWindGustSpeed "
-    "HourlyWindSpeed Sunrise Sunset DEP_DELAY DEP_DEL15"
-).split()
+    "QUARTER",
+    "MONTH",
+    "DAY_OF_MONTH",
+    "DAY_OF_WEEK",
+    "FL_DATE",
+    "OP_UNIQUE_CARRIER",
+    "OP_CARRIER_AIRLINE_ID",
+    "OP_CARRIER",
+    "TAIL_NUM",
+    "OP_CARRIER_FL_NUM",
+    "ORIGIN_AIRPORT_ID",
+    "ORIGIN_CITY_MARKET_ID",
+    "ORIGIN",
+    "ORIGIN_CITY_NAME",
+    "ORIGIN_STATE_ABR",
+    "ORIGIN_STATE_FIPS",
+    "ORIGIN_STATE_NM",
+    "ORIGIN_WAC",
+    "DEST_AIRPORT_ID",
+    "DEST_CITY_MARKET_ID",
+    "DEST",
+    "DEST_CITY_NAME",
+    "DEST_STATE_ABR",
+    "DEST_STATE_FIPS",
+    "DEST_STATE_NM",
+    "DEST_WAC",
+    "DISTANCE",
+    "YEAR",
+    "STATION",
+    "DATE",
+    "LATITUDE",
+    "LONGITUDE",
+    "ELEVATION",
+    "NAME",
+    "HourlyAltimeterSetting",
+    "HourlyDewPointTemperature",
+    "HourlyDryBulbTemperature",
+    "HourlyPrecipitation",
+    "HourlyPresentWeatherType",
+    "HourlyPressureChange",
+    "HourlyPressureTendency",
+    "HourlyRelativeHumidity",
+    "HourlySkyConditions",
+    "HourlySeaLevelPressure",
+    "HourlyStationPressure",
+    "HourlyVisibility",
+    "HourlyWetBulbTemperature",
+    "HourlyWindDirection",
+    "HourlyWindGustSpeed",
+    "HourlyWindSpeed",
+    "Sunrise",
+    "Sunset",
+    "DEP_DELAY",
+    "DEP_DEL15",
+)
 
 # Types of the feature table.
 FEATURE_TYPES = {
@@ -65,22 +150,8 @@ FEATURE_TYPES = {
     "FL_DATE": "date",
 }
 
-# Model inputs of the baseline.
-CATEGORICAL_FEATURES = (
-    "OP_UNIQUE_CARRIER ORIGIN_AIRPORT_ID DEST_AIRPORT_ID HourlyPresentWeatherType "
-    "crs_dep_time_part_of_day christmas_travel federal_holiday_indicator"
-).split()
-NUMERIC_FEATURES = (
-    "ELEVATION HourlyAltimeterSetting HourlyDryBulbTemperature HourlyPrecipitation "
-    "HourlyRelativeHumidity HourlySeaLevelPressure HourlyVisibility HourlyWindDirection "
-    "HourlyWindSpeed crs_dep_hour_sin crs_dep_hour_cos crs_dep_day_of_year_sin "
-    "crs_dep_day_of_year_cos DISTANCE tail_num_flight_seq_num parallel_flights "
-    "prior_flight_dep_delay_new recency_days"
-).split()
-TARGET = "DEP_DELAY_NEW"
 
-
-def _present(df: DataFrame, names: list[str]) -> list[str]:
+def _present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
     return [c for c in names if c in df.columns]
 
 

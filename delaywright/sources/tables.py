@@ -62,18 +62,21 @@ def load_report(df: DataFrame, date_column: str, pattern: str = "yyyy-MM-dd HH:m
     )
 
 
-def size_estimate(df: DataFrame, months_covered: int, months_wanted: int) -> DataFrame:
-    """Size of the rows as delimited text in bytes and GiB, and its projection to a longer period."""
+def size_estimate(df: DataFrame, date: str, months_wanted: int) -> DataFrame:
+    """Size of the rows as delimited text in bytes and GiB, and its projection from the calendar
+    months that occur in ``date`` to ``months_wanted`` months (null without any month)."""
     widths = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 1 for c in df.columns]
     row_width = widths[0]
     for width in widths[1:]:
         row_width = row_width + width
-    total = F.coalesce(F.sum(row_width.cast("bigint")), F.lit(0))
+    # Totals by month first: the months are counted on one row each.
+    monthly = df.groupBy(F.date_format(date, "yyyy-MM").alias("month")).agg(F.sum(row_width.cast("bigint")).alias("b"))
+    total = F.coalesce(F.sum("b"), F.lit(0))
     gib = total / F.lit(float(1024**3))
-    return df.agg(
+    return monthly.agg(
         total.alias("text_bytes"),
         gib.alias("size_gib"),
-        (gib * F.lit(months_wanted / months_covered)).alias("projected_gib"),
+        (gib * F.try_divide(F.lit(float(months_wanted)), F.count("month"))).alias("projected_gib"),
     )
 
 

@@ -114,6 +114,10 @@ def test_roc_area(scored, rows_per_range):
 
 def test_confusion_matrix_has_all_cells(spark):
     df = spark.createDataFrame([(1.0, 1), (1.0, 1), (1.0, 0)], "p double, a int")
+    third = df.limit(1).select(F.lit(2).alias("p"), "a").unionByName(df.select("p", "a"))
+    assert "predicted_2" in summaries.confusion_matrix(third, "p", "a").columns
+    with pytest.raises(ValueError, match="2"):
+        summaries.confusion_matrix(third, "p", "a", (0, 1))
     matrix = {r["actual"]: (r["predicted_0"], r["predicted_1"]) for r in summaries.confusion_matrix(df, "p", "a").collect()}
     assert matrix == {0: (0, 1), 1: (0, 2)}
 

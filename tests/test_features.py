@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
-from delaywright.operators import cleaning, summaries
+from delaywright.operators import cleaning, summaries, windows
 from delaywright.sources import tables
 from tests.conftest import plan_text, rows_of
 
@@ -60,7 +60,7 @@ def test_holiday_overlap_takes_the_maximum(spark):
     days = spark.createDataFrame(
         [(dt.date(2019, 12, 31),), (dt.date(2020, 1, 1),), (dt.date(2019, 12, 25),), (dt.date(2019, 8, 1),)], "d date"
     )
-    marked = fx.with_holiday_indicator(days, "d", 2019, 2020)
+    marked = fx.with_holiday_indicator(days, "d")
     assert dict(marked.select("d", "federal_holiday_indicator").collect()) == {
         dt.date(2019, 12, 31): 1, dt.date(2020, 1, 1): 2, dt.date(2019, 12, 25): 2, dt.date(2019, 8, 1): 0,
     }
@@ -143,6 +143,39 @@ def test_pivot_keeps_leap_day(spark):
     assert rows_of(summaries.daily_by_year(df, "d", [2015, 2016])) == [("02-29", 0, 2), ("03-01", 1, 0)]
 
 
+def test_pivot_takes_its_years_from_the_data(spark):
+    df = spark.createDataFrame([(dt.date(1980, 3, 1),), (dt.date(2040, 3, 1),), (None,)], "d date")
+    wide = summaries.daily_by_year(df, "d")
+    assert wide.columns == ["month_day", "y1980", "y2040"] and rows_of(wide) == [("03-01", 1, 1)]
+    with pytest.raises(ValueError, match="1980"):
+        summaries.daily_by_year(df, "d", [2040])
+
+
+def test_holidays_of_any_year_equal_the_calendar(spark):
+    days = spark.sql("SELECT explode(sequence(date'1899-12-01', date'2101-02-01', interval 1 day)) AS d")
+    marked = fx.with_holiday_indicator(days, "d")
+    calendar = fx.federal_holidays(spark, 1898, 2102)
+    near = calendar.selectExpr("holiday", "explode(sequence(date_sub(holiday, 3), date_add(holiday, 3))) AS d")
+    want = near.groupBy("d").agg(F.max(F.when(F.col("d") == F.col("holiday"), 2).otherwise(1)).alias("w"))
+    wrong = marked.join(want, "d", "left").filter("federal_holiday_indicator <> coalesce(w, 0)")
+    assert wrong.count() == 0
+    unknown = spark.createDataFrame([(None,)], "d date")
+    assert fx.with_holiday_indicator(unknown, "d").first()[1] == 0
+
+
+def test_flights_within_more_than_a_day(spark):
+    rows = [(i, "A", m) for i, m in enumerate([0, 1500, 3000, 4500, None])]
+    df = spark.createDataFrame(rows, "id int, g string, m bigint")
+    found = windows.flights_within(df, ["g"], "m", "id", 4000)
+    assert dict(rows_of(found, "id", "parallel_flights")) == {0: 3, 1: 4, 2: 4, 3: 3, 4: None}
+
+
+def test_size_estimate_counts_the_months(spark):
+    df = spark.createDataFrame([("ab", dt.date(2020, 1, 5)), ("c", dt.date(2020, 3, 1)), ("d", dt.date(2020, 3, 9))], "t string, d date")
+    row = tables.size_estimate(df, "d", 12).first()
+    assert row["text_bytes"] == 4 + 3 + 33 and abs(row["projected_gib"] / row["size_gib"] - 6) < 1e-9
+
+
 def test_csv_is_text_until_cast(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b"), (2, None)], "n int, s string")
     path = tables.write_csv(df, str(tmp_path / "csv"))

@@ -138,6 +138,10 @@ def test_matrix_and_list_keep_nodes_without_links(spark):
     lists = {r["id"]: r["neighbours"] for r in graph.adjacency_list(edges).collect()}
     assert lists["B"] == ["D", "E"] and lists["E"] == []
     parts = graph.adjacency_list(edges, per_record=1).filter("id = 'A'").collect()
+    assert sorted(r["part"] for r in parts) == list(range(len(parts)))
+    assert {(r["i"], r["j"]) for r in graph.adjacency_entries(edges).collect()} == {(r["src"], r["dst"]) for r in edges.collect()}
+    with pytest.raises(ValueError, match="outside"):
+        graph.adjacency_matrix(edges, ["A"])
     assert sorted(n for r in parts for n in r["neighbours"]) == ["B", "C", "D"]
 
 
@@ -163,6 +167,25 @@ def test_expand_multiplicity(spark):
     assert adjacency.expand_multiplicity(adjacency.parse_lines(lines)).first()["outlinks"] == "1,2,2"
 
 
+def test_expanded_links_do_not_depend_on_the_record_layout(spark):
+    edges = spark.createDataFrame([("n", f"{i:02d}", 1 + i % 3) for i in range(25)], "src string, dst string, weight bigint")
+    whole, cut = (
+        adjacency.expand_multiplicity(adjacency.parse_lines(adjacency.adjacency_lines(edges, size))).collect() for size in (100, 10)
+    )
+    assert whole == cut and len(cut) == 1
+
+
+def test_the_callers_cache_stays(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 2)], "src string, dst string, weight bigint").persist()
+    graph.pagerank(edges, iterations=2).collect()
+    graph.steady_state(edges, 2).collect()
+    assert edges.storageLevel.useMemory
+    edges.unpersist()
+    other = spark.createDataFrame([("a", "c", 1)], "src string, dst string, weight bigint")
+    graph.pagerank(other, iterations=2).collect()
+    assert not other.storageLevel.useMemory
+
+
 def test_rank_slice(spark):
     ranks = spark.createDataFrame([(i, 1.0 / (i + 1)) for i in range(50)], "id int, pagerank double")
     assert [r["id"] for r in graph.rank_slice(ranks, 20, 40).collect()] == list(range(20, 40))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from delaywright.operators import cleaning, profiling, splitting
 from delaywright.operators.selection import exact_quantiles, order_statistics
+from tests.conftest import rows_of
 
 
 def frame(spark, values, kind="double"):
@@ -153,3 +154,17 @@ def test_cuts_need_a_date_column(spark):
     rows = spark.createDataFrame([(1, "2015-01-01")], "id bigint, d string")
     with pytest.raises(TypeError):
         splitting.chronological_cuts(rows, "d", "id", [1])
+
+
+def test_nan_is_no_number(spark):
+    rows = [(float(i),) for i in range(1, 101)] + [(float("nan"),)] * 30 + [(None,)] * 5
+    df = spark.createDataFrame(rows, "x double")
+    assert exact_quantiles(df, ["x"], [0.0, 0.5, 1.0])["x"] == [1.0, 50.5, 100.0]
+    assert order_statistics(df, [("x", 100), ("x", 1)], finish_rows=10) == [100.0, 1.0]
+
+
+def test_keyed_sample_draws_the_same_ids(spark):
+    df = spark.range(5000)
+    drawn = rows_of(profiling.keyed_sample(df, "id", 0.2))
+    assert drawn == rows_of(profiling.keyed_sample(df.repartition(7), "id", 0.2)) and 850 < len(drawn) < 1150
+    assert profiling.keyed_sample(df, "id", 0.0).count() == 0 and profiling.keyed_sample(df, "id", 1.0).count() >= 4999

@@ -105,7 +105,7 @@ def test_flights_within_crosses_midnight(spark):
 def brute_asof(left, right):
     out = {}
     for lid, k, t in left:
-        hits = [(rt, rid, v) for rid, rk, rt, v in right if rk == k and t is not None and rt <= t]
+        hits = [(rt, rid, v) for rid, rk, rt, v in right if k is not None and rk == k and t is not None and rt <= t]
         out[lid] = max(hits)[1:] if hits else (None, None)
     return out
 
@@ -114,6 +114,8 @@ def brute_asof(left, right):
 def test_asof_join(spark, rows_per_task):
     left = [(i, 0 if i % 3 else i % 5, (i * 37) % 200 if i % 11 else None) for i in range(300)]
     right = [(i, 0 if i % 3 else i % 5, (i * 53) % 200, float(i)) for i in range(300)]
+    left += [(300 + i, None, 150) for i in range(40)]
+    right += [(300 + i, None, i, 0.0) for i in range(40)]
     left_df = spark.createDataFrame(left, "lid int, k int, t int")
     right_df = spark.createDataFrame(right, "rid int, k int, rt int, v double")
     joined = joins.asof_join(
