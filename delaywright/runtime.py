@@ -59,8 +59,19 @@ def spool(df: DataFrame, tag: str) -> DataFrame:
 
     Unlike a checkpoint the copy is compressed, columnar and prunable; use it when a later
     stage must see exactly the same rows in exactly the same slices, even after a lost executor.
+    ``release`` removes the copy when nothing will read it any more.
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    copy = spark.read.schema(df.schema).parquet(path)
+    copy.spooled_at = path
+    return copy
+
+
+def release(*copies: DataFrame) -> None:
+    """Remove the tables that ``spool`` wrote; frames derived from them can no longer be read."""
+    for copy in copies:
+        jvm = copy.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(copy.spooled_at)
+        path.getFileSystem(copy.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
