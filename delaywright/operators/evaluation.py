@@ -202,7 +202,49 @@ def best_multiplier(sweep: DataFrame) -> DataFrame:
 def metrics_by_part(
     df: DataFrame, label: str, actual: str, part: str = "part", prediction: str = "prediction"
 ) -> DataFrame:
-    """MAE and interval metrics per split part, each part with its own one-pass aggregates."""
-    errors = mean_absolute_error(df, label, prediction, [part])
-    scored = precision_recall_fbeta(df, "predicted_interval_delayed_binary", actual, 2.0, [part])
-    return errors.join(scored, part)
+    """Rows, MAE, confusion counts and interval metrics per split part, from one aggregate."""
+    p, a = F.col("predicted_interval_delayed_binary"), F.col(actual)
+    counted = df.groupBy(part).agg(
+        F.avg(F.abs(F.col(label) - F.col(prediction))).alias("mae"),
+        F.count_if((p == 1) & (a == 1)).alias("tp"),
+        F.count_if((p == 1) & (a == 0)).alias("fp"),
+        F.count_if((p == 0) & (a == 1)).alias("fn"),
+        F.count_if((p == 0) & (a == 0)).alias("tn"),
+    )
+    return with_prf(counted)
+
+
+def report_by_part(
+    scored: DataFrame,
+    every: DataFrame,
+    label: str,
+    actual: str,
+    part: str = "part",
+    train: str = "train",
+    prediction: str = "prediction",
+    multiplier: float = 1.0,
+) -> DataFrame:
+    """From a model's predictions to its report, one row per part: scored and skipped rows, sigma
+    of the training residuals, MAE, confusion counts, precision, recall and F2 of the interval
+    classes.
+
+    ``every`` holds the rows the model was given (with ``part``); a model skips rows with unknown
+    features, and the report says how many.
+    """
+    classes = with_sigma_of(scored, label, F.col(part) == train, prediction, multiplier)
+    measured = metrics_by_part(classes, label, actual, part, prediction).join(
+        classes.groupBy(part).agg(F.count(F.lit(1)).alias("scored"), F.first("sigma").alias("sigma")), part
+    )
+    given = every.groupBy(part).agg(F.count(F.lit(1)).alias("rows"))
+    found = given.join(measured, part, "left").withColumn("scored", F.coalesce("scored", F.lit(0)))
+    return found.withColumn("skipped", F.col("rows") - F.col("scored"))
+
+
+def with_sigma_of(
+    scored: DataFrame, label: str, rows: Column, prediction: str = "prediction", multiplier: float = 1.0
+) -> DataFrame:
+    """Interval classes with sigma taken from ``rows``; sigma is the one figure collected."""
+    sigma = residual_stddev(scored.filter(rows), label, prediction).first()[0]
+    return with_intervals(
+        scored.withColumn("sigma", F.lit(sigma).cast("double")), F.col("sigma"), prediction, multiplier=multiplier
+    )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from delaywright.functions import expressions as fx
 from delaywright.learning import features as ft
 from delaywright.learning import models, search
-from delaywright.operators import cleaning, splitting
+from delaywright.operators import cleaning, evaluation, splitting, summaries
 from delaywright.operators.feature_table import flight_features
 from delaywright.plans.registry import query
 from delaywright.plans.views import FLIGHTS, flights, rounded, sql_rounded, table
@@ -156,6 +156,64 @@ def _score_columns(scored):
     return scored.select("flight_id", "part", TARGET, F.round("prediction", 6).alias("prediction"))
 
 
+def _report(scored, parts):
+    """The model's report; the rows are few, so the training rows can be released at once."""
+    report = evaluation.report_by_part(scored, parts, TARGET, "dep_del15")
+    digits = ("sigma", "mae", "precision", "recall", "fbeta")
+    rows = report.select("part", *[F.round(c, 6).alias(c) if c in digits else c for c in report.columns if c != "part"])
+    found = rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    parts.unpersist()
+    return found
+
+
+@query("report_linear")
+def report_linear(spark, sf_dir):
+    """Linear model: predictions, intervals from the training residuals, metrics of every part."""
+    train, _, parts = _train_test(spark, sf_dir)
+    return _report(models.linear_pipeline(SPEC, TARGET).fit(train).transform(parts), parts)
+
+
+@query("report_boosted")
+def report_boosted(spark, sf_dir):
+    """Boosted trees: predictions, intervals from the training residuals, metrics of every part."""
+    train, _, parts = _train_test(spark, sf_dir)
+    flagged = splitting.training_with_validation_flag(train)
+    return _report(models.boosted_pipeline(TREE_SPEC, TARGET).fit(flagged).transform(parts), parts)
+
+
+@query("report_perceptron")
+def report_perceptron(spark, sf_dir):
+    """Perceptron: confusion counts and weighted precision, recall and F1 of every part, and the
+    rows it skipped."""
+    train, _, parts = _train_test(spark, sf_dir)
+    model = models.fit_perceptron(TREE_SPEC, _late(train), "sign_delay")
+    scored = model.transform(_late(parts)).select("part", "sign_delay", "prediction")
+    given = parts.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    counts = summaries.confusion_counts(scored, "prediction", "sign_delay", ["part"])
+    weighted = _weighted(counts)
+    report = given.join(weighted, "part", "left").withColumn(
+        "skipped", F.col("rows") - F.coalesce(F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"), F.lit(0))
+    )
+    found = spark.createDataFrame(report.collect(), report.schema)
+    parts.unpersist()
+    return found
+
+
+def _weighted(counts):
+    """Precision, recall and F1 of both classes, weighted by the classes' rows, from the counts."""
+    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    classes = (("tp", "fp", "fn"), ("tn", "fn", "fp"))
+    found = {"weighted_precision": F.lit(0.0), "weighted_recall": F.lit(0.0), "weighted_f1": F.lit(0.0)}
+    for hit, false, missed in classes:
+        weight = (F.col(hit) + F.col(missed)) / n
+        precision = fx.safe_ratio(F.col(hit), F.col(hit) + F.col(false))
+        recall = fx.safe_ratio(F.col(hit), F.col(hit) + F.col(missed))
+        found["weighted_precision"] += weight * precision
+        found["weighted_recall"] += weight * recall
+        found["weighted_f1"] += weight * fx.safe_ratio(precision * recall * 2, precision + recall)
+    return counts.select("*", *[F.round(c, 6).alias(name) for name, c in found.items()])
+
+
 @query("ml_linear_regression")
 def ml_linear_regression(spark, sf_dir):
     train, _, parts = _train_test(spark, sf_dir)
@@ -264,17 +322,29 @@ def _boosted_trial(train_x, test_x, trial):
         seed=7,
         **trial.params,
     ).fit(train_x)
-    scored = {"train": model.transform(train_x), "test": model.transform(test_x)}
-    return {f"{n}_mae": search.mean_absolute_error(s, TARGET) for n, s in scored.items()}
+    parts = [x.withColumn("part", F.lit(n)) for n, x in (("train", train_x), ("test", test_x))]
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    report = evaluation.report_by_part(model.transform(both), both, TARGET, "dep_del15")
+    metrics = {
+        f"{row['part']}_{name}": row[name] for row in report.collect() for name in ("mae", "precision", "recall", "fbeta")
+    }
+    # The loss that the search compares, the trial's importances, and where its model lies.
+    path = scratch_path(train_x.sparkSession, f"model-{trial.run_id}")
+    model.save(path)
+    weights = {f"importance_{i}": v for i, v in enumerate(model.featureImportances.toArray().tolist()) if v}
+    return {"loss": metrics["test_mae"], **metrics, **weights, "model": path}
 
 
 @query("tune_random")
 def tune_random(spark, sf_dir):
-    train, test, _ = _train_test(spark, sf_dir)
+    train, test, parts = _train_test(spark, sf_dir)
     flagged = splitting.training_with_validation_flag(train)
     train_x, test_x = _prepared(TREE_SPEC, flagged, test)
     trials = search.draw_trials(search.BOOSTED_SPACE, 4, seed=11)
-    return search.run_rows(spark, search.run_trials(spark, trials, partial(_boosted_trial, train_x, test_x)))
+    rows = search.run_trials(spark, trials, partial(_boosted_trial, train_x, test_x))
+    for frame in (train_x, test_x, parts):
+        frame.unpersist()
+    return search.run_rows(spark, rows)
 
 
 def _perceptron_trial(width, train_x, test_x, trial):
@@ -299,10 +369,11 @@ def tune_mlp(spark, sf_dir):
 
 @query("cv_random")
 def cv_random(spark, sf_dir):
-    """Random 3-fold search over the parameters of the pipeline's own last stage."""
-    train, _, _ = _train_test(spark, sf_dir)
-    (train_x,) = _prepared(TREE_SPEC, _late(train))
-    width = ft.vector_width(train_x, "assembled_features")
+    """3-fold search over the whole pipeline: indexers and scalers are fitted inside each fold. The
+    best pipeline is kept and scored on the training and the test part."""
+    train, test, parts = _train_test(spark, sf_dir)
+    stages = TREE_SPEC.stages()
+    width = ft.vector_width(Pipeline(stages=stages).fit(_late(train)).transform(_late(train)), "assembled_features")
     mlp = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="sign_delay", layers=[width, 5, 4, 2], seed=1234
     )
@@ -314,12 +385,22 @@ def cv_random(spark, sf_dir):
     )
     judge = MulticlassClassificationEvaluator(labelCol="sign_delay")
     found = CrossValidator(
-        estimator=mlp, estimatorParamMaps=grid, evaluator=judge, numFolds=3, parallelism=4, seed=5
-    ).fit(train_x)
+        estimator=Pipeline(stages=[*stages, mlp]), estimatorParamMaps=grid, evaluator=judge, numFolds=3, parallelism=4, seed=5
+    ).fit(_late(train))
     rows = []
     for i, (point, score) in enumerate(zip(grid, found.avgMetrics)):
         rows += [(f"point-{i + 1}", "param", p.name, str(v)) for p, v in point.items()]
         rows.append((f"point-{i + 1}", "metric", "f1", repr(float(score))))
+    best = found.bestModel
+    path = scratch_path(spark, "model-cv")
+    best.save(path)
+    rows.append(("best", "model", "path", path))
+    for name, part in (("train", train), ("test", test)):
+        scored = best.transform(_late(part))
+        for metric in ("weightedRecall", "weightedTruePositiveRate", "weightedFMeasure"):
+            value = judge.copy({judge.metricName: metric}).evaluate(scored)
+            rows.append(("best", "metric", f"{name}_{metric}", repr(float(value))))
+    parts.unpersist()
     return search.run_rows(spark, rows)
 
 
