@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import windows
-from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Position, Previous
+from delaywright.operators.joins import asof_join
+from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Position
 
 # Names of the engineered columns.
 ENGINEERED = [
@@ -63,8 +64,10 @@ def flight_features(
     aircraft: str = "tail_num",
     delay: str = "dep_delay",
     rows_per_task: int = ROWS_PER_TASK,
+    lead_hours: int = 2,
 ) -> DataFrame:
-    """Add all engineered features to a flight frame; no row is added or lost.
+    """Add all engineered features to a flight frame; no row is added or lost. The prior flight's
+    delay is that of the aircraft's latest flight known ``lead_hours`` before departure.
 
     ``as_of`` fixes the reference day of ``recency_days``; by default it is the latest date.
     """
@@ -75,10 +78,15 @@ def flight_features(
     minute = base.withColumn("_minute", fx.epoch_minutes(timestamp))
     crowded = windows.flights_within(minute, [airport], "_minute", row_id, 15, rows_per_task=rows_per_task)
     order = [timestamp, row_id]
-    followed = OrderedScan([aircraft], order, rows_per_task).run(
-        crowded.drop("_minute"), measured_on=df, prior_flight_dep_delay_new=Previous(delay)
-    )
     numbered = OrderedScan([aircraft, date], order, rows_per_task).run(
-        followed, measured_on=df, tail_num_flight_seq_num=Position()
+        crowded.drop("_minute"), measured_on=df, tail_num_flight_seq_num=Position()
+    )
+    # The delay is looked up among the flights as given, not among the engineered rows.
+    flown = df.select(
+        F.col(aircraft), F.col(timestamp).alias("_prior_ts"), F.col(row_id).alias("_prior_id"), F.col(delay).alias("_prior")
+    )
+    cut_off = F.col(timestamp) - F.expr(f"INTERVAL {int(lead_hours)} HOURS")
+    followed = asof_join(
+        numbered, flown, [aircraft], cut_off, "_prior_ts", row_id, "_prior_id", ["_prior"], rows_per_task=rows_per_task, measured_left=df
     )
-    return numbered.withColumn("prior_flight_dep_delay_new", fx.positive_part("prior_flight_dep_delay_new"))
+    return followed.withColumn("prior_flight_dep_delay_new", fx.positive_part("_prior")).drop("_prior")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaywright.functions.expressions import positive_part
+from delaywright.operators.joins import asof_join
 from delaywright.operators.skew import (
     ROWS_PER_TASK,
     OrderedScan,
@@ -130,11 +131,40 @@ def prior_delay(
     output: str = "prior_flight_dep_delay_new",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Delay of the aircraft's preceding flight, early departures as 0, null on its first flight."""
+    """Delay of the aircraft's preceding flight, early departures as 0, null on its first flight.
+
+    The preceding flight may have left a moment ago; :func:`known_prior_delay` uses only what is
+    known some hours before.
+    """
     scanned = OrderedScan(group, order_by, rows_per_task).run(df, **{output: Previous(delay)})
     return scanned.withColumn(output, positive_part(output))
 
 
+def known_prior_delay(
+    df: DataFrame,
+    aircraft: str,
+    timestamp: str,
+    row_id: str,
+    delay: str,
+    lead_hours: int = 2,
+    output: str = "prior_flight_dep_delay_new",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Delay of the aircraft's latest flight that left at least ``lead_hours`` before a row does,
+    early departures as 0; null without such a flight, and for an unknown aircraft or time.
+
+    Of flights with the same time the one with the highest id counts.
+    """
+    flown = df.select(
+        aircraft, F.col(timestamp).alias("_prior_ts"), F.col(row_id).alias("_prior_id"), F.col(delay).alias(output)
+    )
+    cut_off = F.col(timestamp) - F.expr(f"INTERVAL {int(lead_hours)} HOURS")
+    found = asof_join(
+        df, flown, [aircraft], cut_off, "_prior_ts", row_id, "_prior_id", [output], rows_per_task=rows_per_task
+    )
+    return found.withColumn(output, positive_part(output))
+
+
 def prior_value(
     df: DataFrame,
     group: list[str],

@@ -273,13 +273,33 @@ def win_tail_sequence(spark, sf_dir):
     return numbered.select("flight_id", "tail_num_flight_seq_num")
 
 
+#: The latest delay of the aircraft that is known two hours before a flight.
+KNOWN_PRIOR = """flown AS (SELECT tail_num, dep_ts, max(struct_pack(i := flight_id, d := dep_delay)).d AS d
+      FROM v_flight GROUP BY tail_num, dep_ts),
+    known AS (SELECT f.flight_id, p.d FROM v_flight f ASOF LEFT JOIN flown p
+      ON f.tail_num = p.tail_num AND f.dep_ts - INTERVAL 2 HOUR >= p.dep_ts)"""
+
+
 @query(
     "win_prior_delay",
+    f"""WITH {FLIGHTS}, {KNOWN_PRIOR}
+    SELECT flight_id, round(CASE WHEN d IS NOT NULL THEN greatest(d, 0) END, 6) AS prior_flight_dep_delay_new FROM known""",
+)
+def win_prior_delay(spark, sf_dir):
+    """Delay of the aircraft's latest flight that is known two hours before departure."""
+    base = flights(spark, sf_dir).select("flight_id", "tail_num", "dep_ts", "dep_delay")
+    prior = windows.known_prior_delay(base, "tail_num", "dep_ts", "flight_id", "dep_delay")
+    return prior.select("flight_id", rounded("prior_flight_dep_delay_new").alias("prior_flight_dep_delay_new"))
+
+
+@query(
+    "win_preceding_delay",
     f"""WITH {FLIGHTS}, p AS (SELECT flight_id, lag(dep_delay) OVER (PARTITION BY tail_num
       ORDER BY dep_ts, flight_id) AS d FROM v_flight)
     SELECT flight_id, round(CASE WHEN d IS NOT NULL THEN greatest(d, 0) END, 6) AS prior_flight_dep_delay_new FROM p""",
 )
-def win_prior_delay(spark, sf_dir):
+def win_preceding_delay(spark, sf_dir):
+    """Delay of the aircraft's preceding flight, however short before."""
     base = flights(spark, sf_dir).select("flight_id", "tail_num", "dep_ts", "dep_delay")
     prior = windows.prior_delay(base, ["tail_num"], ["dep_ts", "flight_id"], "dep_delay")
     return prior.select("flight_id", rounded("prior_flight_dep_delay_new").alias("prior_flight_dep_delay_new"))
@@ -287,16 +307,16 @@ def win_prior_delay(spark, sf_dir):
 
 @query(
     "feature_table",
-    f"""WITH {FLIGHTS},
+    f"""WITH {FLIGHTS}, {KNOWN_PRIOR},
     day AS (SELECT CAST(unnest(generate_series((SELECT min(fl_date) - INTERVAL 4 DAY FROM v_flight),
       (SELECT max(fl_date) + INTERVAL 4 DAY FROM v_flight), INTERVAL 1 DAY)) AS DATE) AS d),
     holiday AS (SELECT d FROM day WHERE {HOLIDAY_RULES} OR (month(d) = 6 AND day(d) = 19)),
     mark AS (SELECT day.d, max(CASE WHEN day.d = holiday.d THEN 2 ELSE 1 END) AS m
       FROM day JOIN holiday ON abs(date_diff('day', day.d, holiday.d)) <= 3 GROUP BY day.d),
     w AS (SELECT *, CAST(floor(epoch(dep_ts) / 60) AS BIGINT) AS minute,
-        lag(dep_delay) OVER (PARTITION BY tail_num ORDER BY dep_ts, flight_id) AS prior,
+        d AS prior,
         row_number() OVER (PARTITION BY tail_num, fl_date ORDER BY dep_ts, flight_id) AS seq,
-        max(fl_date) OVER () AS latest FROM v_flight)
+        max(fl_date) OVER () AS latest FROM v_flight JOIN known USING (flight_id))
     SELECT flight_id, {MINUTES} AS crs_dep_time_minutes_from_midnight,
       {sql_rounded(f"sin({HOUR} * (2 * pi() / 24))")} AS crs_dep_hour_sin,
       {sql_rounded(f"cos({HOUR} * (2 * pi() / 24))")} AS crs_dep_hour_cos,

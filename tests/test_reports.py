@@ -45,7 +45,7 @@ def test_linear_report_is_that_of_its_scores(spark):
         mine = report[r["part"]]
         assert abs(mine["tp"] - r["tp"]) <= 1 and mine["scored"] == r["tp"] + r["fp"] + r["fn"] + r["tn"]
     assert set(report) == {"train", "validation", "test"}
-    assert sum(r["skipped"] for r in report.values()) == parts.filter("prior_flight_dep_delay_new IS NULL").count()
+    assert sum(r["skipped"] for r in report.values()) == parts.filter("prior_flight_dep_delay_new IS NULL").count() > 0
 
 
 def test_boosted_report_covers_every_part(spark):

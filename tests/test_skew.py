@@ -149,3 +149,17 @@ def test_prior_delay_floors_at_zero(spark):
     rows = spark.createDataFrame([(1, 1, -4.0), (2, 2, None), (3, 3, 7.0), (4, 4, 1.0)], "id int, t int, d double")
     found = windows.prior_delay(rows.withColumn("tail", F.lit(1)), ["tail"], ["t", "id"], "d")
     assert rows_of(found, "id", "prior_flight_dep_delay_new") == [(1, None), (2, 0.0), (3, None), (4, 7.0)]
+
+
+@pytest.mark.parametrize("rows_per_task", [20, 5_000_000])
+def test_known_prior_delay_leaves_two_hours(spark, rows_per_task):
+    rows = [(i, "hot" if i % 3 else f"t{i % 4}", i * 37 % 900, float(i % 7 - 2)) for i in range(200)]
+    rows += [(900, None, 500, 1.0), (901, None, 800, 1.0), (902, "hot", None, 5.0)]
+    df = spark.createDataFrame(rows, "id int, tail string, minute int, d double").withColumn(
+        "ts", F.timestamp_seconds(F.col("minute") * 60)
+    )
+    found = windows.known_prior_delay(df, "tail", "ts", "id", "d", rows_per_task=rows_per_task)
+    got = dict(rows_of(found, "id", "prior_flight_dep_delay_new"))
+    for i, tail, minute, _ in rows:
+        known = [(m, j, d) for j, t, m, d in rows if t is not None and t == tail and m is not None and minute is not None and m <= minute - 120]
+        assert got[i] == (max(0.0, max(known)[2]) if known else None)
