@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from delaywright.llm import annsearch, crosspolytope, licenses, minhash, packing, pieces, secrets, substrings, toxicity
+from delaywright.llm import annsearch, crosspolytope, licenses, minhash, packing, pieces, quality, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,11 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of all documents of good quality."""
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op5_crosspolytope": op5_crosspolytope,
     "op6_toxicity": op6_toxicity,
     "op7_substrings": op7_substrings,
+    "op8_quality": op8_quality,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
 }
