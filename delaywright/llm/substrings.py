@@ -10,7 +10,9 @@ The index of all reference blocks is a table window -> earliest place, spread by
 it is only built where it can matter. A window is known by its anchor, the smallest hash among the
 short word runs inside it; equal windows have equal anchors. Anchors (about one in four runs) that
 occur in one document only cannot belong to a shared window, so windows are formed and indexed
-only at anchors that at least two documents share.
+only at anchors that at least two documents share. Neighbouring windows with one anchor form a
+run; equal runs, as copies of a passage have them, are looked up once, and only distinct runs are
+taken apart into windows.
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ from pyspark.sql import functions as F
 
 from delaywright.llm import wordhash
 from delaywright.llm.frames import drop_finished_shuffles, rows, slices, texts
-from delaywright.runtime import spool
+from delaywright.runtime import release, spool
 
 WINDOW = 13
 #: Words of an anchor run: a window of 13 words holds 7 runs of 7 words.
 ANCHOR = 7
+#: Up to so many copies (32 bytes each) are broadcast.
+BROADCAST_COPIES = 1_000_000
 
 
 def _anchors(hashes: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,69 +81,145 @@ def _seeds(docs: DataFrame, window: int, anchor: int, bits: int) -> DataFrame:
     return docs.mapInArrow(run, "seed long, doc_id long")
 
 
-def _windows(marked: DataFrame, window: int, anchor: int, bits: int) -> DataFrame:
-    """``h1, h2, doc_id, pos``: the windows at shared anchors, under two independent hashes."""
+_RUNS = "anchor long, run long, doc_id long, pos int, windows array<long>"
+
+
+def _runs(marked: DataFrame, window: int, anchor: int, bits: int) -> DataFrame:
+    """The windows at shared anchors, those of one anchor place as one row: the anchor's hash, a
+    hash of all words of the run, where it starts, and a hash of each window. Anchor and window
+    hashes come from independent word hashes, so together they are 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                ids = part.column("doc_id").to_pylist()
-                seeds = part.column("seeds")
-                data = [t.encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
-                raw, starts, ends, bounds = wordhash.words(data)
-                hashes = wordhash.word_hashes(raw, starts, ends)
-                runs, first, place = _anchors(hashes, bounds, window, anchor)
-                owner = np.searchsorted(bounds, first, side="right") - 1
-                shared = np.zeros(len(first), dtype=bool)
-                cut = (runs >> np.uint64(64 - bits)).astype(np.int64)
-                edges = np.searchsorted(first, bounds)
-                for j in range(len(ids)):
-                    a, b = edges[j], edges[j + 1]
-                    shared[a:b] = np.isin(cut[place[a:b]], seeds[j].values.to_numpy())
-                first, owner = first[shared], owner[shared]
-                two = wordhash.word_hashes(raw, starts, ends, seed=2)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _signed(wordhash.window_hashes(hashes, window, seed=3)[first]),
-                        _signed(wordhash.window_hashes(two, window, seed=4)[first]),
-                        pa.array(np.array(ids, dtype=np.int64)[owner]),
-                        pa.array((first - bounds[owner]).astype(np.int32)),
-                    ],
-                    ["h1", "h2", "doc_id", "pos"],
-                )
-
-    return marked.mapInArrow(run, "h1 long, h2 long, doc_id long, pos int")
+                yield _runs_of(batch.slice(at, 64), window, anchor, bits)
+
+    return marked.mapInArrow(run, _RUNS)
+
+
+def _runs_of(part: pa.RecordBatch, window: int, anchor: int, bits: int) -> pa.RecordBatch:
+    ids = np.array(part.column("doc_id").to_pylist(), dtype=np.int64)
+    seeds = part.column("seeds")
+    data = [t.encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
+    raw, starts, ends, bounds = wordhash.words(data)
+    runs, first, place = _anchors(wordhash.word_hashes(raw, starts, ends), bounds, window, anchor)
+    cut = (runs >> np.uint64(64 - bits)).astype(np.int64)
+    edges = np.searchsorted(first, bounds)
+    shared = np.zeros(len(first), dtype=bool)
+    for j in range(len(ids)):
+        a, b = edges[j], edges[j + 1]
+        shared[a:b] = np.isin(cut[place[a:b]], seeds[j].values.to_numpy())
+    first, place = first[shared], place[shared]
+    each = wordhash.window_hashes(wordhash.word_hashes(raw, starts, ends, seed=2), window, seed=3)[first]
+    # All windows of one anchor place are neighbours; first and last together hold all their words.
+    head = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(first) else first
+    tail = np.concatenate([head[1:], [len(first)]]) - 1 if len(first) else first
+    count = (tail - head + 1).astype(np.uint64)
+    whole = wordhash.mix(wordhash.mix(each[head] + count) ^ (each[tail] * np.uint64(0x9E3779B97F4A7C15)))
+    owner = np.searchsorted(bounds, first[head], side="right") - 1
+    offsets = np.concatenate([head, [len(first)]]).astype(np.int32) if len(first) else np.zeros(1, dtype=np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            _signed(runs[place[head]]),
+            _signed(whole),
+            pa.array(ids[owner]),
+            pa.array((first[head] - bounds[owner]).astype(np.int32)),
+            pa.ListArray.from_arrays(pa.array(offsets), _signed(each)),
+        ],
+        [c.split()[0] for c in _RUNS.split(", ")],
+    )
+
+
+def _printed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and a 128-bit print of the text, of rows with an id."""
+    return texts(docs).filter("doc_id is not null").select(
+        "doc_id", "text", F.xxhash64("text").alias("x1"), F.xxhash64(F.lit(1), "text").alias("x2")
+    )
+
+
+def _copies(printed: DataFrame) -> DataFrame:
+    """``doc_id, x1, x2, source``: rows whose text a document with a smaller id has as well."""
+    first = printed.groupBy("x1", "x2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("_last"))
+    again = first.filter("source < _last").drop("_last")
+    return printed.select("doc_id", "x1", "x2").distinct().join(again, ["x1", "x2"]).filter("source < doc_id")
 
 
 def find_factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``doc_id, places``: for each document with any, its windows that occur in a document with a
-    smaller id, as an array of (pos, source, source_pos) with their earliest occurrence."""
+    """``doc_id, places, copies``: what of each document, if anything, stands in a document with a
+    smaller id. ``places`` are (pos, n, source, source_pos): ``n`` neighbouring windows and where
+    an earlier document has them; ``copies`` are prints of whole texts an earlier document has.
+    """
     spark = docs.sparkSession
-    keyed = texts(docs).filter("doc_id is not null")
+    printed = _printed(docs)
+    copies = spool(_copies(printed).select("doc_id", "x1", "x2", "source"), "copies")
+    n_copies = copies.count()
+    # A copy adds nothing to the index and is itself one factor. Few copies are sent to every
+    # task; more are joined by shuffle.
+    known = F.broadcast(copies) if n_copies <= BROADCAST_COPIES else copies
+    keyed = printed.join(known, ["doc_id", "x1", "x2"], "left_anti") if n_copies else printed
     # The chance that two of n anchors agree in their first log2(n) + 9 bits is under 1 in 500.
-    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 1
+    size = printed.agg(F.sum(F.octet_length("text"))).first()[0] or 1
     bits = min(62, int(size).bit_length() + 9)
-    seeds = _seeds(keyed, window, anchor, bits)
+    seeds = _seeds(keyed.select("doc_id", "text"), window, anchor, bits)
     shared = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
     marks = spool(
         seeds.join(shared.hint("shuffle_hash"), "seed").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")),
         "anchors",
     )
     drop_finished_shuffles(spark)
-    windows = spool(_windows(keyed.join(marks, "doc_id").select("doc_id", "text", "seeds"), window, anchor, bits), "windows")
+    marked = keyed.select("doc_id", "text").join(marks, "doc_id").select("doc_id", "text", "seeds")
+    runs = spool(_runs(marked, window, anchor, bits), "runs")
+    release(marks)
+    drop_finished_shuffles(spark)
+    # Each distinct run with its earliest place; copies of a passage end here.
+    key = ["anchor", "run"]
+    distinct = spool(
+        runs.groupBy(*key).agg(
+            F.min(F.struct("doc_id", "pos")).alias("source"), F.max("doc_id").alias("last"), F.first("windows").alias("windows")
+        ),
+        "distinct",
+    )
+    drop_finished_shuffles(spark)
+    # A window of a run may stand in other runs of its anchor, and there in an earlier document.
+    several = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("anchor")
+    single = spool(
+        distinct.join(several, "anchor").select(*key, "source", F.posexplode("windows").alias("i", "window")), "single"
+    )
+    drop_finished_shuffles(spark)
+    earliest = single.groupBy("anchor", "window").agg(
+        F.min(F.struct(F.col("source.doc_id").alias("doc_id"), (F.col("source.pos") + F.col("i")).alias("pos"))).alias("at"),
+        F.max("source.doc_id").alias("_last"),
+    ).filter("at.doc_id < _last").select("anchor", "window", "at")
+    parts = spool(
+        single.join(earliest, ["anchor", "window"])
+        .filter("at.doc_id < source.doc_id")
+        .groupBy(*key)
+        .agg(F.collect_list(F.struct("i", F.col("at.doc_id").alias("source"), F.col("at.pos").alias("source_pos"))).alias("parts")),
+        "parts",
+    )
+    release(single)
     drop_finished_shuffles(spark)
     index = (
-        windows.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "pos")).alias("source"), F.max("doc_id").alias("_last"))
-        .filter("source.doc_id < _last")
-        .drop("_last")
+        distinct.select(*key, "source", "last", F.size("windows").alias("n"))
+        .join(parts, key, "left")
+        .filter("source.doc_id < last or parts is not null")
+    )
+    # Later documents lose the whole run; the earliest loses what yet earlier ones have of it.
+    whole = F.array(F.struct("pos", "n", F.col("source.doc_id").alias("source"), F.col("source.pos").alias("source_pos")))
+    some = F.transform(
+        "parts",
+        lambda p: F.struct((F.col("pos") + p["i"]).alias("pos"), F.lit(1).alias("n"), p["source"].alias("source"), p["source_pos"].alias("source_pos")),
     )
-    found = windows.join(index, ["h1", "h2"]).filter("source.doc_id < doc_id")
-    places = found.groupBy("doc_id").agg(
-        F.collect_set(F.struct("pos", F.col("source.doc_id").alias("source"), F.col("source.pos").alias("source_pos"))).alias("places")
+    found = (
+        runs.select(*key, "doc_id", "pos")
+        .join(index, key)
+        .select("doc_id", F.when(F.col("source.doc_id") < F.col("doc_id"), whole).otherwise(some).alias("places"))
+        .filter("places is not null")
     )
-    kept = spool(places, "places")
+    named = found.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
+    prints = copies.groupBy("doc_id").agg(F.collect_set(F.struct("x1", "x2", "source")).alias("copies"))
+    kept = spool(named.join(prints, "doc_id", "full"), "places")
+    release(runs, distinct, parts, copies)
     drop_finished_shuffles(spark)
     return kept
 
@@ -160,21 +240,44 @@ def factors_of(places: np.ndarray, window: int) -> list[tuple[int, int, int, int
     ]
 
 
-def _covered(places: np.ndarray, n_words: int, window: int) -> np.ndarray:
-    edges = np.zeros(n_words + 1, dtype=np.int32)
-    for start, length, _, _ in factors_of(places, window):
-        edges[start] += 1
-        edges[start + length] -= 1
-    return np.cumsum(edges[:-1]) > 0
-
-
 def _places(value: pa.Scalar) -> np.ndarray:
-    """The matched windows of one row, by position."""
+    """The matched windows of one row, one line each, by position."""
     if not value.is_valid or not len(value.values):
         return np.empty((0, 3), dtype=np.int64)
-    found = value.values
-    table = np.stack([found.field(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
-    return table[np.argsort(table[:, 0], kind="stable")]
+    pos, n, source, source_pos = (value.values.field(k).to_numpy().astype(np.int64) for k in range(4))
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    table = np.stack([np.repeat(pos, n) + step, np.repeat(source, n), np.repeat(source_pos, n) + step], axis=1)
+    table = table[np.lexsort((table[:, 2], table[:, 1], table[:, 0]))]
+    # rows that repeat an id give the same window twice
+    return table[np.concatenate([[True], table[1:, 0] != table[:-1, 0]])]
+
+
+def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``docs`` with ``_places``, and ``_source`` where the whole text is a copy."""
+    keyed = places.select(F.col("doc_id").alias("_id"), F.col("places").alias("_places"), F.col("copies").alias("_copies"))
+    own = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    same = F.filter("_copies", lambda c: (c["x1"] == F.xxhash64(own)) & (c["x2"] == F.xxhash64(F.lit(1), own)))
+    joined = docs.join(keyed, docs["doc_id"].cast("long") == keyed["_id"], "left")
+    return joined.select(*[docs[c] for c in docs.columns], "_places", F.get(same, F.lit(0))["source"].alias("_source"))
+
+
+def _factored(batch: pa.RecordBatch, window: int) -> Iterator[tuple[list[bytes], list[tuple[int, int, int, int]]]]:
+    """The words and the factors of each row."""
+    places, sources = batch.column("_places"), batch.column("_source").to_pylist()
+    for i, (text,) in enumerate(rows(iter([batch]), "text")):
+        own = text.encode("utf-8", "surrogatepass").split() if text else []
+        if sources[i] is None:
+            yield own, factors_of(_places(places[i]), window)
+        else:
+            yield own, [(0, len(own), sources[i], 0)] if len(own) >= window else []
+
+
+def _kept(own: list[bytes], found: list[tuple[int, int, int, int]]) -> list[bytes]:
+    edges = np.zeros(len(own) + 1, dtype=np.int32)
+    for start, length, _, _ in found:
+        edges[start] += 1
+        edges[start + length] -= 1
+    return [w for w, c in zip(own, np.cumsum(edges[:-1]).tolist(), strict=True) if not c]
 
 
 def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -183,17 +286,16 @@ def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("places"), strict=True):
-                found = factors_of(_places(value), window)
-                columns = list(zip(*found, strict=True)) if found else [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(found), pa.int64()), *[pa.array(c, pa.int64()) for c in columns]],
-                    ["doc_id", "start", "length", "source", "source_start"],
-                )
-
-    return find_factors(docs, window, anchor).mapInArrow(
-        run, "doc_id long, start long, length long, source long, source_start long"
-    )
+            out = []
+            for key, (_, found) in zip(batch.column("doc_id").to_pylist(), _factored(batch, window), strict=True):
+                out += [(key, *f) for f in found]
+            columns = list(zip(*out, strict=True)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "source", "source_start"]
+            )
+
+    marked = _with_places(texts(docs), find_factors(docs, window, anchor))
+    return marked.mapInArrow(run, "doc_id long, start long, length long, source long, source_start long")
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -209,35 +311,26 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, counts, removed = [], [], []
-            chars = batch.column(names.index("n_chars")).to_pylist() if "n_chars" in names else [None] * batch.num_rows
-            values = batch.column("_places")
-            for i, (text,) in enumerate(rows(iter([batch]), "text")):
-                own = text.encode("utf-8", "surrogatepass").split() if text else []
-                places = _places(values[i])
-                gone = 0
-                if len(places):
-                    covered = _covered(places, len(own), window)
-                    gone = int(covered.sum())
-                    text = b" ".join(w for w, c in zip(own, covered.tolist(), strict=True) if not c).decode("utf-8", "surrogatepass")
-                    chars[i] = len(text)
-                out.append(text)
+            out, counts, removed = batch.column("text").to_pylist(), [], []
+            chars = batch.column("n_chars").to_pylist() if "n_chars" in names else [None] * batch.num_rows
+            for i, (own, found) in enumerate(_factored(batch, window)):
+                kept = _kept(own, found) if found else own
+                if found:
+                    out[i] = b" ".join(kept).decode("utf-8", "surrogatepass")
+                    chars[i] = len(out[i])
                 counts.append(len(own))
-                removed.append(gone)
-            columns = list(batch.columns[: len(names)])
-            columns[names.index("text")] = pa.array(out, columns[names.index("text")].type)
+                removed.append(len(own) - len(kept))
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns["text"] = pa.array(out, columns["text"].type)
             if "n_chars" in names:
-                columns[names.index("n_chars")] = pa.array(chars, columns[names.index("n_chars")].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, "n_words", "n_removed"])
+                columns["n_chars"] = pa.array(chars, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(
+                [*[columns[n] for n in names], pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, "n_words", "n_removed"]
+            )
 
     marked = _with_places(docs, find_factors(docs, window, anchor))
-    added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return marked.mapInArrow(run, f"{added}, n_words long, n_removed long")
-
-
-def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
-    keyed = places.select(F.col("doc_id").alias("_id"), F.col("places").alias("_places"))
-    return docs.join(keyed, docs["doc_id"].cast("long") == keyed["_id"], "left").drop("_id")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return marked.mapInArrow(run, f"{kinds}, n_words long, n_removed long")
 
 
 def digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -245,20 +338,14 @@ def digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            values = batch.column("_places")
-            for i, (key, text) in enumerate(rows(iter([batch]), "doc_id", "text")):
-                own = text.encode("utf-8", "surrogatepass").split()
-                out[0].append(key)
-                out[1].append(len(own))
-                places = _places(values[i])
-                if len(places):
-                    covered = _covered(places, len(own), window)
-                    own = [w for w, c in zip(own, covered.tolist(), strict=True) if not c]
-                out[2].append(out[1][-1] - len(own))
-                out[3].append(hashlib.sha256(b" ".join(own)).hexdigest())
+            counts, removed, hashes = [], [], []
+            for own, found in _factored(batch, window):
+                kept = _kept(own, found) if found else own
+                counts.append(len(own))
+                removed.append(len(own) - len(kept))
+                hashes.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.string())],
+                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(hashes, pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
