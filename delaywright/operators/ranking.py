@@ -89,10 +89,11 @@ def _attach_centred_rank(
     if distinct <= BROADCAST_VALUES:
         matched = F.broadcast(ranks.drop("n"))
         return rows.join(matched, rows[column] == matched["_value"]).drop("_value")
-    spread = [c for c in rows.columns if not c.startswith("_rank_")]
+    # The salt comes from a row's place: equal rows, however many, are spread as well.
+    placed = rows.withColumn("_spread", F.monotonically_increasing_id())
     return attach(
-        rows, ranks.withColumnRenamed("_value", column), [column], "n", spread, rows_per_task
-    ).drop("n")
+        placed, ranks.withColumnRenamed("_value", column), [column], "n", ["_spread"], rows_per_task
+    ).drop("n", "_spread")
 
 
 def _centred_correlation(a: str, b: str) -> Column:

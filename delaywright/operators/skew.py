@@ -212,10 +212,21 @@ def _connect(name: str, op: Running) -> Column:
     return F.coalesce(local, carried)
 
 
-def small_lookup(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Materialise an aggregate and mark it for broadcast only if it has at most ``max_rows``.
+def join_lookup(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    max_rows: int = 200_000,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Left join of ``rows`` with an aggregate that has one row per key; null keys match nothing.
 
-    Larger lookups are returned unmarked and join by shuffle.
+    The lookup is materialised and broadcast if it has at most ``max_rows`` rows. A larger one is
+    joined by shuffle, with the keys that own many rows spread over several salts.
     """
-    kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
+    kept = cut_lineage(lookup)
+    if kept.limit(max_rows + 1).count() <= max_rows:
+        return rows.join(F.broadcast(kept), keys, "left")
+    weights = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_weight"))
+    return attach(rows, kept.join(weights, keys), keys, "_weight", spread_by, rows_per_task).drop("_weight")

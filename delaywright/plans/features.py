@@ -8,7 +8,7 @@ from delaywright.functions import expressions as fx
 from delaywright.operators import cleaning, windows
 from delaywright.operators.feature_table import ENGINEERED, flight_features
 from delaywright.operators.graph import edges_from, pagerank
-from delaywright.operators.skew import small_lookup
+from delaywright.operators.skew import join_lookup
 from delaywright.plans.registry import query
 from delaywright.plans.views import FLIGHTS, flights, rounded, sql_rounded, table
 
@@ -377,7 +377,7 @@ def feat_origin_delay_rank(spark, sf_dir):
     base = flights(spark, sf_dir)
     past = base.filter((F.col("fl_date") < F.lit(RANK_AS_OF).cast("date")) & (F.col("dep_delay_new") > 0))
     edges = edges_from(past, F.col("origin"), F.col("dest"), F.col("dep_delay_new"))
-    ranks = small_lookup(pagerank(edges, iterations=RANK_STEPS))
+    ranks = pagerank(edges, iterations=RANK_STEPS).withColumnRenamed("id", "prior_origin")
     prior = windows.prior_value(
         base.select("flight_id", "tail_num", "dep_ts", "fl_date", "origin"),
         ["tail_num"],
@@ -386,7 +386,7 @@ def feat_origin_delay_rank(spark, sf_dir):
         "prior_origin",
     )
     known = F.col("fl_date") >= F.lit(RANK_AS_OF).cast("date")
-    return prior.join(ranks, prior["prior_origin"] == ranks["id"], "left").select(
+    return join_lookup(prior, ranks, ["prior_origin"], ["flight_id"]).select(
         "flight_id",
         F.round(F.when(known, F.coalesce("pagerank", F.lit(0.0))).otherwise(0.0), 8).alias(
             "prior_flight_origin_delay_pagerank"

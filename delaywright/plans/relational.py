@@ -7,7 +7,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import cleaning, joins, profiling, summaries
-from delaywright.operators.skew import small_lookup
+from delaywright.operators.skew import join_lookup
 from delaywright.plans.registry import query
 from delaywright.plans.views import (
     FLIGHTS,
@@ -385,8 +385,8 @@ def flight_weather_join(spark, sf_dir):
         F.col("dst").cast("bigint").alias("station"),
         F.col("weight").alias("distance"),
     )
-    stations = small_lookup(joins.nearest_per_key(distances, "origin", "station", "distance").drop("distance"))
-    left = flights(spark, sf_dir).select("flight_id", "origin", "dep_ts").join(stations, "origin", "left")
+    stations = joins.nearest_per_key(distances, "origin", "station", "distance").drop("distance")
+    left = join_lookup(flights(spark, sf_dir).select("flight_id", "origin", "dep_ts"), stations, ["origin"], ["flight_id"])
     reports = (
         table(spark, sf_dir, "events")
         .filter(F.col("event_type") == "error")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from delaywright.functions.expressions import clock_hour, delay_flag, positive_part
 from delaywright.operators.graph import edges_from
-from delaywright.operators.skew import small_lookup
+from delaywright.operators.skew import join_lookup
 from delaywright.operators.splitting import chronological_cuts, label_parts, split_positions
 from delaywright.sources.tables import read_parquet
 
@@ -67,12 +67,12 @@ v_part AS (
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights with a stand-in prediction: the training mean of their carrier and hour."""
     parts = with_parts(flights(spark, sf_dir)).withColumn("hour", clock_hour("crs_dep_time"))
-    means = small_lookup(
+    means = (
         parts.filter(F.col("part") == "train")
         .groupBy("carrier", "hour")
         .agg(F.avg("dep_delay_new").alias("prediction"))
     )
-    return parts.join(means, ["carrier", "hour"], "left").withColumn(
+    return join_lookup(parts, means, ["carrier", "hour"], ["flight_id"]).withColumn(
         "prediction", F.coalesce("prediction", F.lit(0.0))
     )
 

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from delaywright.operators import joins, windows
-from delaywright.operators.skew import LastKnown, OrderedScan, Position, Previous, attach
+from delaywright.operators.skew import LastKnown, OrderedScan, Position, Previous, attach, join_lookup
 from tests.conftest import rows_of
 
 
@@ -163,3 +163,12 @@ def test_known_prior_delay_leaves_two_hours(spark, rows_per_task):
     for i, tail, minute, _ in rows:
         known = [(m, j, d) for j, t, m, d in rows if t is not None and t == tail and m is not None and minute is not None and m <= minute - 120]
         assert got[i] == (max(0.0, max(known)[2]) if known else None)
+
+
+@pytest.mark.parametrize("max_rows", [0, 200_000])
+def test_lookups_join_alike_broadcast_and_spread(spark, max_rows):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}" if i % 5 else None) for i in range(300)], "id int, k string")
+    lookup = spark.createDataFrame([("hot", 1.0), ("k0", 2.0), ("k3", 3.0), (None, 9.0)], "k string, v double")
+    found = join_lookup(rows, lookup, ["k"], ["id"], max_rows, rows_per_task=25)
+    known = {"hot": 1.0, "k0": 2.0, "k3": 3.0}
+    assert rows_of(found, "id", "k", "v") == sorted(((r["id"], r["k"], known.get(r["k"])) for r in rows.collect()), key=repr)
