@@ -7,8 +7,8 @@ Candidates from a bucket whose bitmaps differ too much are never confirmed on th
 
 Groups of copies stay linear. Equal sets are one class. In a bucket, every class is compared with
 the bucket's smallest one, and components of the confirmed links are formed; then only classes of
-one bucket that lie in different components are compared, the most alike first, in rounds, until no
-such pair is left unconfirmed.
+one bucket that lie in different components are compared: first along a least spanning forest of
+the sketches' differences, then the most alike first, in rounds, until no such pair is left.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaywright.llm import wordhash
@@ -35,8 +35,8 @@ PERCENT = 80
 @dataclass(frozen=True)
 class Settings:
     """``bands * rows`` MinHash samples. At the similarity of ``percent`` a pair shares no bucket
-    with chance (1 - s ** rows) ** bands, 5e-8 by default; ``deviations`` standard deviations of
-    the samples' similarity are allowed below the threshold before the sketch rejects."""
+    with chance (1 - s ** rows) ** bands, 5e-8 by default. The sketch rejects a pair that differs
+    by more than a pair at the threshold does, plus ``deviations`` standard deviations."""
 
     shingle: int = SHINGLE
     percent: int = PERCENT
@@ -50,13 +50,14 @@ class Settings:
         return self.bands * self.rows
 
     def most_different(self) -> int:
-        """The largest XOR population count of two sketches that a pair at the threshold shows."""
-        s = self.percent / 100
-        low = max(0.0, s - self.deviations * math.sqrt(s * (1 - s) / self.samples))
-        bits = 64 * self.words
-        odd = 2 * self.samples * (1 - low)  # samples in one of the two sets and not the other
+        """The largest XOR population count of two sketches that a pair at the threshold shows,
+        but for ``deviations`` standard deviations of the samples and of the bitmap together."""
+        s, bits = self.percent / 100, 64 * self.words
+        odd = 2 * self.samples * (1 - s)  # expected samples in one of the two sets and not the other
         mean = bits * (1 - math.exp(-2 * odd / bits)) / 2
-        return math.ceil(mean + self.deviations * math.sqrt(bits) / 4)
+        by_samples = 2 * math.sqrt(self.samples * s * (1 - s)) * math.exp(-2 * odd / bits)
+        by_bitmap = math.sqrt(bits / 4 * (1 - math.exp(-4 * odd / bits)))
+        return math.ceil(mean + self.deviations * math.hypot(by_samples, by_bitmap))
 
 
 def _sets(hashes: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
@@ -217,19 +218,28 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     tested = spool(stars.select("a", "b"), "stars")
     links = spool(_confirm(tested, sets, percent), "links")
     drop_finished_shuffles(spark)
+    at_once = 0
     while True:
         grouped = components(links)
         labelled = members.select("bucket", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("label")
         )
-        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("_x"), F.max("label").alias("_y")).filter("_x < _y").select("bucket")
+        sizes = labelled.groupBy("bucket").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("m"))
+        mixed = sizes.filter("_x < _y").select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), "m")
         rest = cut_lineage(labelled.join(mixed, "bucket"))
-        pairs = _across(rest, sketches, limit, words, percent, tested)
-        if pairs is None:
+        largest = rest.agg(F.max("m")).first()[0]
+        if largest is None:
             break
-        tested = cut_lineage(tested.unionByName(pairs))
-        new = cut_lineage(_confirm(pairs, sets, percent))
-        links = cut_lineage(links.unionByName(new))
+        pairs = cut_lineage(_across(rest, sketches, settings, at_once).join(tested, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            if at_once >= min(largest, 2 * BLOCK):
+                break
+            at_once = 2 * BLOCK if at_once else 16
+        else:
+            tested = cut_lineage(tested.unionByName(pairs))
+            links = cut_lineage(links.unionByName(_confirm(pairs, sets, percent)))
+            at_once = max(16, at_once * 16)
+        drop_finished_shuffles(spark)
     keyed = classes.select(*prints, "id").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
         *prints, F.coalesce("component", "id").alias("component_id")
     )
@@ -243,23 +253,83 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
 
 
-#: Pairs confirmed in one round for a class and another component; the next rounds take the rest.
-_AT_ONCE = 4
+def _across(rest: DataFrame, sketches: DataFrame, settings: Settings, at_once: int) -> DataFrame:
+    """``a, b`` (a < b): pairs of classes in a common bucket and different components whose sizes
+    and sketches allow a link.
 
+    With ``at_once`` 0 these are the edges of a least spanning forest of the bucket's components
+    by the sketches' difference, which joins copies to what they were copied from. Otherwise each
+    class gives its ``at_once`` most alike partners. Buckets beyond ``BLOCK`` classes are compared
+    in pairs of blocks, so the rows made are the members, and no group's pairs are built.
+    """
+    limit, percent = settings.most_different(), settings.percent
+    other = F.explode(F.expr("sequence(0, blocks - 1)"))
+    dealt = (
+        rest.join(sketches, "id")
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("_other", other)
+        .select(
+            "bucket", F.least("own", "_other").alias("bi"), F.greatest("own", "_other").alias("bj"), "own", "id", "label", "n_shingles", "sketch"
+        )
+    )
 
-def _across(rest: DataFrame, sketches: DataFrame, limit: int, words: int, percent: int, tested: DataFrame) -> DataFrame | None:
-    """Untested pairs of classes in a common bucket and different components whose sketches allow
-    a link: for each class and other component the most alike. None if there are none."""
-    members = rest.join(sketches, "id")
-    x = members.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("sa"), F.col("n_shingles").alias("na"))
-    y = members.select("bucket", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("sketch").alias("sb"), F.col("n_shingles").alias("nb"))
-    fits = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (_differing("sa", "sb", words) <= limit)
-    met = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits)
-    met = met.groupBy("a", "b", "la", "lb").agg(F.min(_differing("sa", "sb", words)).alias("apart"))
-    met = met.join(tested, ["a", "b"], "left_anti")
-    nearest = Window.partitionBy("a", "lb").orderBy("apart", "b")
-    pairs = cut_lineage(met.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= _AT_ONCE).select("a", "b"))
-    return None if pairs.isEmpty() else pairs
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        ids, labels, sizes = (group.column(c).to_numpy() for c in ("id", "label", "n_shingles"))
+        bitmaps = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        apart = np.full((len(ids), len(ids)), _FAR, dtype=np.uint16)
+        for at in range(0, len(ids), 128):
+            part = slice(at, at + 128)
+            differ = np.zeros((len(ids[part]), len(ids)), dtype=np.uint16)
+            for w in range(bitmaps.shape[1]):
+                differ += np.bitwise_count(bitmaps[part, w][:, None] ^ bitmaps[None, :, w])
+            low, high = np.minimum(sizes[part][:, None], sizes), np.maximum(sizes[part][:, None], sizes)
+            fits = (differ <= limit) & (low * 100 >= high * percent)
+            fits &= labels[part][:, None] != labels
+            apart[part] = np.where(fits, differ + 1, _FAR)
+        i, j = _forest(apart, labels) if not at_once else _nearest(apart, at_once)
+        low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+        return pa.table({"a": low, "b": high})
+
+    found = dealt.groupBy("bucket", "bi", "bj").applyInArrow(compare, "a long, b long")
+    return found.distinct()
+
+
+#: Classes of one bucket that are compared in one task.
+BLOCK = 2048
+_FAR = np.iinfo(np.uint16).max
+
+
+def _forest(apart: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a least spanning forest over ``apart``; equal labels are connected at no cost."""
+    n = len(labels)
+    near, partner = np.full(n, _FAR, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    outside = np.ones(n, dtype=bool)
+    i, j = [], []
+    while outside.any():
+        nearest = np.where(outside, near, _FAR + 1).argmin()
+        if 0 < near[nearest] < _FAR:
+            i.append(nearest)
+            j.append(partner[nearest])
+        # The whole component comes in with its first member.
+        new = np.flatnonzero(outside & (labels == labels[nearest]))
+        outside[new] = False
+        for at in range(0, len(new), 256):
+            part = new[at : at + 256]
+            best = apart[part].argmin(axis=0)
+            value = apart[part[best], np.arange(n)]
+            closer = outside & (value < near)
+            near[closer], partner[closer] = value[closer], part[best[closer]]
+    return np.array(i, dtype=np.int64), np.array(j, dtype=np.int64)
+
+
+def _nearest(apart: np.ndarray, at_once: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row its ``at_once`` nearest admissible columns."""
+    k = min(at_once, apart.shape[1])
+    order = np.argsort(apart, axis=1, kind="stable")[:, :k]
+    ok = np.take_along_axis(apart, order, axis=1) < _FAR
+    i, at = np.nonzero(ok)
+    return i, order[i, at]
 
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
