@@ -8,7 +8,7 @@ Candidates from a bucket whose bitmaps differ too much are never confirmed on th
 Groups of copies stay linear. Equal sets are one class. In a bucket, every class is compared with
 the bucket's smallest one, and components of the confirmed links are formed; then only classes of
 one bucket that lie in different components are compared: first along a least spanning forest of
-the sketches' differences, then the most alike first, in rounds, until no such pair is left.
+the sketches' differences, then all pairs that are left, each in the first bucket it shares.
 """
 
 from __future__ import annotations
@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     sets = spool(_full_sets(own, settings.shingle), "sets")
     drop_finished_shuffles(spark)
 
-    sketches = classes.select("id", "sketch", "n_shingles")
+    sketches = classes.select("id", "sketch", "n_shingles", "bands")
     limit, words, percent = settings.most_different(), settings.words, settings.percent
 
     def alike(pairs: DataFrame) -> DataFrame:
@@ -218,28 +218,16 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     tested = spool(stars.select("a", "b"), "stars")
     links = spool(_confirm(tested, sets, percent), "links")
     drop_finished_shuffles(spark)
-    at_once = 0
-    while True:
-        grouped = components(links)
-        labelled = members.select("bucket", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("label")
-        )
-        sizes = labelled.groupBy("bucket").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("m"))
-        mixed = sizes.filter("_x < _y").select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), "m")
-        rest = cut_lineage(labelled.join(mixed, "bucket"))
-        largest = rest.agg(F.max("m")).first()[0]
-        if largest is None:
+    # First the links that join copies to what they were copied from, then all pairs that are left.
+    for every in (False, True):
+        rest = _mixed(members, components(links))
+        if rest.isEmpty():
             break
-        pairs = cut_lineage(_across(rest, sketches, settings, at_once).join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            if at_once >= min(largest, 2 * BLOCK):
-                break
-            at_once = 2 * BLOCK if at_once else 16
-        else:
-            tested = cut_lineage(tested.unionByName(pairs))
-            links = cut_lineage(links.unionByName(_confirm(pairs, sets, percent)))
-            at_once = max(16, at_once * 16)
+        pairs = cut_lineage(_across(rest, sketches, settings, every).join(tested, ["a", "b"], "left_anti"))
+        tested = cut_lineage(tested.unionByName(pairs))
+        links = cut_lineage(links.unionByName(_confirm(pairs, sets, percent)))
         drop_finished_shuffles(spark)
+    grouped = components(links)
     keyed = classes.select(*prints, "id").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
         *prints, F.coalesce("component", "id").alias("component_id")
     )
@@ -253,14 +241,23 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
 
 
-def _across(rest: DataFrame, sketches: DataFrame, settings: Settings, at_once: int) -> DataFrame:
+def _mixed(members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``bucket, id, label, blocks``: the members of buckets that hold several components."""
+    labelled = members.select("bucket", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("label")
+    )
+    sizes = labelled.groupBy("bucket").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("m"))
+    mixed = sizes.filter("_x < _y").select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    return cut_lineage(labelled.join(mixed, "bucket"))
+
+
+def _across(rest: DataFrame, sketches: DataFrame, settings: Settings, every: bool) -> DataFrame:
     """``a, b`` (a < b): pairs of classes in a common bucket and different components whose sizes
     and sketches allow a link.
 
-    With ``at_once`` 0 these are the edges of a least spanning forest of the bucket's components
-    by the sketches' difference, which joins copies to what they were copied from. Otherwise each
-    class gives its ``at_once`` most alike partners. Buckets beyond ``BLOCK`` classes are compared
-    in pairs of blocks, so the rows made are the members, and no group's pairs are built.
+    Unless ``every`` pair is asked for, these are the edges of a least spanning forest of the
+    bucket's components by the sketches' difference. Buckets beyond ``BLOCK`` classes are compared
+    in pairs of blocks; a pair of several buckets is given by the first of them only.
     """
     limit, percent = settings.most_different(), settings.percent
     other = F.explode(F.expr("sequence(0, blocks - 1)"))
@@ -269,7 +266,7 @@ def _across(rest: DataFrame, sketches: DataFrame, settings: Settings, at_once: i
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("_other", other)
         .select(
-            "bucket", F.least("own", "_other").alias("bi"), F.greatest("own", "_other").alias("bj"), "own", "id", "label", "n_shingles", "sketch"
+            "bucket", F.least("own", "_other").alias("bi"), F.greatest("own", "_other").alias("bj"), "own", "id", "label", "n_shingles", "sketch", "bands"
         )
     )
 
@@ -287,7 +284,20 @@ def _across(rest: DataFrame, sketches: DataFrame, settings: Settings, at_once: i
             fits = (differ <= limit) & (low * 100 >= high * percent)
             fits &= labels[part][:, None] != labels
             apart[part] = np.where(fits, differ + 1, _FAR)
-        i, j = _forest(apart, labels) if not at_once else _nearest(apart, at_once)
+        i, j = np.nonzero(np.triu(apart < _FAR)) if every else _forest(apart, labels)
+        if every:
+            bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            own = group.column("own").to_numpy()
+            blocks = {group.column("bi")[0].as_py(), group.column("bj")[0].as_py()}
+            here = np.flatnonzero(bands[0] == group.column("bucket")[0].as_py())[0]
+            keep = [np.empty(0, dtype=bool)]
+            for at in range(0, len(i), 100_000):
+                x, y = i[at : at + 100_000], j[at : at + 100_000]
+                first = (bands[x] == bands[y]).argmax(axis=1) == here
+                # In a pair of blocks the pairs inside one block belong to that block alone.
+                keep.append(first & ((own[x] != own[y]) | (len(blocks) == 1)))
+            keep = np.concatenate(keep)
+            i, j = i[keep], j[keep]
         low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
         return pa.table({"a": low, "b": high})
 
@@ -323,15 +333,6 @@ def _forest(apart: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.array(i, dtype=np.int64), np.array(j, dtype=np.int64)
 
 
-def _nearest(apart: np.ndarray, at_once: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row its ``at_once`` nearest admissible columns."""
-    k = min(at_once, apart.shape[1])
-    order = np.argsort(apart, axis=1, kind="stable")[:, :k]
-    ok = np.take_along_axis(apart, order, axis=1) < _FAR
-    i, at = np.nonzero(ok)
-    return i, order[i, at]
-
-
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns."""
     found = near_duplicates(docs, settings).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
