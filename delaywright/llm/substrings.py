@@ -199,10 +199,12 @@ def find_factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     )
     release(single)
     drop_finished_shuffles(spark)
-    index = (
+    # Written first: a join of two plain scans is one whose large keys Spark splits.
+    index = spool(
         distinct.select(*key, "source", "last", F.size("windows").alias("n"))
         .join(parts, key, "left")
-        .filter("source.doc_id < last or parts is not null")
+        .filter("source.doc_id < last or parts is not null"),
+        "index",
     )
     # Later documents lose the whole run; the earliest loses what yet earlier ones have of it.
     whole = F.array(F.struct("pos", "n", F.col("source.doc_id").alias("source"), F.col("source.pos").alias("source_pos")))
@@ -219,7 +221,7 @@ def find_factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     named = found.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
     prints = copies.groupBy("doc_id").agg(F.collect_set(F.struct("x1", "x2", "source")).alias("copies"))
     kept = spool(named.join(prints, "doc_id", "full"), "places")
-    release(runs, distinct, parts, copies)
+    release(runs, distinct, parts, index, copies)
     drop_finished_shuffles(spark)
     return kept
 
