@@ -29,6 +29,8 @@ ORDER = 4
 LOW, HIGH = 0.001, 0.99
 #: Up to so many grams (20 bytes each) are broadcast.
 BROADCAST_GRAMS = 8_000_000
+#: Up to so many ids of trusted documents (8 bytes each) are broadcast.
+BROADCAST_IDS = 5_000_000
 _START, _END = 2, 3
 _SPACE = re.compile(r"\s+")
 _UNITS = 1_000_000
@@ -319,11 +321,13 @@ def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float =
     trusted documents every document is kept. Edge cases as in :func:`perplexities`.
     """
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    own = _documents(docs)
-    model = train(own.join(good, "doc_id", "left_semi").select("text"))
+    good = spool(good, "trusted")
+    # Few ids go to the texts; with more of them the texts are joined by shuffle.
+    sent = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
+    model = train(_documents(docs).join(sent, "doc_id", "left_semi").select("text"))
     found = spool(perplexities(docs, model), "perplexities")
     bounds = F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 10_000).alias("bounds")
-    trusted = found.join(good, "doc_id", "left_semi").select(F.col("lang").alias("_lang"), "perplexity")
+    trusted = found.join(sent, "doc_id", "left_semi").select(F.col("lang").alias("_lang"), "perplexity")
     by_lang = trusted.groupBy("_lang").agg(bounds)
     overall = trusted.agg(bounds).first()["bounds"] or [0.0, float("inf")]
     either = F.coalesce("bounds", F.array(*[F.lit(b) for b in overall]))
