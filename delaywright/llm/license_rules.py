@@ -24,6 +24,9 @@ WEIGHTS = {0: 0.5, TITLE: 0.7, NOTICE: 0.9, TAG: 1.0}
 _V = "(?:version |v )?"
 _LIC = "(?:license|licence)"
 
+#: What stands before "under" in a notice; with it, the gate of every notice.
+GRANTS = ("licensed", "released", "distributed", "available", "published")
+
 #: (label, gate word, title pattern, tag words). The gate word occurs in every text that matches.
 LICENSES = (
     ("agpl-3.0", "affero", f"(?:gnu )?affero general public {_LIC} {_V}3(?: 0)?", "agpl 3 0(?: only| or later)?"),
@@ -133,31 +136,38 @@ SENTENCES = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``gate`` is the word a text must hold before the pattern is tried."""
+    """``gates`` are words or phrases; a text must hold one of them before the pattern is tried, and
+    every text that matches does."""
 
     label: str
     level: int
-    gate: str
+    gates: tuple[str, ...]
     pattern: str
 
+    @property
+    def gate(self) -> str:
+        """The last word of the first gate."""
+        return self.gates[0].split()[-1]
+
 
 def rules() -> list[Rule]:
     """All rules in order: the base phrases, then by level, then as listed above."""
-    found = [Rule(label, 0, "cc" if label == "cc-by" else "license", phrase) for phrase, label in BASE]
-    notice = "(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?(?:an? )?"
+    found = [Rule(label, 0, ("cc" if label == "cc-by" else "license",), phrase) for phrase, label in BASE]
+    notice = f"(?:{'|'.join(GRANTS)}) under (?:the )?(?:terms of )?(?:the )?(?:an? )?"
+    under = tuple(f"{word} under" for word in GRANTS)
     for label, gates, title, tag in LICENSES:
         for gate in gates.split("|"):
-            found.append(Rule(label, TITLE, gate, title))
-        found.append(Rule(label, NOTICE, "under", notice + f"(?:{title}|{tag})"))
-        found.append(Rule(label, TAG, "spdx", f"spdx {_LIC} identifier {tag}"))
+            found.append(Rule(label, TITLE, (gate,), title))
+        found.append(Rule(label, NOTICE, under, notice + f"(?:{title}|{tag})"))
+        found.append(Rule(label, TAG, ("spdx",), f"spdx {_LIC} identifier {tag}"))
     for parts, words in CC_ELEMENTS:
         short = parts.replace("-", " ")
         for version in CC_VERSIONS:
             number = version.replace(".", " ")
             label = f"cc-{parts}-{version}"
-            found.append(Rule(label, TITLE, "cc", f"cc {short} {number}"))
-            found.append(Rule(label, TITLE, "creative", f"creative commons {words} {number}(?: international| unported| generic)?"))
-            found.append(Rule(label, NOTICE, "under", notice + f"(?:cc {short}|creative commons {words}) {number}"))
-            found.append(Rule(label, TAG, "spdx", f"spdx {_LIC} identifier cc {short} {number}"))
-    found += [Rule(label, NOTICE, gate, pattern) for label, gate, pattern in SENTENCES]
+            found.append(Rule(label, TITLE, ("cc",), f"cc {short} {number}"))
+            found.append(Rule(label, TITLE, ("creative",), f"creative commons {words} {number}(?: international| unported| generic)?"))
+            found.append(Rule(label, NOTICE, under, notice + f"(?:cc {short}|creative commons {words}) {number}"))
+            found.append(Rule(label, TAG, ("spdx",), f"spdx {_LIC} identifier cc {short} {number}"))
+    found += [Rule(label, NOTICE, (gate,), pattern) for label, gate, pattern in SENTENCES]
     return sorted(found, key=lambda r: r.level)

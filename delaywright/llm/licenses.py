@@ -1,7 +1,7 @@
 """License scan by ordered signature rules, in DataFrame functions only.
 
-A text is normalised to lower-case words, tested once for any gate word, and only then tried
-against the rules whose gate word it holds. A match becomes an interval of words; an interval that
+A text is normalised to lower-case words, tested once for any gate, and only then tried against the
+rules of which it holds a gate: words or phrases that every match of the rule contains. A match becomes an interval of words; an interval that
 lies inside one of the same or a higher level is dropped. The places of the base phrases are kept
 whatever covers them. Nothing is shuffled: all rules of a text are evaluated in its row.
 """
@@ -67,20 +67,19 @@ def scan(docs: DataFrame, signatures: list[Rule] | None = None) -> DataFrame:
     null; an empty table gives no rows; columns besides ``doc_id`` and ``text`` are not read.
     """
     signatures = rules() if signatures is None else signatures
-    gates = sorted({r.gate for r in signatures})
+    gates = sorted({g.replace(" ", "  ") for r in signatures for g in r.gates})
     table = F.array(
         *[
             F.struct(
                 F.lit(r.label).alias("label"),
                 F.lit(r.level).alias("level"),
-                F.lit(r.gate).alias("gate"),
+                F.array(*[F.lit(g.replace(" ", "  ")) for g in r.gates]).alias("gates"),
                 F.lit(spaced(r.pattern)).alias("pattern"),
             )
             for r in signatures
         ]
     )
-    # 'under' is an ordinary word: it selects rules, but another gate word must be there as well.
-    telling = "|".join(g for g in gates if g != "under")
+    telling = "|".join(gates)
     norm = F.col("_norm")
     gated = texts(docs).withColumn("_norm", normalised(F.col("text"))).withColumn(
         "_gated", norm.rlike(f" (?:{telling}) ")
@@ -88,7 +87,7 @@ def scan(docs: DataFrame, signatures: list[Rule] | None = None) -> DataFrame:
     held = F.filter(F.array(*map(F.lit, gates)), lambda g: F.contains(norm, F.concat(F.lit(" "), g, F.lit(" "))))
     tried = F.transform(
         F.array(held),
-        lambda own: F.filter(table, lambda r: F.array_contains(own, r["gate"]) & F.rlike(norm, r["pattern"])),
+        lambda own: F.filter(table, lambda r: F.arrays_overlap(own, r["gates"]) & F.rlike(norm, r["pattern"])),
     )[0]
     found = F.flatten(F.transform(tried, lambda r: _detections(norm, r)))
     scanned = gated.withColumn("_found", F.when(F.col("_gated"), found).otherwise(F.array().cast(_DETECTION)))

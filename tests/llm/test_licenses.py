@@ -87,3 +87,33 @@ def test_specific_detections_suppress_general_ones(make_docs):
     row = scan(make_docs([(1, "Licensed under the Apache License, Version 2.0.")])).first()
     assert [(d.label, d.level) for d in row.detections] == [("apache-2.0", 2)]
     assert [(d.label, d.first) for d in row.base] == [("apache", 3)]
+
+
+def ungated(text):
+    """Every rule over the words, whatever its gates."""
+    words = words_of(text)
+    wide = " " + "  ".join(words) + " "
+    found = set()
+    for rule in rules():
+        for m in re.finditer(spaced(rule.pattern), wide):
+            first = wide[: m.start() + 1].count(" ") // 2
+            found.add((first, first + len(m[1].split()) - 1, rule.level, rule.label))
+    return {
+        d for d in found
+        if not any(e[0] <= d[0] and e[1] >= d[1] and e[2] >= d[2] and (e[:3] != d[:3] or e[3] < d[3]) for e in found if e != d)
+    }
+
+
+def equals_ungated(make_docs, texts):
+    got = {r.doc_id: {(d.first, d.last, d.level, d.label) for d in r.detections} for r in scan(make_docs([*enumerate(texts)])).collect()}
+    assert got == {i: ungated(t) for i, t in enumerate(texts)}
+    return got
+
+
+def test_notices_by_tag_need_no_other_word(make_docs):
+    texts = [f"It is {grant} under {tag}." for grant, tag in zip(
+        ["Released", "distributed", "licensed", "available", "published"] * 3,
+        ["GPL 3.0", "MPL 2.0", "the AGPL-3.0-only", "LGPL 2.1", "EPL-2.0", "the terms of the ECL 2.0", "an OSL 3.0", "0BSD",
+         "MIT", "WTFPL", "the CDDL 1.0", "ODC-BY 1.0", "OFL 1.1", "MS-PL", "CC BY 4.0"])]
+    got = equals_ungated(make_docs, [*texts, "It lies under the table.", "found under GPL 3.0"])
+    assert all(got[i] for i in range(len(texts))) and not got[len(texts)]
