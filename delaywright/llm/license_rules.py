@@ -27,7 +27,8 @@ _LIC = "(?:license|licence)"
 #: What stands before "under" in a notice; with it, the gate of every notice.
 GRANTS = ("licensed", "released", "distributed", "available", "published")
 
-#: (label, gate word, title pattern, tag words). The gate word occurs in every text that matches.
+#: (label, gates, title pattern, tag words). The title is listed once for each part between "|"; a text
+#: that matches holds one of all the words.
 LICENSES = (
     ("agpl-3.0", "affero", f"(?:gnu )?affero general public {_LIC} {_V}3(?: 0)?", "agpl 3 0(?: only| or later)?"),
     ("agpl-1.0", "affero", f"affero general public {_LIC} {_V}1(?: 0)?", "agpl 1 0(?: only| or later)?"),
@@ -47,9 +48,9 @@ LICENSES = (
     ("mit", "license", "(?:the )?mit license", "mit"),
     ("x11", "x11", f"(?:mit )?x11 {_LIC}", "x11"),
     ("isc", "isc", f"isc {_LIC}", "isc"),
-    ("0bsd", "bsd", f"(?:zero clause bsd|bsd zero clause|0 clause bsd|0bsd)(?: {_LIC})?", "0bsd"),
+    ("0bsd", "bsd,0bsd", f"(?:zero clause bsd|bsd zero clause|0 clause bsd|0bsd)(?: {_LIC})?", "0bsd"),
     ("bsd-1-clause", "bsd", f"(?:bsd 1 clause|1 clause bsd)(?: {_LIC})?", "bsd 1 clause"),
-    ("bsd-2-clause", "bsd", f"(?:(?:bsd 2|2) clause (?:bsd )?|(?:simplified|freebsd) bsd ){_LIC}", "bsd 2 clause"),
+    ("bsd-2-clause", "bsd,clause", f"(?:(?:bsd 2|2) clause (?:bsd )?|(?:simplified|freebsd) bsd ){_LIC}", "bsd 2 clause"),
     ("bsd-3-clause", "bsd", f"(?:(?:new|modified|revised|3 clause) bsd|bsd 3 clause)(?: {_LIC})?", "bsd 3 clause"),
     ("bsd-4-clause", "bsd", f"(?:(?:original|4 clause) bsd|bsd 4 clause)(?: {_LIC})?", "bsd 4 clause"),
     ("mpl-1.0", "mozilla", f"mozilla public {_LIC} {_V}1 0", "mpl 1 0"),
@@ -66,7 +67,7 @@ LICENSES = (
     ("eupl-1.2", "eupl|european", f"(?:european union public {_LIC}|eupl) {_V}1 2", "eupl 1 2"),
     ("ecl-2.0", "educational", f"educational community {_LIC}(?: {_V}2 0)?", "ecl 2 0"),
     ("afl-3.0", "academic", f"academic free {_LIC}(?: {_V}3 0)?", "afl 3 0"),
-    ("osl-3.0", "license", f"open software {_LIC}(?: {_V}3 0)?", "osl 3 0"),
+    ("osl-3.0", "software", f"open software {_LIC}(?: {_V}3 0)?", "osl 3 0"),
     ("artistic-1.0", "artistic", f"artistic {_LIC} {_V}1(?: 0)?", "artistic 1 0"),
     ("artistic-2.0", "artistic", f"artistic {_LIC} {_V}2(?: 0)?", "artistic 2 0"),
     ("bsl-1.0", "boost", f"boost software {_LIC}(?: {_V}1 0)?", "bsl 1 0"),
@@ -120,7 +121,7 @@ SENTENCES = (
     ("bsd-3-clause", "endorse", "may be used to endorse or promote products derived from this software"),
     ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software"),
     ("apache-2.0", "compliance", "you may not use this file except in compliance with the license"),
-    ("gpl-2.0", "merchantability", "either version 2 of the license or at your option any later version"),
+    ("gpl-2.0", "option", "either version 2 of the license or at your option any later version"),
     ("gpl-3.0", "option", "either version 3 of the license or at your option any later version"),
     ("zlib", "misrepresented", "the origin of this software must not be misrepresented"),
     ("wtfpl", "fuck", "you just do what the fuck you want to"),
@@ -157,7 +158,7 @@ def rules() -> list[Rule]:
     under = tuple(f"{word} under" for word in GRANTS)
     for label, gates, title, tag in LICENSES:
         for gate in gates.split("|"):
-            found.append(Rule(label, TITLE, (gate,), title))
+            found.append(Rule(label, TITLE, tuple(gate.split(",")), title))
         found.append(Rule(label, NOTICE, under, notice + f"(?:{title}|{tag})"))
         found.append(Rule(label, TAG, ("spdx",), f"spdx {_LIC} identifier {tag}"))
     for parts, words in CC_ELEMENTS:
