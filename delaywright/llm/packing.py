@@ -14,6 +14,7 @@ within its task and a prefix sum over tasks, says where it goes.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -50,18 +51,25 @@ def _byte_letters() -> dict[str, int]:
 
 
 class ByteCoder:
-    """Ids of whole texts under a byte-level vocabulary file; special strings are ordinary text.
+    """Ids of whole texts under a byte-level vocabulary file.
 
-    No token reaches over a space that stands between two visible characters, so a text is cut
+    The file's added tokens are found in the text first and have ids of their own; what stands
+    between them is encoded as if it were a whole text. No other token reaches over a space that stands between two visible characters, so a text is cut
     there and each distinct chunk is encoded once (see :class:`ChunkTable`).
     """
 
     def __init__(self, vocabulary: str, table_limit: int = TABLE_LIMIT):
         with open(vocabulary, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            found = json.load(file)
+        added = found.get("added_tokens") or []
+        if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{vocabulary}: an added token takes in more or less than its own characters")
+        self._added = {t["content"]: t["id"].to_bytes(4, "little") for t in added}
+        # Of two that begin at one place the longer one counts.
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cut_added = re.compile(f"({'|'.join(map(re.escape, longest))})") if added else None
         letters = _byte_letters()
-        special = {"<|endoftext|>"}
-        ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+        ranks = {bytes(letters[c] for c in t): i for t, i in found["model"]["vocab"].items() if t not in self._added}
         self._encoding = tiktoken.Encoding("bytes", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
         self._first = ChunkTable(lambda chunks: self._compute(chunks, ""), table_limit // 10)
         self._later = ChunkTable(lambda chunks: self._compute(chunks, " "), table_limit)
@@ -72,6 +80,13 @@ class ByteCoder:
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        if not any(t in text for t in self._added):
+            return self._between(text)
+        # Every second part is an added token.
+        parts = self._cut_added.split(text)
+        return b"".join(self._added[p] if i % 2 else self._between(p) for i, p in enumerate(parts))
+
+    def _between(self, text: str) -> bytes:
         if not text:
             return b""
         if self._plain(text):

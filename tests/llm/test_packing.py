@@ -1,6 +1,7 @@
 """Packing: ids against the library, whole coverage, gapless sequences, little padding."""
 
 import random
+import sys
 import zlib
 from array import array
 from collections import defaultdict
@@ -97,3 +98,24 @@ def test_plan_fills_most_windows():
     histogram = np.bincount(draw.integers(1, 64, 5000), minlength=64)
     plan = make_plan(histogram, window=64)
     assert plan.rest_sequence > 0.9 * plan.n_sequences
+
+
+def contract():
+    """The library as the contract loads it: added tokens inside texts are tokens."""
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def test_added_tokens_inside_texts_equal_the_library():
+    coder, tokenizer, draw = ByteCoder(VOCABULARY, 40), contract(), random.Random(6)
+    parts = ["<|endoftext|>"] * 3 + ["<|endoftext|", "|>", "<", " ", "  ", "\n", "a", "the", "'s", "日", "12", "\xa0", "endoftext"]
+    texts = ["", "<|endoftext|>", "<|endoftext|>" * 3, " <|endoftext|> x", "a <|endoftext|>", "<|<|endoftext|>endoftext|>"]
+    for text in texts + ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(3000)]:
+        assert coder.ids(text) + b"\0\0\0\0" == ids_of(tokenizer, text)
+    assert array("I", coder.ids("a<|endoftext|>b"))[1] == 50256
+
+
+def test_packs_added_tokens(make_docs, monkeypatch):
+    monkeypatch.setattr(sys.modules[__name__], "library", contract)
+    docs = [(i, "word <|endoftext|> " * (i % 7) + "end" * (i % 2)) for i in range(40)]
+    docs += [(50, "<|endoftext|>" * 200), (51, None), (None, "a<|endoftext|>b")]
+    assert check(docs, pack(make_docs(docs), VOCABULARY, window=16).collect(), 16) < 16
