@@ -2,8 +2,8 @@
 
 One model describes random strings, the other ordinary identifiers and words; both are first-order
 models over the characters secrets are made of, counted from labelled samples. A run of such
-characters that no rule has found is reported as ``random`` when the random model explains it
-better by more than a margin.
+characters, without the parts that a rule has found, is reported as ``random`` when the random
+model explains it better by more than a margin.
 """
 
 from __future__ import annotations
@@ -88,15 +88,14 @@ class MarkovPair:
         return float(self.ratio.ravel()[np.unique(steps)].sum())
 
     def spans(self, text: str, taken: list[Span], min_length: int, margin: float) -> list[Span]:
-        found = []
-        pattern = _long_run(min_length)
-        for m in pattern.finditer(text):
-            start, end = m.span()
-            if any(s < end and start < e for s, _, e in taken):
-                continue
-            if self.score(m[0]) > margin:
-                found.append((start, 3, end))
-        return found
+        """Runs of ``text``, cut at the spans in ``taken``; parts shorter than ``min_length`` are left out."""
+        found: list[tuple[int, int, str]] = []
+        pattern, at = _long_run(min_length), 0
+        for start, _, end in [*sorted(taken), (len(text), 0, len(text))]:
+            if start - at >= min_length:
+                found += [(*m.span(), m[0]) for m in pattern.finditer(text, at, start)]
+            at = max(at, end)
+        return [(s, 3, e) for s, e, run in found if self.score(run) > margin]
 
 
 _LONG: dict[int, re.Pattern] = {}

@@ -88,3 +88,17 @@ def test_training_on_documents_and_empty_tables(make_docs):
     nothing = secrets.train_on_documents(make_docs([]))
     assert secrets.scan(make_docs([]), nothing).count() == 0
     assert secrets.span_digests(secrets.scan(make_docs([(1, "")]), nothing)).first().spans == ""
+
+
+def test_runs_beside_a_rule_are_scored(make_docs, models):
+    draw = random.Random(8)
+    key = "".join(draw.choice(secrets.ALPHABET[:62]) for _ in range(40))
+    access, inside = "AKIA" + "Q7" * 8, "0a1b2c3d4e5f" * 2
+    texts = [f"id {access}/{key} end", f"{key}Z{inside}Z{key}", f"{access}/{key[:10]}", f"token={key}.x {key}"]
+    got = {r.doc_id: [(s.kind, s.value) for s in r.spans] for r in secrets.scan(make_docs([*enumerate(texts)]), models).collect()}
+    assert got[0] == [("access", access), ("random", f"/{key}")]
+    assert [k for k, _ in got[1]] == ["random", "hex", "random"] and "".join(v for _, v in got[1]) == texts[1]
+    assert got[2] == [("access", access)]
+    assert got[3] == [("assign", f"token={key}.x"), ("random", key)]
+    masked = {r.doc_id: r.text for r in secrets.redact(make_docs([*enumerate(texts)]), models).collect()}
+    assert all(key not in t for t in masked.values())
