@@ -1,9 +1,9 @@
 """Substring deduplication by relative Lempel-Ziv parsing against earlier documents.
 
 Every document is a reference block for all documents with a larger id. A document is factored
-greedily from left to right: a factor is the longest run of windows (of ``window`` words) that
-follow one another in one reference document as well. Factors start and end where the source
-changes, and every window over such a boundary is looked up too, so the words covered by factors
+from left to right: a factor is a run of windows (of ``window`` words) whose earliest places follow
+one another in one reference document. Factors start and end where that document changes, though
+another one may hold the whole longer run, and every window over such a boundary is looked up too, so the words covered by factors
 are exactly those covered by windows that occur in an earlier document.
 
 The index of all reference blocks is a table window -> earliest place, spread by window hash, and
@@ -227,9 +227,9 @@ def find_factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
 
 
 def factors_of(places: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
-    """The greedy factors (start, length, source, source start) in words, from the matched windows
+    """The factors (start, length, source, source start) in words, from the matched windows
     ``places`` (columns pos, source, source_pos; by pos). A factor ends where the next window
-    follows on in no common source; the next factor starts with that window, so the windows over
+    does not follow on in the same source; the next factor starts with that window, so the windows over
     the boundary are covered by one of the two."""
     if not len(places):
         return []
