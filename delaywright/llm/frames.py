@@ -57,3 +57,11 @@ def drop_finished_shuffles(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name`` with as many underscores before it as no column of ``frames`` has."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
