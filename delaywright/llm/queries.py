@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from delaywright.llm import annsearch, crosspolytope, exactdedup, licenses, minhash, packing, pieces, quality, secrets, substrings, toxicity
+from delaywright.llm import annsearch, crosspolytope, exactdedup, lexical, licenses, minhash, packing, pieces, quality, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays of every group of equal texts."""
     return exactdedup.exact_duplicates(_table(spark, sf_dir, "documents"))
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
+    "op12_lexical_search": op12_lexical_search,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -103,5 +109,6 @@ ORACLES: dict[str, str] = {
     "op4_licenses": licenses.oracle_sql(),
     "op5_crosspolytope": crosspolytope.oracle_sql(),
     "op7_substrings": substrings.oracle_sql(),
+    "op12_lexical_search": lexical.oracle_sql(),
     "op13_exact_dedup": exactdedup.oracle_sql(),
 }
