@@ -61,7 +61,7 @@ class Shard:
         terms, self._places, self._impacts = terms[order], places[order], impacts[order]
         found, starts = np.unique(terms, return_index=True)
         most = np.maximum.reduceat(self._impacts, starts) if len(starts) else []
-        ends = [*starts[1:].tolist(), len(terms)]
+        ends = np.append(starts, len(terms))[1:].tolist()
         self._lists = dict(zip(found.tolist(), zip(starts.tolist(), ends, (int(m) for m in most), strict=True), strict=True))
         self.ids = ids
 
