@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from delaywright.llm import annsearch, crosspolytope, exactdedup, lexical, licenses, minhash, packing, pieces, quality, secrets, substrings, toxicity
+from delaywright.llm import annsearch, crosspolytope, exactdedup, hardnegatives, lexical, licenses, minhash, packing, pieces, quality, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every seventh vector's label is moved on by one first."""
+    table = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    table = table.withColumn("label", moved)
+    return hardnegatives.mine(table, table.filter("vec_id % 50 = 0"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -100,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_lexical_search": op12_lexical_search,
     "op13_exact_dedup": op13_exact_dedup,
 }
@@ -109,6 +118,7 @@ ORACLES: dict[str, str] = {
     "op4_licenses": licenses.oracle_sql(),
     "op5_crosspolytope": crosspolytope.oracle_sql(),
     "op7_substrings": substrings.oracle_sql(),
+    "op11_hard_negatives": hardnegatives.oracle_sql(),
     "op12_lexical_search": lexical.oracle_sql(),
     "op13_exact_dedup": exactdedup.oracle_sql(),
 }
