@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import windows
-from delaywright.operators.joins import asof_join
 from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Position
 
 # Names of the engineered columns.
@@ -78,15 +77,9 @@ def flight_features(
     minute = base.withColumn("_minute", fx.epoch_minutes(timestamp))
     crowded = windows.flights_within(minute, [airport], "_minute", row_id, 15, rows_per_task=rows_per_task)
     order = [timestamp, row_id]
-    numbered = OrderedScan([aircraft, date], order, rows_per_task).run(
-        crowded.drop("_minute"), measured_on=df, tail_num_flight_seq_num=Position()
+    measured = df.select(aircraft, date, timestamp, row_id)
+    followed = windows.known_prior_delay(
+        crowded.drop("_minute"), aircraft, timestamp, row_id, delay, lead_hours, rows_per_task=rows_per_task, measured_on=measured
     )
-    # The delay is looked up among the flights as given, not among the engineered rows.
-    flown = df.select(
-        F.col(aircraft), F.col(timestamp).alias("_prior_ts"), F.col(row_id).alias("_prior_id"), F.col(delay).alias("_prior")
-    )
-    cut_off = F.col(timestamp) - F.expr(f"INTERVAL {int(lead_hours)} HOURS")
-    followed = asof_join(
-        numbered, flown, [aircraft], cut_off, "_prior_ts", row_id, "_prior_id", ["_prior"], rows_per_task=rows_per_task, measured_left=df
-    )
-    return followed.withColumn("prior_flight_dep_delay_new", fx.positive_part("_prior")).drop("_prior")
+    # The aircraft's rows lie together now; numbering them by day needs no shuffle of its own.
+    return OrderedScan([aircraft, date], order, rows_per_task).run(followed, measured, tail_num_flight_seq_num=Position())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaywright.operators.skew import ROWS_PER_TASK, LastKnown, OrderedScan
+from delaywright.operators.skew import ROWS_PER_TASK, LastKnown, NextKnown, OrderedScan
 
 
 def asof_join(
@@ -26,9 +26,33 @@ def asof_join(
     Both sides go into one ordered stream per key and the last right row is carried forward, so
     no pair of rows is ever built. ``left_time`` may be an expression such as the departure
     minus two hours. Of right rows with the same time the highest ``right_id`` wins. Left rows
-    without a match keep nulls; a null in a key matches nothing, on either side. ``measured_left`` names a cheaper frame with the same keys as
-    ``left`` for counting the group sizes.
+    without a match keep nulls; a null in a key matches nothing, on either side. ``measured_left`` names a cheaper frame with the same keys,
+    times and ids as ``left`` for counting the group sizes.
     """
+    stream, sizes, keys = _stream(left, right, on, left_time, right_time, left_id, right_id, payload, measured_left)
+    scan = OrderedScan(keys, ["_t", "_side", "_id"], rows_per_task)
+    carried = scan.run(stream, measured_on=sizes, _match=LastKnown("_right")).filter(F.col("_side") == 1)
+    # a left row without a time sorts first and must not match
+    match = F.when(F.col("_t").isNotNull(), F.col("_match"))
+    return carried.select(
+        *[F.col("_left")[c].alias(c) for c in left.columns],
+        *[match[c].alias(prefix + c) for c in payload],
+    )
+
+
+def _stream(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    left_time: Column | str,
+    right_time: Column | str,
+    left_id: str,
+    right_id: str,
+    payload: list[str],
+    measured_left: DataFrame | None,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides in one frame ``keys, _t, _side, _id, _left, _right`` (right rows are side 0 and
+    come first at equal times), a cheaper frame with its keys and order, and the keys."""
     clock = F.col(left_time) if isinstance(left_time, str) else left_time
     stamp = F.col(right_time) if isinstance(right_time, str) else right_time
     record = F.struct(*[F.col(c) for c in payload])
@@ -58,16 +82,11 @@ def asof_join(
     )
     stream = l_stream.unionByName(r_stream, allowMissingColumns=True)
     keys = [*[f"_k{i}" for i in range(len(on))], "_null"]
-    measured = (left if measured_left is None else measured_left).select(*named, spread)
-    sizes = measured.unionByName(known.select(*named, F.lit(0).alias("_null")))
-    scan = OrderedScan(keys, ["_t", "_side", "_id"], rows_per_task)
-    carried = scan.run(stream, measured_on=sizes, _match=LastKnown("_right")).filter(F.col("_side") == 1)
-    # a left row without a time sorts first and must not match
-    match = F.when(F.col("_t").isNotNull(), F.col("_match"))
-    return carried.select(
-        *[F.col("_left")[c].alias(c) for c in left.columns],
-        *[match[c].alias(prefix + c) for c in payload],
+    order = ["_t", "_side", "_id"]
+    measured = (left if measured_left is None else measured_left).select(
+        *named, spread, clock.alias("_t"), F.lit(1).alias("_side"), F.col(left_id).alias("_id")
     )
+    return stream, measured.unionByName(r_stream.select(*keys, *order)), keys
 
 
 def nearest_per_key(pairs: DataFrame, key: str, candidate: str, distance: str) -> DataFrame:
@@ -92,25 +111,25 @@ def nearest_by_value(
 ) -> DataFrame:
     """Per left row the right row of the same key with the closest value (lowest id on ties).
 
-    The closest value is the next one below or the next one above, so two as-of joins replace
-    the comparison of every left row with every right row of the key.
+    The closest value is the next one below or the next one above. Both sides go into one ordered
+    stream per key; the last right row is carried forward and the next one backward, in the same
+    pass, instead of comparing every left row with every right row of the key. A left row without
+    a value has no nearest row.
     """
     points = right.groupBy(*on, right_value).agg(F.min(right_id).alias(right_id))
-    up = points.withColumn("_neg", -F.col(right_value))
     payload = [right_value, right_id]
-    lower = asof_join(
-        left, points, on, left_value, right_value, left_id, right_id, payload, "_lo_", rows_per_task
-    )
-    both = asof_join(
-        lower, up, on, -F.col(left_value), "_neg", left_id, right_id, payload, "_hi_", rows_per_task, left
-    )
+    stream, sizes, keys = _stream(left, points, on, left_value, right_value, left_id, right_id, payload, None)
+    scan = OrderedScan(keys, ["_t", "_side", "_id"], rows_per_task)
+    around = scan.run(stream, measured_on=sizes, _below=LastKnown("_right"), _above=NextKnown("_right"))
+    known = around.filter(F.col("_side") == 1)
 
     def candidate(side: str) -> Column:
-        gap = F.abs(F.col(f"{side}{right_value}") - F.col(left_value))
-        known = F.col(f"{side}{right_id}").isNotNull()
+        gap = F.abs(F.col(side)[right_value] - F.col("_t"))
         return F.when(
-            known, F.struct(gap.alias("gap"), F.col(f"{side}{right_id}").alias("nearest"))
+            F.col(side).isNotNull() & F.col("_t").isNotNull(), F.struct(gap.alias("gap"), F.col(side)[right_id].alias("nearest"))
         )
 
-    best = F.least(candidate("_lo_"), candidate("_hi_"))
-    return both.select(*left.columns, best["nearest"].alias(right_id), best["gap"].alias("gap"))
+    best = F.least(candidate("_below"), candidate("_above"))
+    return known.select(
+        *[F.col("_left")[c].alias(c) for c in left.columns], best["nearest"].alias(right_id), best["gap"].alias("gap")
+    )

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaywright.functions.expressions import positive_part
-from delaywright.operators.joins import asof_join
 from delaywright.operators.skew import (
     ROWS_PER_TASK,
+    LastBefore,
     OrderedScan,
     Position,
     Previous,
@@ -149,20 +149,17 @@ def known_prior_delay(
     lead_hours: int = 2,
     output: str = "prior_flight_dep_delay_new",
     rows_per_task: int = ROWS_PER_TASK,
+    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Delay of the aircraft's latest flight that left at least ``lead_hours`` before a row does,
     early departures as 0; null without such a flight, and for an unknown aircraft or time.
 
-    Of flights with the same time the one with the highest id counts.
+    Of flights with the same time the one with the highest id counts. ``measured_on`` as for
+    :meth:`OrderedScan.run`.
     """
-    flown = df.select(
-        aircraft, F.col(timestamp).alias("_prior_ts"), F.col(row_id).alias("_prior_id"), F.col(delay).alias(output)
-    )
-    cut_off = F.col(timestamp) - F.expr(f"INTERVAL {int(lead_hours)} HOURS")
-    found = asof_join(
-        df, flown, [aircraft], cut_off, "_prior_ts", row_id, "_prior_id", [output], rows_per_task=rows_per_task
-    )
-    return found.withColumn(output, positive_part(output))
+    back = LastBefore(delay, f"INTERVAL {int(lead_hours)} HOURS")
+    found = OrderedScan([aircraft], [timestamp, row_id], rows_per_task).run(df, measured_on, **{output: back})
+    return found.withColumn(output, F.when(F.col(aircraft).isNotNull(), positive_part(output)))
 
 
 def prior_value(

@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from delaywright.operators import joins, windows
-from delaywright.operators.skew import LastKnown, OrderedScan, Position, Previous, attach, join_lookup
-from tests.conftest import rows_of
+from delaywright.operators import joins, skew, windows
+from delaywright.operators.skew import LastBefore, LastKnown, NextKnown, OrderedScan, Position, Previous, attach, join_lookup
+from tests.conftest import plan_text, rows_of
 
 
 @pytest.fixture(scope="module")
@@ -172,3 +172,44 @@ def test_lookups_join_alike_broadcast_and_spread(spark, max_rows):
     found = join_lookup(rows, lookup, ["k"], ["id"], max_rows, rows_per_task=25)
     known = {"hot": 1.0, "k0": 2.0, "k3": 3.0}
     assert rows_of(found, "id", "k", "v") == sorted(((r["id"], r["k"], known.get(r["k"])) for r in rows.collect()), key=repr)
+
+
+@pytest.mark.parametrize("rows_per_task", [7, 150, 5_000_000])
+def test_values_ahead_and_some_time_back(spark, skewed, rows_per_task):
+    """Next known values, and values at least 60 back: frames of one plain window, in one shuffle."""
+    window = Window.partitionBy("k").orderBy("t", "row_id")
+    ahead = window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    back = Window.partitionBy("k").orderBy("t").rangeBetween(Window.unboundedPreceding, -60)
+    expected = skewed.select(
+        "row_id",
+        F.first("v", ignorenulls=True).over(ahead).alias("ahead"),
+        F.max(F.struct("t", "row_id", "v")).over(back)["v"].alias("back"),
+    )
+    scan = OrderedScan(["k"], ["t", "row_id"], rows_per_task)
+    found = scan.run(skewed, ahead=NextKnown("v"))
+    found = scan.run(found, skewed, back=LastBefore("v", "60"))
+    assert found.columns == [*skewed.columns, "ahead", "back"]
+    assert rows_of(found, "row_id", "ahead", "back") == rows_of(expected)
+
+
+def test_values_some_time_back_are_a_scan_of_their_own(skewed):
+    scan = OrderedScan(["k"], ["t", "row_id"], 150)
+    with pytest.raises(ValueError):
+        scan.run(skewed, a=LastBefore("v", "1"), b=Position())
+
+
+def test_hot_keys_go_through_one_shuffle(spark, sf_dir, monkeypatch):
+    """With a hot key, what is written holds one scan of the source and one shuffle of its rows."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    staged = []
+    spool = skew.spool
+    monkeypatch.setattr(skew, "spool", lambda df, tag: staged.append(plan_text(df)) or spool(df, tag))
+    scan = OrderedScan(["event_type"], ["ts", "event_id"], rows_per_task=40)
+    assert scan.run(events, n=Position(), v=Previous("value")).count() == events.count()
+    assert len(staged) == 1 and staged[0].count("FileScan") == 1 and staged[0].count("Exchange hashpartitioning") == 1
+
+
+def test_bounds_are_found_in_chunks(spark):
+    rows = spark.range(500).select("id", F.expr("transform(sequence(1, 150), x -> x * 3)").alias("_bounds"))
+    found = rows.select("id", skew._bounds_below(lambda b: b <= F.col("id")).alias("n")).collect()
+    assert {r["id"]: r["n"] for r in found} == {i: min(150, i // 3) for i in range(500)}
