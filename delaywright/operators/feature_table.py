@@ -1,4 +1,4 @@
-"""The engineered feature table of a flight, built with two row shuffles.
+"""The engineered feature table of a flight, built with two row shuffles and a rank lookup.
 
 Calendar, cyclical and class features are one projection. The congestion count joins per-minute
 counts back by airport; sequence and prior delay follow the aircraft.
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import windows
-from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Position
+from delaywright.operators.delay_rank import rolling_airport_ranks, with_origin_rank
+from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Position, Previous
 
 # Names of the engineered columns.
 ENGINEERED = [
@@ -26,6 +27,7 @@ ENGINEERED = [
     "tail_num_flight_seq_num",
     "parallel_flights",
     "prior_flight_dep_delay_new",
+    "prior_flight_origin_delay_pagerank",
     "christmas_travel",
     "federal_holiday_indicator",
     "recency_days",
@@ -60,13 +62,15 @@ def flight_features(
     date: str = "fl_date",
     clock: str = "crs_dep_time",
     airport: str = "origin",
+    destination: str = "dest",
     aircraft: str = "tail_num",
     delay: str = "dep_delay",
     rows_per_task: int = ROWS_PER_TASK,
     lead_hours: int = 2,
 ) -> DataFrame:
     """Add all engineered features to a flight frame; no row is added or lost. The prior flight's
-    delay is that of the aircraft's latest flight known ``lead_hours`` before departure.
+    delay is that of the aircraft's latest flight known ``lead_hours`` before departure; the rank of
+    the airport it came from is that over the delays of the days before the flight's own.
 
     ``as_of`` fixes the reference day of ``recency_days``; by default it is the latest date.
     """
@@ -76,10 +80,18 @@ def flight_features(
     base = calendar_features(df, clock, date, as_of)
     minute = base.withColumn("_minute", fx.epoch_minutes(timestamp))
     crowded = windows.flights_within(minute, [airport], "_minute", row_id, 15, rows_per_task=rows_per_task)
-    order = [timestamp, row_id]
     measured = df.select(aircraft, date, timestamp, row_id)
-    followed = windows.known_prior_delay(
-        crowded.drop("_minute"), aircraft, timestamp, row_id, delay, lead_hours, rows_per_task=rows_per_task, measured_on=measured
-    )
-    # The aircraft's rows lie together now; numbering them by day needs no shuffle of its own.
-    return OrderedScan([aircraft, date], order, rows_per_task).run(followed, measured, tail_num_flight_seq_num=Position())
+    # One shuffle by aircraft serves all three scans: numbering by day needs none of its own.
+    order = [timestamp, row_id]
+    of_aircraft = OrderedScan([aircraft], order, rows_per_task)
+    bounds = of_aircraft.measure(measured)
+    followed = of_aircraft.run_measured(crowded.drop("_minute"), bounds, _prior_airport=Previous(airport))
+    followed = of_aircraft.run_measured(followed, bounds, _prior=windows.delay_before(delay, lead_hours))
+    of_day = OrderedScan([aircraft, date], order, rows_per_task)
+    # Without a busy aircraft there is no busy day of one.
+    days = None if bounds is None else of_day.measure(measured)
+    numbered = of_day.run_measured(followed, days, tail_num_flight_seq_num=Position())
+    ranks = rolling_airport_ranks(df.withColumn("_late", fx.positive_part(delay)), date, airport, destination, "_late")
+    ranked = with_origin_rank(numbered, ranks, date, "_prior_airport", row_id, rows_per_task=rows_per_task)
+    prior = F.when(F.col(aircraft).isNotNull(), fx.positive_part("_prior"))
+    return ranked.withColumn("prior_flight_dep_delay_new", prior).drop("_prior", "_prior_airport")

@@ -149,29 +149,24 @@ class OrderedScan:
         The group sizes are counted first; ``measured_on`` names a cheaper frame with the same
         keys and order (the scan ``df`` was derived from), so that ``df`` is evaluated only once.
         """
-        measured = df if measured_on is None else measured_on
+        return self.run_measured(df, self.measure(df if measured_on is None else measured_on), **outputs)
+
+    def run_measured(self, df: DataFrame, bounds: DataFrame | None, **outputs: Running) -> DataFrame:
+        """As :meth:`run`, with the result of :meth:`measure`, which several scans can share."""
         leads = {op.lead for op in outputs.values() if isinstance(op, LastBefore)}
         if leads and (len(leads) > 1 or not all(isinstance(op, LastBefore) for op in outputs.values())):
             raise ValueError("values some time back are a scan of their own")
-        bounds = self._bounds(measured)
         if bounds is None:
-            return self.plain(df, **outputs)
+            return df.select("*", *[self._local(op, self.keys).alias(name) for name, op in outputs.items()])
         return self._sliced(df, bounds, outputs, next(iter(leads), None))
 
-    def plain(self, df: DataFrame, **outputs: Running) -> DataFrame:
-        """As :meth:`run`, for keys that are known to own few rows."""
-        return df.select("*", *[self._local(op, self.keys).alias(name) for name, op in outputs.items()])
-
-    def has_hot_keys(self, df: DataFrame) -> bool:
-        return self._hot_keys(df)[1] > 0
-
     def _hot_keys(self, df: DataFrame) -> tuple[DataFrame, int]:
         sizes = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
         hot = sizes.filter(F.col("_n") > self.rows_per_task)
         total = hot.agg(F.sum("_n")).first()[0] or 0
         return _prefixed(hot.select(*self.keys), self.keys, "_h_"), total
 
-    def _bounds(self, df: DataFrame) -> DataFrame | None:
+    def measure(self, df: DataFrame) -> DataFrame | None:
         """Hot keys with the least order values of all their slices but the first; None without any."""
         hot, rows = self._hot_keys(df)
         if not rows:

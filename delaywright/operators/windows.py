@@ -149,19 +149,21 @@ def known_prior_delay(
     lead_hours: int = 2,
     output: str = "prior_flight_dep_delay_new",
     rows_per_task: int = ROWS_PER_TASK,
-    measured_on: DataFrame | None = None,
 ) -> DataFrame:
     """Delay of the aircraft's latest flight that left at least ``lead_hours`` before a row does,
     early departures as 0; null without such a flight, and for an unknown aircraft or time.
 
-    Of flights with the same time the one with the highest id counts. ``measured_on`` as for
-    :meth:`OrderedScan.run`.
+    Of flights with the same time the one with the highest id counts.
     """
-    back = LastBefore(delay, f"INTERVAL {int(lead_hours)} HOURS")
-    found = OrderedScan([aircraft], [timestamp, row_id], rows_per_task).run(df, measured_on, **{output: back})
+    scan = OrderedScan([aircraft], [timestamp, row_id], rows_per_task)
+    found = scan.run(df, **{output: delay_before(delay, lead_hours)})
     return found.withColumn(output, F.when(F.col(aircraft).isNotNull(), positive_part(output)))
 
 
+def delay_before(delay: str, lead_hours: int) -> LastBefore:
+    return LastBefore(delay, f"INTERVAL {int(lead_hours)} HOURS")
+
+
 def prior_value(
     df: DataFrame,
     group: list[str],

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import cleaning, windows
+from delaywright.operators.delay_rank import STEPS, WINDOW_DAYS, rolling_airport_ranks, with_origin_rank
 from delaywright.operators.feature_table import ENGINEERED, flight_features
-from delaywright.operators.graph import edges_from, pagerank
-from delaywright.operators.skew import join_lookup
 from delaywright.plans.registry import query
 from delaywright.plans.views import FLIGHTS, flights, rounded, sql_rounded, table
 
@@ -305,9 +304,63 @@ def win_preceding_delay(spark, sf_dir):
     return prior.select("flight_id", rounded("prior_flight_dep_delay_new").alias("prior_flight_dep_delay_new"))
 
 
+# --- rank of the airport the aircraft comes from ---------------------------------------------------
+
+
+def _unrolled_ranks() -> str:
+    """PageRank of every day's window, step by step."""
+    steps = ["""r0 AS MATERIALIZED (SELECT w, id, 1.0 / n AS rank FROM node JOIN size USING (w))"""]
+    for i in range(1, STEPS + 1):
+        steps.append(
+            f"""r{i} AS MATERIALIZED (SELECT n.w, n.id, 0.15 / c.n + 0.85 * (coalesce(d.m, 0) / c.n + coalesce(f.x, 0)) AS rank
+            FROM node n JOIN size c ON c.w = n.w
+            LEFT JOIN (SELECT r.w, sum(rank) AS m FROM r{i - 1} r ANTI JOIN edge e ON e.w = r.w AND e.src = r.id
+              GROUP BY r.w) d ON d.w = n.w
+            LEFT JOIN (SELECT e.w, e.dst AS id, sum(r.rank * e.weight / o.out) AS x FROM edge e
+              JOIN r{i - 1} r ON e.w = r.w AND e.src = r.id
+              JOIN (SELECT w, src, sum(weight) AS out FROM edge GROUP BY w, src) o ON o.w = e.w AND o.src = e.src
+              GROUP BY e.w, e.dst) f ON f.w = n.w AND f.id = n.id)"""
+        )
+    return ",\n".join(steps)
+
+
+#: ``ranked``: flights with the rank, on their own day, of the airport their aircraft came from.
+RANKED = f"""day_of AS MATERIALIZED (SELECT DISTINCT fl_date AS w FROM v_flight),
+    edge AS MATERIALIZED (SELECT w, origin AS src, dest AS dst, sum(dep_delay_new) AS weight
+      FROM day_of JOIN v_flight ON fl_date < w AND fl_date >= w - INTERVAL {WINDOW_DAYS} DAY
+      WHERE dep_delay_new > 0 GROUP BY ALL),
+    node AS MATERIALIZED (SELECT w, src AS id FROM edge UNION SELECT w, dst FROM edge),
+    size AS MATERIALIZED (SELECT w, count(*) AS n FROM node GROUP BY w),
+    {_unrolled_ranks()},
+    came AS (SELECT flight_id, fl_date, lag(origin) OVER (PARTITION BY tail_num
+      ORDER BY dep_ts, flight_id) AS prior_origin FROM v_flight),
+    ranked AS (SELECT flight_id, coalesce(rank, 0) AS delay_rank
+      FROM came LEFT JOIN r{STEPS} ON fl_date = w AND prior_origin = id)"""
+
+
+@query(
+    "feat_origin_delay_rank",
+    f"""WITH {FLIGHTS}, {RANKED}
+    SELECT flight_id, round(delay_rank, 8) AS prior_flight_origin_delay_pagerank FROM ranked""",
+)
+def feat_origin_delay_rank(spark, sf_dir):
+    """Airport PageRank over the delays of the week before a flight's day (no leakage)."""
+    base = flights(spark, sf_dir)
+    ranks = rolling_airport_ranks(base, "fl_date", "origin", "dest", "dep_delay_new")
+    prior = windows.prior_value(
+        base.select("flight_id", "tail_num", "dep_ts", "fl_date", "origin"),
+        ["tail_num"],
+        ["dep_ts", "flight_id"],
+        "origin",
+        "prior_origin",
+    )
+    ranked = with_origin_rank(prior, ranks, "fl_date", "prior_origin", "flight_id")
+    return ranked.select("flight_id", rounded("prior_flight_origin_delay_pagerank", 8).alias("prior_flight_origin_delay_pagerank"))
+
+
 @query(
     "feature_table",
-    f"""WITH {FLIGHTS}, {KNOWN_PRIOR},
+    f"""WITH {FLIGHTS}, {KNOWN_PRIOR}, {RANKED},
     day AS (SELECT CAST(unnest(generate_series((SELECT min(fl_date) - INTERVAL 4 DAY FROM v_flight),
       (SELECT max(fl_date) + INTERVAL 4 DAY FROM v_flight), INTERVAL 1 DAY)) AS DATE) AS d),
     holiday AS (SELECT d FROM day WHERE {HOLIDAY_RULES} OR (month(d) = 6 AND day(d) = 19)),
@@ -316,7 +369,7 @@ def win_preceding_delay(spark, sf_dir):
     w AS (SELECT *, CAST(floor(epoch(dep_ts) / 60) AS BIGINT) AS minute,
         d AS prior,
         row_number() OVER (PARTITION BY tail_num, fl_date ORDER BY dep_ts, flight_id) AS seq,
-        max(fl_date) OVER () AS latest FROM v_flight JOIN known USING (flight_id))
+        max(fl_date) OVER () AS latest FROM v_flight JOIN known USING (flight_id) JOIN ranked USING (flight_id))
     SELECT flight_id, {MINUTES} AS crs_dep_time_minutes_from_midnight,
       {sql_rounded(f"sin({HOUR} * (2 * pi() / 24))")} AS crs_dep_hour_sin,
       {sql_rounded(f"cos({HOUR} * (2 * pi() / 24))")} AS crs_dep_hour_cos,
@@ -325,6 +378,7 @@ def win_preceding_delay(spark, sf_dir):
       {PART_OF_DAY} AS crs_dep_time_part_of_day, seq AS tail_num_flight_seq_num,
       count(*) OVER (PARTITION BY origin ORDER BY minute RANGE BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS parallel_flights,
       round(CASE WHEN prior IS NOT NULL THEN greatest(prior, 0) END, 6) AS prior_flight_dep_delay_new,
+      round(delay_rank, 6) AS prior_flight_origin_delay_pagerank,
       CASE WHEN (month(fl_date) = 12 AND day(fl_date) >= 20) OR (month(fl_date) = 1 AND day(fl_date) <= 10)
         THEN 1 ELSE 0 END AS christmas_travel,
       CAST(coalesce(m, 0) AS INTEGER) AS federal_holiday_indicator,
@@ -333,62 +387,5 @@ def win_preceding_delay(spark, sf_dir):
 )
 def feature_table(spark, sf_dir):
     featured = flight_features(flights(spark, sf_dir))
-    digits = [c for c in ENGINEERED if c.endswith(("_sin", "_cos", "_delay_new"))]
+    digits = [c for c in ENGINEERED if c.endswith(("_sin", "_cos", "_delay_new", "_pagerank"))]
     return featured.select("flight_id", *[rounded(c).alias(c) if c in digits else c for c in ENGINEERED])
-
-
-# --- rank of the airport the aircraft comes from ---------------------------------------------------
-
-RANK_AS_OF = "2024-01-16"
-RANK_STEPS = 10
-
-
-def _unrolled_airport_rank() -> str:
-    steps = ["r0 AS MATERIALIZED (SELECT id, 1.0 / (SELECT count(*) FROM node) AS rank FROM node)"]
-    for i in range(1, RANK_STEPS + 1):
-        steps.append(
-            f"""r{i} AS MATERIALIZED (SELECT n.id, 0.15 / c.n + 0.85 * (d.m / c.n + coalesce(f.x, 0)) AS rank
-            FROM node n CROSS JOIN (SELECT count(*) AS n FROM node) c
-            CROSS JOIN (SELECT coalesce(sum(rank), 0) AS m FROM r{i - 1}
-              WHERE id NOT IN (SELECT src FROM edge)) d
-            LEFT JOIN (SELECT e.dst AS id, sum(r.rank * e.weight / o.w) AS x FROM edge e
-              JOIN r{i - 1} r ON e.src = r.id
-              JOIN (SELECT src, sum(weight) AS w FROM edge GROUP BY src) o ON o.src = e.src
-              GROUP BY e.dst) f ON f.id = n.id)"""
-        )
-    return ",\n".join(steps)
-
-
-@query(
-    "feat_origin_delay_rank",
-    f"""WITH {FLIGHTS},
-    edge AS MATERIALIZED (SELECT origin AS src, dest AS dst, sum(dep_delay_new) AS weight FROM v_flight
-      WHERE fl_date < DATE '{RANK_AS_OF}' AND dep_delay_new > 0 GROUP BY ALL),
-    node AS MATERIALIZED (SELECT src AS id FROM edge UNION SELECT dst FROM edge),
-    {_unrolled_airport_rank()},
-    prior AS (SELECT flight_id, fl_date, lag(origin) OVER (PARTITION BY tail_num
-      ORDER BY dep_ts, flight_id) AS prior_origin FROM v_flight)
-    SELECT flight_id, round(CASE WHEN fl_date >= DATE '{RANK_AS_OF}' THEN coalesce(rank, 0) ELSE 0 END, 8)
-      AS prior_flight_origin_delay_pagerank
-    FROM prior LEFT JOIN r{RANK_STEPS} ON prior_origin = id""",
-)
-def feat_origin_delay_rank(spark, sf_dir):
-    """Airport PageRank over delays before a day, given to later flights only (no leakage)."""
-    base = flights(spark, sf_dir)
-    past = base.filter((F.col("fl_date") < F.lit(RANK_AS_OF).cast("date")) & (F.col("dep_delay_new") > 0))
-    edges = edges_from(past, F.col("origin"), F.col("dest"), F.col("dep_delay_new"))
-    ranks = pagerank(edges, iterations=RANK_STEPS).withColumnRenamed("id", "prior_origin")
-    prior = windows.prior_value(
-        base.select("flight_id", "tail_num", "dep_ts", "fl_date", "origin"),
-        ["tail_num"],
-        ["dep_ts", "flight_id"],
-        "origin",
-        "prior_origin",
-    )
-    known = F.col("fl_date") >= F.lit(RANK_AS_OF).cast("date")
-    return join_lookup(prior, ranks, ["prior_origin"], ["flight_id"]).select(
-        "flight_id",
-        F.round(F.when(known, F.coalesce("pagerank", F.lit(0.0))).otherwise(0.0), 8).alias(
-            "prior_flight_origin_delay_pagerank"
-        ),
-    )

@@ -39,6 +39,7 @@ SPEC = ft.FeatureSpec(
         "tail_num_flight_seq_num",
         "parallel_flights",
         "prior_flight_dep_delay_new",
+        "prior_flight_origin_delay_pagerank",
         "recency_days",
     ),
 )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delaywright.operators import graph
+from delaywright.operators.delay_rank import rolling_airport_ranks
 from delaywright.sources import adjacency
 from tests.conftest import rows_of
 
@@ -189,3 +190,32 @@ def test_the_callers_cache_stays(spark):
 def test_rank_slice(spark):
     ranks = spark.createDataFrame([(i, 1.0 / (i + 1)) for i in range(50)], "id int, pagerank double")
     assert [r["id"] for r in graph.rank_slice(ranks, 20, 40).collect()] == list(range(20, 40))
+
+
+def test_ranks_of_many_graphs_at_once_equal_each_alone(spark):
+    """Graphs of different sizes, with and without dangling nodes, some sharing nodes."""
+    draw = random.Random(12)
+    rows = []
+    for g in range(5):
+        nodes = [f"n{i}" for i in range(3 + 2 * g)]
+        rows += [(g if g else None, draw.choice(nodes), draw.choice(nodes), draw.randint(1, 9)) for _ in range(4 * len(nodes))]
+    edges = spark.createDataFrame(rows, "g int, src string, dst string, weight bigint").groupBy("g", "src", "dst").agg(F.sum("weight").alias("weight"))
+    found = {(r["g"], r["id"]): r["pagerank"] for r in graph.pagerank_by(edges, "g", iterations=7, edges_per_task=5).collect()}
+    expected = {}
+    for g in {r[0] for r in rows}:
+        own = edges.filter(F.col("g").eqNullSafe(F.lit(g))).drop("g")
+        expected |= {(g, r["id"]): r["pagerank"] for r in graph.pagerank(own, iterations=7).collect()}
+    assert found.keys() == expected.keys()
+    assert all(found[k] == pytest.approx(expected[k], abs=1e-12) for k in found)
+    assert sum(found.values()) == pytest.approx(5)
+
+
+def test_rolling_ranks_use_only_the_days_before(spark):
+    rows = [(1, "2024-01-01", "A", "B", 5.0), (2, "2024-01-03", "B", "C", 7.0), (3, "2024-01-04", "C", "A", 2.0), (4, "2024-01-06", "A", "C", -1.0), (5, None, "A", "C", 9.0)]
+    df = spark.createDataFrame(rows, "id int, d string, o string, e string, late double").withColumn("d", F.to_date("d"))
+    found = rolling_airport_ranks(df, "d", "o", "e", "late", days=2)
+    by_day = {}
+    for r in found.collect():
+        by_day.setdefault(str(r["d"]), {})[r["id"]] = r["pagerank"]
+    assert {day: set(ranks) for day, ranks in by_day.items()} == {"2024-01-03": {"A", "B"}, "2024-01-04": {"B", "C"}, "2024-01-06": {"C", "A"}}
+    assert all(sum(ranks.values()) == pytest.approx(1) for ranks in by_day.values())
