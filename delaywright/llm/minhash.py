@@ -6,9 +6,11 @@ count of the XOR of two bitmaps tells how many samples differ, precisely for hig
 Candidates from a bucket whose bitmaps differ too much are never confirmed on their full sets.
 
 Groups of copies stay linear. Equal sets are one class. In a bucket, every class is compared with
-the bucket's smallest one, and components of the confirmed links are formed; then only classes of
-one bucket that lie in different components are compared: first along a least spanning forest of
-the sketches' differences, then all pairs that are left, each in the first bucket it shares.
+the bucket's first one, and components of the confirmed links are formed. Only where classes of
+one bucket then lie in different components are all pairs looked at, each in the first bucket it
+shares: sizes and sketches in one task say which classes have a pair to verify at all, these come
+back with their full sets, and the task that counts the intersections returns the edges of a
+spanning forest. No pair ever leaves a task.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from delaywright.llm import wordhash
 from delaywright.llm.components import components
-from delaywright.llm.frames import drop_finished_shuffles, slices, texts
+from delaywright.llm.frames import drop_finished_shuffles, slices, texts, unused
 from delaywright.runtime import cut_lineage, spool
 
 SHINGLE = 5
@@ -74,10 +76,17 @@ def _sets(hashes: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]
     return found
 
 
-def _shingle_sets(ids_and_data: Iterator[tuple[list, list[bytes]]], size: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    for ids, data in ids_and_data:
+def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list[dict], list[np.ndarray]]]:
+    """(keys, sets) of neighbouring rows of ``key, text``."""
+    for keys, data in slices(batches, "key"):
         raw, starts, ends, bounds = wordhash.words(data, lower=True)
-        yield ids, _sets(wordhash.word_hashes(raw, starts, ends), bounds, size)
+        yield keys, _sets(wordhash.word_hashes(raw, starts, ends), bounds, size)
+
+
+def _prints(own: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set."""
+    halves = wordhash.mix(own), wordhash.mix(own ^ np.uint64(0x5851F42D4C957F2D))
+    return tuple(int(h.sum(dtype=np.uint64).astype(np.int64)) for h in halves)
 
 
 def _samples(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -93,12 +102,17 @@ def _factors(n: int) -> np.ndarray:
     return wordhash.mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-_SIGNATURE = "doc_id long, n_shingles long, p1 long, p2 long, sketch array<long>, bands array<long>"
+_SIGNATURE = "doc_id long, hash long, n_shingles long, p1 long, p2 long, sketch array<long>, bands array<long>"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, hash, text``: rows that repeat an id are told apart by the hash of their texts."""
+    return texts(docs).withColumn("hash", F.xxhash64("text"))
 
 
 def signatures(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row for each row of ``docs``: set size, 128-bit print of the set, odd sketch, bands.
-    Texts without words have an empty set, no sketch and no bands."""
+    """One row for each row of ``docs``: hash of the text, set size, 128-bit print of the set, odd
+    sketch, bands. Texts without words have an empty set, no sketch and no bands."""
     n, per, words = settings.samples, settings.rows, settings.words
     size = settings.shingle
 
@@ -106,11 +120,11 @@ def signatures(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         factors = _factors(n)
         salts = wordhash.mix(factors + np.uint64(1))
         bits = np.uint64(64 * words)
-        for ids, sets in _shingle_sets(slices(batches), size):
-            out: list[list] = [[] for _ in range(5)]
+        for keys, sets in _shingle_sets(batches, size):
+            out: list[list] = [[k["doc_id"] for k in keys], [k["hash"] for k in keys], [], [], [], [], []]
             for own in sets:
                 if not len(own):
-                    for column, value in zip(out, (0, 0, 0, None, None), strict=True):
+                    for column, value in zip(out[2:], (0, 0, 0, None, None), strict=True):
                         column.append(value)
                     continue
                 least = _samples(own, factors)
@@ -118,33 +132,36 @@ def signatures(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 parity = np.bincount(place.astype(np.int64), minlength=64 * words) & 1
                 sketch = np.packbits(parity.astype(np.uint8)).view(np.int64)
                 bands = wordhash.window_hashes(least, per, seed=9)[::per] + salts[: n // per]
-                prints = wordhash.mix(own), wordhash.mix(own ^ np.uint64(0x5851F42D4C957F2D))
-                out[0].append(len(own))
-                out[1].append(int(prints[0].sum(dtype=np.uint64).astype(np.int64)))
-                out[2].append(int(prints[1].sum(dtype=np.uint64).astype(np.int64)))
-                out[3].append(sketch)
-                out[4].append(wordhash.mix(bands).view(np.int64))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), *[pa.array(c, t) for c, t in zip(out, kinds, strict=True)]],
-                [c.split()[0] for c in _SIGNATURE.split(", ")],
-            )
+                for column, value in zip(out[2:], (len(own), *_prints(own), sketch, wordhash.mix(bands).view(np.int64)), strict=True):
+                    column.append(value)
+            kinds = [*[pa.int64()] * 5, pa.list_(pa.int64()), pa.list_(pa.int64())]
+            names = [c.split()[0] for c in _SIGNATURE.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
-    return texts(docs).mapInArrow(run, _SIGNATURE)
+    return _keyed(docs).select(F.struct("doc_id", "hash").alias("key"), "text").mapInArrow(run, _SIGNATURE)
 
 
-def _full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``id, shingles`` (sorted distinct hashes) of texts with words."""
+def _full_sets(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """``id, shingles`` (sorted distinct hashes) of ``classes``, read from the text that each is
+    named after. A class may be given more than once, where that row is repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _shingle_sets(slices(batches, "id"), size):
+        seen: set[int] = set()
+        for keys, sets in _shingle_sets(batches, size):
+            ids, own = [], []
+            for key, found in zip(keys, sets, strict=True):
+                if key["id"] not in seen and _prints(found) == (key["p1"], key["p2"]):
+                    seen.add(key["id"])
+                    ids.append(key["id"])
+                    own.append(found.view(np.int64))
             for at in range(0, len(ids), 64):
-                part = [s.view(np.int64) for s in sets[at : at + 64]]
+                part = slice(at, at + 64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at : at + 64], pa.int64()), pa.array(part, pa.list_(pa.int64()))], ["id", "shingles"]
+                    [pa.array(ids[part], pa.int64()), pa.array(own[part], pa.list_(pa.int64()))], ["id", "shingles"]
                 )
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    named = _keyed(docs).join(classes.select("doc_id", "hash", "id", "p1", "p2"), ["doc_id", "hash"])
+    return named.select(F.struct("id", "p1", "p2").alias("key"), "text").mapInArrow(run, "id long, shingles array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -176,167 +193,185 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     Documents are linked when 100 * intersection >= percent * union of their shingle sets;
     ``component_id`` is the smallest id reachable by links, ``kept`` marks its row. Words are
     compared with A-Z lower-cased. Null, empty and blank texts have an empty set and no links;
-    rows of equal texts are linked; rows that repeat an id share its component, and where their texts
-    differ, links are confirmed on the greatest text; a row with a null id has links to nothing, a null component and is kept;
-    whole texts are read; an empty table gives no rows.
+    rows of equal texts are linked; rows that repeat an id with different texts are documents of
+    their own, linked only by their texts; a row with a null id has links to nothing, a null
+    component and is kept; whole texts are read; an empty table gives no rows.
     """
+    return _grouped(docs, settings).drop("hash")
+
+
+def _grouped(docs: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of :func:`near_duplicates` with the ``hash`` of each text."""
     spark = docs.sparkSession
     signed = spool(signatures(docs, settings), "signatures")
     known = signed.filter("doc_id is not null and n_shingles > 0")
     prints = ["n_shingles", "p1", "p2"]
-    # Equal sets are one class, named after its smallest document; min_by keeps that one's arrays.
-    classes = spool(
-        known.groupBy(*prints).agg(
-            F.min(F.struct("doc_id", "sketch", "bands")).alias("c")
-        ).select(*prints, F.col("c.doc_id").alias("id"), F.col("c.sketch").alias("sketch"), F.col("c.bands").alias("bands")),
-        "classes",
-    )
+    # Equal sets are one class, read from its smallest document; min keeps that one's arrays.
+    least = known.groupBy(*prints).agg(F.min(F.struct("doc_id", "hash", "sketch", "bands")).alias("c"))
+    classes = spool(least.select(F.monotonically_increasing_id().alias("id"), *prints, "c.*"), "classes")
     bands = classes.select("id", F.posexplode("bands").alias("band", "bucket"))
     # (bucket hashes already differ by band)
     buckets = bands.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("_most")).filter("least < _most")
     members = spool(bands.join(buckets.select("bucket", "least"), "bucket").select("bucket", "id", "least"), "buckets")
     drop_finished_shuffles(spark)
 
-    wanted = members.select("id").distinct()
-    own = texts(docs).select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-    own = own.groupBy("id").agg(F.max("text").alias("text"))
-    sets = spool(_full_sets(own, settings.shingle), "sets")
+    wanted = classes.join(members.select("id").distinct(), "id", "left_semi")
+    sets = spool(_full_sets(docs, wanted, settings.shingle), "sets")
     drop_finished_shuffles(spark)
 
     sketches = classes.select("id", "sketch", "n_shingles", "bands")
     limit, words, percent = settings.most_different(), settings.words, settings.percent
 
     def alike(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and sketches allow a link, with the sketches' difference."""
+        """Pairs whose sizes and sketches allow a link."""
         x = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), F.col("n_shingles").alias("na"))
         y = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"), F.col("n_shingles").alias("nb"))
         both = pairs.join(x, "a").join(y, "b")
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-        return both.filter(fits).withColumn("apart", _differing("sa", "sb", words)).filter(F.col("apart") <= limit).select("a", "b", "apart")
+        return both.filter(fits & (_differing("sa", "sb", words) <= limit)).select("a", "b")
 
     stars = alike(members.filter("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct())
-    tested = spool(stars.select("a", "b"), "stars")
-    links = spool(_confirm(tested, sets, percent), "links")
+    links = spool(_confirm(stars, sets, percent), "links")
     drop_finished_shuffles(spark)
-    # First the links that join copies to what they were copied from, then all pairs that are left.
-    for every in (False, True):
-        rest = _mixed(members, components(links))
-        if rest.isEmpty():
-            break
-        pairs = cut_lineage(_across(rest, sketches, settings, every).join(tested, ["a", "b"], "left_anti"))
-        tested = cut_lineage(tested.unionByName(pairs))
-        links = cut_lineage(links.unionByName(_confirm(pairs, sets, percent)))
+    rest = _mixed(members, components(links), sketches)
+    if not rest.isEmpty():
+        links = cut_lineage(links.unionByName(_across(rest, sets, settings)))
         drop_finished_shuffles(spark)
-    grouped = components(links)
-    keyed = classes.select(*prints, "id").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
-        *prints, F.coalesce("component", "id").alias("component_id")
+    grouped = components(links).select(F.col("node").alias("id"), F.col("component").alias("label"))
+    labelled = spool(
+        classes.select("id", *prints, "doc_id").join(grouped, "id", "left").select(*prints, "doc_id", F.coalesce("label", "id").alias("label")),
+        "labelled",
     )
+    first = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    keyed = labelled.join(first, "label").select(*prints, "component_id")
     drop_finished_shuffles(spark)
-    linked = known.select("doc_id", *prints).join(keyed, prints)
+    linked = known.select("doc_id", "hash", *prints).join(keyed, prints)
     alone = signed.filter("doc_id is null or n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", "hash", "n_shingles", F.col("doc_id").alias("component_id")
     )
-    return linked.select("doc_id", "n_shingles", "component_id").unionByName(alone).select(
-        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return linked.select("doc_id", "hash", "n_shingles", "component_id").unionByName(alone).select(
+        "doc_id", "hash", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
     )
 
 
-def _mixed(members: DataFrame, grouped: DataFrame) -> DataFrame:
-    """``bucket, id, label, blocks``: the members of buckets that hold several components."""
+#: Classes of one bucket, and shingles of theirs, that are compared in one task at most.
+BLOCK = 2048
+BLOCK_SHINGLES = 4_000_000
+
+
+def _mixed(members: DataFrame, grouped: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with sketches, sizes and bands, dealt
+    to pairs of blocks (``bucket, bi, bj``); ``own`` is the block of the class itself."""
     labelled = members.select("bucket", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
         "bucket", "id", F.coalesce("component", "id").alias("label")
     )
-    sizes = labelled.groupBy("bucket").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("m"))
-    mixed = sizes.filter("_x < _y").select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    return cut_lineage(labelled.join(mixed, "bucket"))
-
-
-def _across(rest: DataFrame, sketches: DataFrame, settings: Settings, every: bool) -> DataFrame:
-    """``a, b`` (a < b): pairs of classes in a common bucket and different components whose sizes
-    and sketches allow a link.
-
-    Unless ``every`` pair is asked for, these are the edges of a least spanning forest of the
-    bucket's components by the sketches' difference. Buckets beyond ``BLOCK`` classes are compared
-    in pairs of blocks; a pair of several buckets is given by the first of them only.
-    """
-    limit, percent = settings.most_different(), settings.percent
-    other = F.explode(F.expr("sequence(0, blocks - 1)"))
-    dealt = (
+    sized = labelled.join(sketches.select("id", "n_shingles"), "id")
+    sizes = sized.groupBy("bucket").agg(
+        F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("_m"), F.sum("n_shingles").alias("_s")
+    )
+    blocks = F.greatest(F.ceil(F.col("_m") / BLOCK), F.ceil(F.col("_s") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    rest = cut_lineage(labelled.join(sizes.filter("_x < _y").select("bucket", blocks), "bucket"))
+    own, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.explode(F.expr("sequence(0, blocks - 1)"))
+    return (
         rest.join(sketches, "id")
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("own", own)
         .withColumn("_other", other)
-        .select(
-            "bucket", F.least("own", "_other").alias("bi"), F.greatest("own", "_other").alias("bj"), "own", "id", "label", "n_shingles", "sketch", "bands"
-        )
+        .select("bucket", F.least("own", "_other").alias("bi"), F.greatest("own", "_other").alias("bj"), *_MEMBER)
     )
 
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by("id")
-        ids, labels, sizes = (group.column(c).to_numpy() for c in ("id", "label", "n_shingles"))
-        bitmaps = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
-        apart = np.full((len(ids), len(ids)), _FAR, dtype=np.uint16)
-        for at in range(0, len(ids), 128):
-            part = slice(at, at + 128)
-            differ = np.zeros((len(ids[part]), len(ids)), dtype=np.uint16)
-            for w in range(bitmaps.shape[1]):
-                differ += np.bitwise_count(bitmaps[part, w][:, None] ^ bitmaps[None, :, w])
-            low, high = np.minimum(sizes[part][:, None], sizes), np.maximum(sizes[part][:, None], sizes)
-            fits = (differ <= limit) & (low * 100 >= high * percent)
-            fits &= labels[part][:, None] != labels
-            apart[part] = np.where(fits, differ + 1, _FAR)
-        i, j = np.nonzero(np.triu(apart < _FAR)) if every else _forest(apart, labels)
-        if every:
-            bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            own = group.column("own").to_numpy()
-            blocks = {group.column("bi")[0].as_py(), group.column("bj")[0].as_py()}
-            here = np.flatnonzero(bands[0] == group.column("bucket")[0].as_py())[0]
-            keep = [np.empty(0, dtype=bool)]
-            for at in range(0, len(i), 100_000):
-                x, y = i[at : at + 100_000], j[at : at + 100_000]
-                first = (bands[x] == bands[y]).argmax(axis=1) == here
-                # In a pair of blocks the pairs inside one block belong to that block alone.
-                keep.append(first & ((own[x] != own[y]) | (len(blocks) == 1)))
-            keep = np.concatenate(keep)
-            i, j = i[keep], j[keep]
-        low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-        return pa.table({"a": low, "b": high})
-
-    found = dealt.groupBy("bucket", "bi", "bj").applyInArrow(compare, "a long, b long")
-    return found.distinct()
-
-
-#: Classes of one bucket that are compared in one task.
-BLOCK = 2048
-_FAR = np.iinfo(np.uint16).max
-
-
-def _forest(apart: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a least spanning forest over ``apart``; equal labels are connected at no cost."""
-    n = len(labels)
-    near, partner = np.full(n, _FAR, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    outside = np.ones(n, dtype=bool)
-    i, j = [], []
-    while outside.any():
-        nearest = np.where(outside, near, _FAR + 1).argmin()
-        if 0 < near[nearest] < _FAR:
-            i.append(nearest)
-            j.append(partner[nearest])
-        # The whole component comes in with its first member.
-        new = np.flatnonzero(outside & (labels == labels[nearest]))
-        outside[new] = False
-        for at in range(0, len(new), 256):
-            part = new[at : at + 256]
-            best = apart[part].argmin(axis=0)
-            value = apart[part[best], np.arange(n)]
-            closer = outside & (value < near)
-            near[closer], partner[closer] = value[closer], part[best[closer]]
-    return np.array(i, dtype=np.int64), np.array(j, dtype=np.int64)
+
+_MEMBER = ["own", "id", "label", "n_shingles", "sketch", "bands"]
+_DEALT = (
+    "bucket long, bi int, bj int, own int, id long, label long, n_shingles long, sketch array<long>, bands array<long>"
+)
+
+
+class _Block:
+    """A bucket's members in one task: which pairs are to be verified here."""
+
+    def __init__(self, group: pa.Table, settings: Settings):
+        self._limit, self._percent = settings.most_different(), settings.percent
+        self.ids, self.labels, self.sizes, self._own = (group.column(c).to_numpy() for c in ("id", "label", "n_shingles", "own"))
+        n = len(self.ids)
+        self._bitmaps = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(n, -1)
+        self._bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(n, -1)
+        self._here = np.flatnonzero(self._bands[0] == group.column("bucket")[0].as_py())[0]
+        self._across = group.column("bi")[0].as_py() != group.column("bj")[0].as_py()
+
+    def partners(self, i: int, among: np.ndarray) -> np.ndarray:
+        """Those of ``among`` whose sizes and sketches allow a link with the ``i``-th class, that
+        have another label, and whose first common bucket is this one. In a pair of blocks, pairs
+        inside one block belong to that block alone."""
+        j = among[self.labels[among] != self.labels[i]]
+        if self._across:
+            j = j[self._own[j] != self._own[i]]
+        low, high = np.minimum(self.sizes[j], self.sizes[i]), np.maximum(self.sizes[j], self.sizes[i])
+        j = j[low * 100 >= high * self._percent]
+        j = j[np.bitwise_count(self._bitmaps[j] ^ self._bitmaps[i]).sum(axis=1) <= self._limit]
+        return j[(self._bands[j] == self._bands[i]).argmax(axis=1) == self._here]
+
+
+def _across(rest: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """``a, b``: confirmed links that connect classes of different components (``rest`` as given by
+    :func:`_mixed`); of each block the edges of a spanning forest only."""
+
+    def candidates(group: pa.Table) -> pa.Table:
+        """The members that have a pair to verify here."""
+        block = _Block(group, settings)
+        n = len(block.ids)
+        wanted = np.zeros(n, dtype=bool)
+        for i in range(n - 1):
+            j = block.partners(i, np.arange(i + 1, n))
+            if len(j):
+                wanted[i] = wanted[j] = True
+        return group.filter(pa.array(wanted))
+
+    def verify(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        block = _Block(group, settings)
+        edges = list(_forest(block, group.column("shingles").combine_chunks(), settings.percent))
+        a, b = (np.array(x, dtype=np.int64) for x in zip(*edges, strict=True)) if edges else (np.empty(0, dtype=np.int64),) * 2
+        return pa.table({"a": block.ids[a], "b": block.ids[b]})
+
+    key = ["bucket", "bi", "bj"]
+    found = spool(rest.groupBy(*key).applyInArrow(candidates, _DEALT), "candidates")
+    return found.join(sets, "id").groupBy(*key).applyInArrow(verify, "a long, b long")
+
+
+def _forest(block: _Block, shingles: pa.Array, percent: int) -> Iterator[tuple[int, int]]:
+    """Confirmed links (as places in the block) that connect members not connected before; members
+    of one label are connected from the start."""
+    n = len(block.ids)
+    ends = shingles.offsets.to_numpy()
+    # Shingles get numbers inside the block, so that a set can be marked in one array.
+    numbers = np.unique(shingles.flatten().to_numpy(), return_inverse=True)[1]
+    ends = ends - ends[0]
+    marks = np.zeros(int(numbers.max()) + 1, dtype=np.int32)
+    root = np.unique(block.labels, return_inverse=True)[1]
+    for i in range(n - 1):
+        later = np.arange(i + 1, n)
+        j = block.partners(i, later[root[later] != root[i]])
+        if not len(j):
+            continue
+        own = numbers[ends[i] : ends[i + 1]]
+        marks[own] = 1
+        if len(j) * 4 > n - i:
+            common = np.add.reduceat(marks[numbers[ends[i + 1] :]], ends[i + 1 : n] - ends[i + 1])[j - i - 1]
+        else:
+            common = np.array([marks[numbers[ends[k] : ends[k + 1]]].sum() for k in j])
+        marks[own] = 0
+        for k in j[100 * common >= percent * (block.sizes[i] + block.sizes[j] - common)].tolist():
+            if root[k] != root[i]:
+                root[root == root[k]] = root[i]
+                yield i, k
 
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns."""
-    found = near_duplicates(docs, settings).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long") == found["_gone"], "left_anti")
+    gone_id, gone_hash = unused("id", docs), unused("hash", docs)
+    found = _grouped(docs, settings).filter("not kept").select(F.col("doc_id").alias(gone_id), F.col("hash").alias(gone_hash)).distinct()
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(found, (docs["doc_id"].cast("long") == found[gone_id]) & (own == found[gone_hash]), "left_anti")
 
 
 def oracle_sql(shingle: int, percent: int = PERCENT) -> str:
