@@ -8,6 +8,7 @@ accumulated on its own and the range totals are added on top: no single task see
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.ml.feature import Bucketizer
@@ -65,41 +66,69 @@ def _with_range(table: DataFrame, value: str, ranges: int) -> DataFrame:
     return splitter.transform(keyed).drop("_as_double")
 
 
-def average_ranks(df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Per distinct non-null value: ``n`` rows and ``rank`` (1-based, ties share their average)."""
-    frequencies = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return prefix_sums(frequencies, column, ["n"], rows_per_range).select(
-        column, "n", (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("rank")
-    )
+@dataclass(frozen=True)
+class Ranking:
+    """Ranks of several columns: ``table`` has ``t, v, n, centred``, one row for each column (by its
+    number ``t``) and distinct value ``v``; ``n`` rows have it, and ``centred`` is its average rank
+    less the column's mean rank."""
 
+    table: DataFrame
+    values: int
 
-def _attach_centred_rank(
-    rows: DataFrame,
-    source: DataFrame,
-    column: str,
-    total: int,
-    distinct: int,
-    rows_per_task: int,
-    rows_per_range: int,
-) -> DataFrame:
-    """Join the centred ranks of ``column``, computed on ``source``, to ``rows``."""
-    ranks = average_ranks(source, column, rows_per_range).select(
-        F.col(column).alias("_value"), "n", (F.col("rank") - (total + 1) / 2.0).alias(f"_rank_{column}")
-    )
-    if distinct <= BROADCAST_VALUES:
-        matched = F.broadcast(ranks.drop("n"))
-        return rows.join(matched, rows[column] == matched["_value"]).drop("_value")
-    # The salt comes from a row's place: equal rows, however many, are spread as well.
-    placed = rows.withColumn("_spread", F.monotonically_increasing_id())
-    return attach(
-        placed, ranks.withColumnRenamed("_value", column), [column], "n", ["_spread"], rows_per_task
-    ).drop("n", "_spread")
 
+def rank_columns(rows: DataFrame, columns: list[Column], rows_per_range: int = ROWS_PER_RANGE) -> Ranking:
+    """Rank all ``columns`` (numeric expressions over ``rows``, compared as doubles; nulls have no
+    rank) in one pass.
 
-def _centred_correlation(a: str, b: str) -> Column:
-    x, y = F.col(f"_rank_{a}"), F.col(f"_rank_{b}")
-    spread = F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y))
-    return F.try_divide(F.sum(x * y), spread)
+    The values go into long form, counted before the only shuffle of them. Ranges of (column,
+    value) are summed up on their own, and the totals of the ranges are added on top.
+    """
+    entries = [F.struct(F.lit(t).alias("t"), c.cast("double").alias("v")) for t, c in enumerate(columns)]
+    counted = rows.select(F.inline(F.array(*entries))).filter("v IS NOT NULL").groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
+    table = spool(counted, "frequencies")
+    values = table.count()
+    ranges = max(1, math.ceil(values / rows_per_range))
+    if ranges > 1:
+        table = spool(table.repartitionByRange(ranges, "t", "v").withColumn("_range", F.spark_partition_id()), "ranges")
+    else:
+        table = table.withColumn("_range", F.lit(0))
+    earlier = Window.partitionBy("t", "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    local = table.withColumn("_in", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    # One row for each column and range: a million values each, so these can be broadcast.
+    totals = table.groupBy(F.col("t").alias("_t"), F.col("_range").alias("_r")).agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy("_t").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_t",
+        "_r",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy("_t")).alias("_all"),
+    )
+    placed = local.join(F.broadcast(offsets), (local["t"] == offsets["_t"]) & (local["_range"] == offsets["_r"]))
+    rank = F.col("_in") + F.col("_off") + (F.col("n") + 1) / 2.0
+    return Ranking(placed.select("t", "v", "n", (rank - (F.col("_all") + 1) / 2.0).alias("centred")), values)
+
+
+def attach_ranks(rows: DataFrame, columns: list[Column], ranking: Ranking, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """One column ``r0, r1, …`` with the centred rank for each of ``columns``; null values have none.
+
+    Few distinct values are broadcast. Many are joined in long form, once for all columns; values
+    that own many rows are spread over salts."""
+    if ranking.values <= BROADCAST_VALUES:
+        table = spool(ranking.table, "ranks")
+        out = rows.select(*[c.cast("double").alias(f"v{t}") for t, c in enumerate(columns)])
+        for t in range(len(columns)):
+            own = table.filter(F.col("t") == t).select(F.col("v").alias(f"_v{t}"), F.col("centred").alias(f"r{t}"))
+            out = out.join(F.broadcast(own), out[f"v{t}"] == own[f"_v{t}"], "left").drop(f"_v{t}")
+        return out.select(*[f"r{t}" for t in range(len(columns))])
+    narrow = rows.select(*[c.cast("double").alias(f"v{t}") for t, c in enumerate(columns)])
+    # Written once: the rows' numbers must be the same whenever a part is computed again.
+    numbered = spool(narrow.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    entries = [F.struct(F.lit(t).alias("t"), F.col(f"v{t}").alias("v")) for t in range(len(columns))]
+    long = numbered.select("_row", F.inline(F.array(*entries))).filter("v IS NOT NULL")
+    ranked = attach(long, ranking.table, ["t", "v"], "n", ["_row"], rows_per_task)
+    return ranked.groupBy("_row").agg(
+        *[F.max(F.when(F.col("t") == t, F.col("centred"))).alias(f"r{t}") for t in range(len(columns))]
+    ).drop("_row")
 
 
 def spearman_pairs(
@@ -111,45 +140,33 @@ def spearman_pairs(
     """Rank correlation of every column pair: ``(col_a, col_b, rho)``, pairwise complete.
 
     Columns without nulls share one ranking. A pair that involves a column with nulls is ranked
-    on the rows where both are present. Ranks are centred on their known mean, so the sums do
-    not cancel.
+    on the rows where both are present. All these rankings are made in one pass and joined back
+    together, whatever the number of columns. Ranks are centred on their known mean, so the sums
+    do not cancel.
     """
-    spark = df.sparkSession
-    rows = df.select(*columns)
-    facts = rows.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[F.count(c).alias(f"_c_{c}") for c in columns],
-        *[F.approx_count_distinct(c).alias(f"_d_{c}") for c in columns],
-    ).first()
-    total = facts["_total"]
-    complete = [c for c in columns if facts[f"_c_{c}"] == total]
-    distinct = {c: facts[f"_d_{c}"] for c in columns}
     pairs = list(combinations(columns, 2))
-    shared = [p for p in pairs if p[0] in complete and p[1] in complete]
-    parts = []
-    if shared:
-        ranked = rows.select(*complete)
-        for c in complete:
-            ranked = _attach_centred_rank(ranked, rows, c, total, distinct[c], rows_per_task, rows_per_range)
-        parts.append(_pairs_to_rows(ranked, shared))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, rho double")
+    rows = df.select(*columns)
+    holes = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    ranked: dict[str | tuple[str, str], Column] = {c: F.col(c) for c in columns if not holes[c]}
+    sides = {}
     for a, b in pairs:
-        if (a, b) in shared:
-            continue
-        present = rows.select(a, b).dropna()
-        n, both = present.count(), present
-        for c in (a, b):
-            both = _attach_centred_rank(both, present, c, n, distinct[c], rows_per_task, rows_per_range)
-        parts.append(_pairs_to_rows(both, [(a, b)]))
-    if not parts:
-        return spark.createDataFrame([], "col_a string, col_b string, rho double")
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def _pairs_to_rows(ranked: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    wide = ranked.agg(*[_centred_correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+        if holes[a] or holes[b]:
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            ranked |= {(a, a, b): F.when(both, F.col(a)), (b, a, b): F.when(both, F.col(b))}
+            sides[a, b] = ((a, a, b), (b, a, b))
+        else:
+            sides[a, b] = (a, b)
+    names, expressions = list(ranked), list(ranked.values())
+    attached = attach_ranks(rows, expressions, rank_columns(rows, expressions, rows_per_range), rows_per_task)
+
+    def correlation(a, b) -> Column:
+        x, y = F.col(f"r{names.index(a)}"), F.col(f"r{names.index(b)}")
+        return F.try_divide(F.sum(x * y), F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y)))
+
+    # A column's own sum of squares counts the rows of its ranking only.
+    wide = attached.agg(*[correlation(*sides[p]).alias(f"p{i}") for i, p in enumerate(pairs)])
     return pair_rows(wide, pairs, "rho")
 
 

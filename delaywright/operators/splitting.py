@@ -181,6 +181,27 @@ def fold_predicates(df: DataFrame, date: str, row_id: str, folds: Sequence[Fold]
     ]
 
 
+@dataclass(frozen=True)
+class Segments:
+    """Rows between neighbouring cuts of a set of folds, numbered from 0 by ``number``."""
+
+    number: Column
+    positions: list[int]
+
+    def within(self, start: int, end: int) -> range:
+        """The segments of rows ``start`` to ``end`` of a fold (1-based, inclusive)."""
+        return range(self.positions.index(start - 1) + 1, self.positions.index(end) + 1)
+
+
+def fold_segments(df: DataFrame, date: str, row_id: str, folds: Sequence[Fold]) -> Segments:
+    """The segments that all windows of ``folds`` are put together from."""
+    positions = sorted({p for f in folds for p in (f.train_start - 1, f.train_end, f.test_end)})
+    number = F.lit(0)
+    for cut in chronological_cuts(df, date, row_id, positions):
+        number = number + (~cut.upto(date, row_id)).cast("int")
+    return Segments(number, positions)
+
+
 def fold_report(df: DataFrame, date: str, row_id: str, folds: Sequence[Fold]) -> DataFrame:
     """Size and date range of the two windows of every fold.
 
@@ -188,12 +209,8 @@ def fold_report(df: DataFrame, date: str, row_id: str, folds: Sequence[Fold]) ->
     are put together from the segments (a handful of rows) instead of repeating rows per fold.
     """
     spark = df.sparkSession
-    positions = sorted({p for f in folds for p in (f.train_start - 1, f.train_end, f.test_end)})
-    cuts = chronological_cuts(df, date, row_id, positions)
-    segment = F.lit(0)
-    for cut in cuts:
-        segment = segment + (~cut.upto(date, row_id)).cast("int")
-    segments = df.groupBy(segment.alias("segment")).agg(
+    cut = fold_segments(df, date, row_id, folds)
+    segments = df.groupBy(cut.number.alias("segment")).agg(
         F.count(F.lit(1)).alias("n"), F.min(date).alias("first"), F.max(date).alias("last")
     )
     spans = []
@@ -202,8 +219,7 @@ def fold_report(df: DataFrame, date: str, row_id: str, folds: Sequence[Fold]) ->
             ("train", f.train_start, f.train_end),
             ("test", f.test_start, f.test_end),
         ):
-            inside = range(positions.index(start - 1) + 1, positions.index(end) + 1)
-            spans += [(f.number, role, start, end, s) for s in inside]
+            spans += [(f.number, role, start, end, s) for s in cut.within(start, end)]
     wanted = spark.createDataFrame(
         spans, "fold int, role string, start_row bigint, end_row bigint, segment int"
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
 from delaywright.learning import features as ft
-from delaywright.learning import models, search
+from delaywright.learning import least_squares, models, search
 from delaywright.operators import cleaning, evaluation, splitting, summaries
 from delaywright.operators.feature_table import flight_features
 from delaywright.plans.registry import query
@@ -286,6 +286,105 @@ def model_roundtrip_score(spark, sf_dir):
     return _score_columns(model.transform(parts))
 
 
+# --- exact regressions -----------------------------------------------------------------------------
+
+REGRESSORS = ["crs_dep_hour", "day_of_week"]
+_X = """v_x AS (SELECT flight_id, fl_date, CAST(floor(crs_dep_time / 100) AS INTEGER) AS crs_dep_hour,
+      CAST(isodow(fl_date) AS INTEGER) AS day_of_week, dep_delay_new AS y FROM v_flight),
+    v_pos AS (SELECT *, row_number() OVER (ORDER BY fl_date, flight_id) AS pos FROM v_x)"""
+#: Means and co-moments of both regressors and the target, and the solution of the normal equations.
+_MOMENTS = """avg(crs_dep_hour) AS m1, avg(day_of_week) AS m2, avg(y) AS my, var_pop(crs_dep_hour) AS v1,
+      var_pop(day_of_week) AS v2, covar_pop(crs_dep_hour, day_of_week) AS c, covar_pop(crs_dep_hour, y) AS c1,
+      covar_pop(day_of_week, y) AS c2"""
+_SOLVED = """((v2 + ridge) * c1 - c * c2) / ((v1 + ridge) * (v2 + ridge) - c * c) AS w1,
+      ((v1 + ridge) * c2 - c * c1) / ((v1 + ridge) * (v2 + ridge) - c * c) AS w2"""
+
+
+def _regressors(spark, sf_dir):
+    return flights(spark, sf_dir).select(
+        "flight_id",
+        "fl_date",
+        fx.clock_hour("crs_dep_time").alias("crs_dep_hour"),
+        fx.day_of_week("fl_date").alias("day_of_week"),
+        TARGET,
+    )
+
+
+@query(
+    "ols_single",
+    f"""WITH {FLIGHTS}, {_X}
+    SELECT CAST(0 AS INTEGER) AS slot, 'intercept' AS name, round(regr_intercept(y, crs_dep_hour), 8) AS value FROM v_x
+    UNION ALL SELECT 1, 'crs_dep_hour', round(regr_slope(y, crs_dep_hour), 8) FROM v_x""",
+)
+def ols_single(spark, sf_dir):
+    """Least squares on one feature, by moments."""
+    rows = _regressors(spark, sf_dir)
+    model = least_squares.fit(least_squares.moments(rows, REGRESSORS[:1], TARGET)[0])
+    return least_squares.fit_rows(rows, model, REGRESSORS[:1]).withColumn("value", rounded("value", 8))
+
+
+@query(
+    "ols_exact",
+    f"""WITH {FLIGHTS}, {_X}, m AS (SELECT {_MOMENTS}, 0 AS ridge FROM v_x), w AS (SELECT *, {_SOLVED} FROM m)
+    SELECT CAST(0 AS INTEGER) AS slot, 'intercept' AS name, round(my - w1 * m1 - w2 * m2, 8) AS value FROM w
+    UNION ALL SELECT 1, 'crs_dep_hour', round(w1, 8) FROM w UNION ALL SELECT 2, 'day_of_week', round(w2, 8) FROM w""",
+)
+def ols_exact(spark, sf_dir):
+    """Least squares on several features: the normal equations, in one pass over the rows."""
+    rows = _regressors(spark, sf_dir)
+    model = least_squares.fit(least_squares.moments(rows, REGRESSORS, TARGET)[0])
+    return least_squares.fit_rows(rows, model, REGRESSORS).withColumn("value", rounded("value", 8))
+
+
+@query(
+    "ols_predict",
+    f"""WITH {FLIGHTS}, {_X}, m AS (SELECT {_MOMENTS}, 0 AS ridge FROM v_x), w AS (SELECT *, {_SOLVED} FROM m)
+    SELECT flight_id, round(my + w1 * (crs_dep_hour - m1) + w2 * (day_of_week - m2), 6) AS prediction FROM v_x, w""",
+)
+def ols_predict(spark, sf_dir):
+    """The exact model applied as a column expression."""
+    rows = _regressors(spark, sf_dir)
+    model = least_squares.fit(least_squares.moments(rows, REGRESSORS, TARGET)[0])
+    return rows.select("flight_id", rounded(model.prediction(REGRESSORS)).alias("prediction"))
+
+
+def _ridge_folds_sql(train_start: str) -> str:
+    return f"""WITH {FLIGHTS}, {_X},
+    s AS (SELECT count(*) AS n, count(*) // 3 AS tr, count(*) // 10 AS te FROM v_flight),
+    f AS (SELECT CAST(i + 1 AS INTEGER) AS fold, {train_start} AS a, i * te + tr AS b, i * te + tr + te AS c
+      FROM s, range(0, (SELECT (n - tr - te) // te FROM s)) t(i)),
+    m AS (SELECT fold, {_MOMENTS} FROM f JOIN v_pos ON pos BETWEEN a AND b GROUP BY fold),
+    w AS (SELECT *, {_SOLVED} FROM m, (VALUES (0.0), (1.0), (100.0)) p(ridge)),
+    e AS (SELECT w.fold, ridge, sqrt(avg(pow(y - my - w1 * (crs_dep_hour - m1) - w2 * (day_of_week - m2), 2))) AS rmse
+      FROM w JOIN f ON f.fold = w.fold JOIN v_pos ON pos BETWEEN f.b + 1 AND f.c GROUP BY w.fold, ridge),
+    r AS (SELECT fold, ridge, 'intercept' AS name, my - w1 * m1 - w2 * m2 AS value FROM w
+      UNION ALL SELECT fold, ridge, 'crs_dep_hour', w1 FROM w UNION ALL SELECT fold, ridge, 'day_of_week', w2 FROM w
+      UNION ALL SELECT fold, ridge, 'rmse', rmse FROM e)
+    SELECT fold, CAST(ridge AS DOUBLE) AS ridge, 0.0 AS l1, name, round(value, 6) AS value FROM r"""
+
+
+RIDGES = [(0.0, 0.0), (1.0, 0.0), (100.0, 0.0)]
+
+
+def _ridge_folds(spark, sf_dir, make_folds):
+    rows = _regressors(spark, sf_dir)
+    folds = make_folds(splitting.total_rows(rows))
+    found = search.moments_over_folds(rows, "fl_date", "flight_id", folds, REGRESSORS, TARGET, RIDGES)
+    return found.withColumn("value", rounded("value"))
+
+
+@query("tune_ridge_sliding", _ridge_folds_sql("i * te + 1"))
+def tune_ridge_sliding(spark, sf_dir):
+    """Ridge regressions of a grid on sliding time folds, from one pass over the rows."""
+    return _ridge_folds(spark, sf_dir, splitting.sliding_folds)
+
+
+@query("tune_ridge_expanding", _ridge_folds_sql("CAST(1 AS BIGINT)"))
+def tune_ridge_expanding(spark, sf_dir):
+    """The same on folds whose training starts at the first row."""
+    return _ridge_folds(spark, sf_dir, splitting.expanding_folds)
+
+
 # --- search ----------------------------------------------------------------------------------------------
 
 
