@@ -16,9 +16,9 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaywright.llm.chunktable import ChunkTable
 from delaywright.llm.frames import rows, texts
 from delaywright.runtime import spool
 
 WINDOW = 1024
 DEPTH = 3
 END_ID = 0
-TABLE_LIMIT = 500_000
-#: White space as either library may define it; texts are cut at a space between two other characters.
-_OTHER_SPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f"
-_WIDE_SPACE = "\x85\xa0 ᠎               　﻿"
 #: How the byte-level vocabulary splits a text before merging (a fixed value of that vocabulary).
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -54,77 +49,38 @@ class ByteCoder:
     """Ids of whole texts under a byte-level vocabulary file.
 
     The file's added tokens are found in the text first and have ids of their own; what stands
-    between them is encoded as if it were a whole text. No other token reaches over a space that stands between two visible characters, so a text is cut
-    there and each distinct chunk is encoded once (see :class:`ChunkTable`).
+    between them is encoded as if it were a whole text.
     """
 
-    def __init__(self, vocabulary: str, table_limit: int = TABLE_LIMIT):
+    def __init__(self, vocabulary: str):
         with open(vocabulary, encoding="utf-8") as file:
             found = json.load(file)
         added = found.get("added_tokens") or []
         if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip")):
             raise ValueError(f"{vocabulary}: an added token takes in more or less than its own characters")
-        self._added = {t["content"]: t["id"].to_bytes(4, "little") for t in added}
+        self._added = {t["content"]: np.array([t["id"]], dtype="<u4") for t in added}
         # Of two that begin at one place the longer one counts.
         longest = sorted(self._added, key=len, reverse=True)
         self._cut_added = re.compile(f"({'|'.join(map(re.escape, longest))})") if added else None
         letters = _byte_letters()
         ranks = {bytes(letters[c] for c in t): i for t, i in found["model"]["vocab"].items() if t not in self._added}
-        self._encoding = tiktoken.Encoding("bytes", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self._first = ChunkTable(lambda chunks: self._compute(chunks, ""), table_limit // 10)
-        self._later = ChunkTable(lambda chunks: self._compute(chunks, " "), table_limit)
+        encoding = tiktoken.Encoding("bytes", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        # One call for a text; without special tokens nothing is disallowed in it.
+        self._between = partial(encoding.encode_to_numpy, disallowed_special=())
 
-    def _compute(self, chunks: list[str], lead: str) -> list[bytes]:
-        encode = self._encoding.encode_ordinary
-        return [array("I", encode(lead + c)).tobytes() for c in chunks]
-
-    def ids(self, text: str) -> bytes:
+    def ids(self, text: str) -> np.ndarray:
         """The ids as little-endian unsigned 32-bit numbers."""
         if not any(t in text for t in self._added):
-            return self._between(text)
+            return self._between(text).astype("<u4", copy=False)
         # Every second part is an added token.
         parts = self._cut_added.split(text)
-        return b"".join(self._added[p] if i % 2 else self._between(p) for i, p in enumerate(parts))
-
-    def _between(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self._plain(text):
-            first, *later = text.split(" ")
-        else:
-            first, *later = _cut(text)
-        found = self._later.values_of(later)
-        return self._first.values_of([first])[0] + b"".join(found)
-
-    @staticmethod
-    def _plain(text: str) -> bool:
-        """Whether every space stands between two characters that are not white space."""
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            return False
-        others = _OTHER_SPACE if text.isascii() else _OTHER_SPACE + _WIDE_SPACE
-        return not any(c in text and (f" {c}" in text or f"{c} " in text) for c in others)
-
-
-def _cut(text: str) -> list[str]:
-    """The text cut at the spaces that stand between two visible characters."""
-    parts = text.split(" ")
-    found, blank = [parts[0]], set(" " + _OTHER_SPACE + _WIDE_SPACE)
-    for part in parts[1:]:
-        if part and found[-1] and part[0] not in blank and found[-1][-1] not in blank:
-            found.append(part)
-        else:
-            found[-1] += " " + part
-    return found
-
-
-_CODERS: dict[tuple[str, int], ByteCoder] = {}
+        return np.concatenate([self._added[p] if i % 2 else self._between(p) for i, p in enumerate(parts)]).astype("<u4")
 
 
-def _coder(vocabulary: str, table_limit: int) -> ByteCoder:
-    key = (vocabulary, table_limit)
-    if key not in _CODERS:
-        _CODERS[key] = ByteCoder(*key)
-    return _CODERS[key]
+@lru_cache(maxsize=4)
+def _coder(vocabulary: str) -> ByteCoder:
+    """One for each vocabulary and worker."""
+    return ByteCoder(vocabulary)
 
 
 # ---------------------------------------------------------------- the plan
@@ -255,11 +211,11 @@ _PIECES = (
 )
 
 
-def _pieces(docs: DataFrame, vocabulary: str, window: int, end_id: int, table_limit: int) -> DataFrame:
+def _pieces(docs: DataFrame, vocabulary: str, window: int, end_id: int) -> DataFrame:
     """One row for each document: its windows' checksums, and its remainder with its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary, table_limit)
+        coder = _coder(vocabulary)
         part = TaskContext.get().partitionId()
         seen = np.zeros(window, dtype=np.int64)
         full_before = 0
@@ -268,7 +224,7 @@ def _pieces(docs: DataFrame, vocabulary: str, window: int, end_id: int, table_li
         for batch in batches:
             out: list[list] = [[] for _ in range(10)]
             for key, text in rows(iter([batch]), "doc_id", "text"):
-                ids = coder.ids(text) + end
+                ids = coder.ids(text).tobytes() + end
                 full, rest = divmod(len(ids) // 4, window)
                 cut = full * step
                 row = (
@@ -300,7 +256,6 @@ def pack(
     window: int = WINDOW,
     depth: int = DEPTH,
     end_id: int = END_ID,
-    table_limit: int = TABLE_LIMIT,
 ) -> DataFrame:
     """Pack every row of ``docs`` into sequences of at most ``window`` ids.
 
@@ -310,7 +265,7 @@ def pack(
     as often as they occur, null ids keep null; an empty table gives no rows; columns besides
     ``doc_id`` and ``text`` are not read. Texts of any length are cut into windows.
     """
-    pieces = spool(_pieces(docs, vocabulary, window, end_id, table_limit), "pieces")
+    pieces = spool(_pieces(docs, vocabulary, window, end_id), "pieces")
     found = pieces.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).collect()
     histogram = np.zeros(window, dtype=np.int64)
     for row in found:
@@ -357,15 +312,18 @@ def pack(
 def _running(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Sum of ``value`` over all smaller keys (one row for each input task), in two levels so that
     no task holds all keys."""
-    block = F.expr(f"{key} div 4096").alias("_b")
-    totals = df.groupBy(block).agg(F.sum(value).alias("_t"))
-    ahead = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_b", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_t"))
+    block = F.expr(f"{key} div 4096").cast("int").alias("_b")
+    # One row for each 4,096 input tasks comes to the driver.
+    ahead, totals = 0, []
+    for row in df.groupBy(block).agg(F.sum(value).alias("_t")).orderBy("_b").collect():
+        totals.append((row["_b"], ahead))
+        ahead += row["_t"]
+    starts = df.sparkSession.createDataFrame(totals, "_b int, _t long")
     within = Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.withColumn("_b", block)
         .withColumn("_w", F.coalesce(F.sum(value).over(within), F.lit(0)))
-        .join(totals, "_b")
+        .join(F.broadcast(starts), "_b")
         .select(key, (F.col("_w") + F.col("_t")).alias(name))
     )
 

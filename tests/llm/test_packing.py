@@ -1,7 +1,6 @@
 """Packing: ids against the library, whole coverage, gapless sequences, little padding."""
 
 import random
-import sys
 import zlib
 from array import array
 from collections import defaultdict
@@ -12,13 +11,14 @@ from tokenizers import Tokenizer
 
 from delaywright.llm.packing import ByteCoder, combinations, make_plan, nonnegative_counts, pack
 
+from tests.conftest import plan_text
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def library():
-    found = Tokenizer.from_file(VOCABULARY)
-    found.encode_special_tokens = True
-    return found
+    """The library as the contract loads it: added tokens inside texts are tokens."""
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def ids_of(tokenizer, text):
@@ -57,15 +57,15 @@ def check(docs, result, window):
 
 
 def test_ids_equal_the_library():
-    coder, tokenizer, draw = ByteCoder(VOCABULARY, 40), library(), random.Random(5)
+    coder, tokenizer, draw = ByteCoder(VOCABULARY), library(), random.Random(5)
     parts = [" ", "  ", "'s", "a", "the", "\n", "\t", "é", "日", "12", "\x85", "\xa0", "᠎", "　", "...", "ſ"]
     for _ in range(3000):
         text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 12)))
-        assert coder.ids(text) + b"\0\0\0\0" == ids_of(tokenizer, text)
+        assert coder.ids(text).tobytes() + b"\0\0\0\0" == ids_of(tokenizer, text)
 
 
 def test_edge_cases(make_docs):
-    docs = [(0, None), (1, ""), (2, "a b"), (2, "a b"), (3, "the " * 5000), (4, "x" * 3000), (None, "y")]
+    docs = [(0, None), (1, ""), (2, "a b"), (2, "a b"), (3, "the " * 5000), (4, "x" * 3000), (None, "y"), (5, "long text " * 100_000)]
     docs += [(10 + i, "word " * (i % 9)) for i in range(60)]
     padding = check(docs, pack(make_docs(docs), VOCABULARY, window=16).collect(), 16)
     assert padding < 16
@@ -78,6 +78,12 @@ def test_given_documents(spark, sf_dir):
     assert check(docs, pack(frame.repartition(5), VOCABULARY).collect(), 1024) < 1024
 
 
+def test_no_window_holds_all_tasks(spark, sf_dir):
+    """Sums over input tasks are windows over blocks of them; only one row a block is collected."""
+    plan = plan_text(pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), VOCABULARY))
+    assert "Window" in plan and "Exchange SinglePartition" not in plan
+
+
 def test_combinations_and_counts():
     combos = combinations(12, 3)
     assert (combos.sum(axis=1) == 12).all() and len(np.unique(combos, axis=0)) == len(combos)
@@ -100,22 +106,16 @@ def test_plan_fills_most_windows():
     assert plan.rest_sequence > 0.9 * plan.n_sequences
 
 
-def contract():
-    """The library as the contract loads it: added tokens inside texts are tokens."""
-    return Tokenizer.from_file(VOCABULARY)
-
-
 def test_added_tokens_inside_texts_equal_the_library():
-    coder, tokenizer, draw = ByteCoder(VOCABULARY, 40), contract(), random.Random(6)
+    coder, tokenizer, draw = ByteCoder(VOCABULARY), library(), random.Random(6)
     parts = ["<|endoftext|>"] * 3 + ["<|endoftext|", "|>", "<", " ", "  ", "\n", "a", "the", "'s", "日", "12", "\xa0", "endoftext"]
     texts = ["", "<|endoftext|>", "<|endoftext|>" * 3, " <|endoftext|> x", "a <|endoftext|>", "<|<|endoftext|>endoftext|>"]
     for text in texts + ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(3000)]:
-        assert coder.ids(text) + b"\0\0\0\0" == ids_of(tokenizer, text)
-    assert array("I", coder.ids("a<|endoftext|>b"))[1] == 50256
+        assert coder.ids(text).tobytes() + b"\0\0\0\0" == ids_of(tokenizer, text)
+    assert coder.ids("a<|endoftext|>b")[1] == 50256
 
 
-def test_packs_added_tokens(make_docs, monkeypatch):
-    monkeypatch.setattr(sys.modules[__name__], "library", contract)
+def test_packs_added_tokens(make_docs):
     docs = [(i, "word <|endoftext|> " * (i % 7) + "end" * (i % 2)) for i in range(40)]
     docs += [(50, "<|endoftext|>" * 200), (51, None), (None, "a<|endoftext|>b")]
     assert check(docs, pack(make_docs(docs), VOCABULARY, window=16).collect(), 16) < 16
