@@ -1,12 +1,15 @@
 """Secret scan: the rules against a plain reading of them, the models, redaction."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 
-from delaywright.llm import secrets
+from delaywright.llm import secrets, stringsamples
 
 KINDS = ("assign", "access", "hex")
 
@@ -55,7 +58,7 @@ def test_models_part_random_strings_from_identifiers(models):
     alphabet = secrets.ALPHABET[:62]
     assert all(models.score("".join(draw.choice(alphabet) for _ in range(24))) > 0 for _ in range(100))
     assert models.score("get_user_identifier_length_value") < 0
-    found = models.spans("call get_user_identifier_length_value with Zk3Qv9XbT7LmW2RpY8NcD4Hs", [], 20, 12.0)
+    found = models.spans("call get_user_identifier_length_value with Zk3Qv9XbT7LmW2RpY8NcD4Hs", [], 20)
     assert [k for _, k, _ in found] == [3]
 
 
@@ -102,3 +105,43 @@ def test_runs_beside_a_rule_are_scored(make_docs, models):
     assert got[3] == [("assign", f"token={key}.x"), ("random", key)]
     masked = {r.doc_id: r.text for r in secrets.redact(make_docs([*enumerate(texts)]), models).collect()}
     assert all(key not in t for t in masked.values())
+
+
+#: Ordinary strings that are not made by the generator.
+ORDINARY = [
+    "getUserIdentifierLengthValueFromContext", "/usr/local/lib/python3/site-packages/numpy", "XMLHttpRequestEventTargetMixinFactory",
+    "MAX_CONNECTION_POOL_TIMEOUT_SECONDS", "https//example/com/path/to/some/page/index", "2024-01-01T00-00-00-2024-02-02",
+    "org/apache/commons/collections/iterators", "com-example-service-registration-controller", "test_that_nothing_else_is_reported_here",
+    "AbstractSingletonProxyFactoryBean", "unsubscribe-preferences/newsletter", "Donaudampfschifffahrtsgesellschaft",
+    "=========================", "PURCHASE_ORDER_CONFIRMATION_NUMBER", "/var/lib/postgresql/backups/weekly/2023",
+]
+
+
+def test_registered_models_part_random_strings_from_identifiers(spark, sf_dir):
+    """The models as the query trains them, on strings drawn with other seeds."""
+    models = secrets.train_on_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = {}
+    for kind, text in stringsamples.random_strings(3000, seed=77):
+        found.setdefault(kind, []).append(models.score(text) > models.margin)
+    assert sum(map(sum, found.values())) > 0.95 * 3000
+    assert all(sum(hits) > 0.85 * len(hits) for hits in found.values()), {k: sum(v) / len(v) for k, v in found.items()}
+    wrong = [text for _, text in stringsamples.ordinary_strings(3000, seed=78) if models.score(text) > models.margin]
+    assert len(wrong) < 0.01 * 3000
+    assert [text for text in ORDINARY if models.spans(text, [], 20)] == []
+    inside = "/opt/service/config/" + "Zk3Qv9XbT7LmW2RpY8NcD4Hs" + "/index"
+    assert [inside[a:b] for a, _, b in models.spans(inside, [], 20)] in ([inside], ["Zk3Qv9XbT7LmW2RpY8NcD4Hs"])
+
+
+def test_score_is_the_ratio_of_two_mixtures():
+    """By hand, with two models a class over two letters."""
+    n = len(secrets.ALPHABET) + 1
+    draw = np.random.default_rng(3)
+    random_, ordinary = (np.log(draw.dirichlet(np.ones(n), (2, n))).reshape(2, -1) for _ in range(2))
+    models = secrets.MarkovModels(random_, ordinary)
+    text = "aB9_/"
+    codes = [0, *(secrets.ALPHABET.index(c) + 1 for c in text)]
+
+    def likelihood(tables):
+        return sum(math.exp(sum(t[a * n + b] for a, b in itertools.pairwise(codes))) for t in tables) / len(tables)
+
+    assert models.score(text) == pytest.approx(math.log(likelihood(random_) / likelihood(ordinary)))
