@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaywright.llm import wordhash
-from delaywright.llm.frames import drop_finished_shuffles, rows, slices, texts
+from delaywright.llm.frames import drop_finished_shuffles, rows, slices, texts, unused
 from delaywright.runtime import release, spool
 
 WINDOW = 13
@@ -254,18 +255,28 @@ def _places(value: pa.Scalar) -> np.ndarray:
     return table[np.concatenate([[True], table[1:, 0] != table[:-1, 0]])]
 
 
-def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``docs`` with ``_places``, and ``_source`` where the whole text is a copy."""
-    keyed = places.select(F.col("doc_id").alias("_id"), F.col("places").alias("_places"), F.col("copies").alias("_copies"))
+@dataclass(frozen=True)
+class _Marked:
+    """Documents with two more columns, under names that the documents do not have: the matched
+    windows, and the source where the whole text is a copy."""
+
+    frame: DataFrame
+    places: str
+    source: str
+
+
+def _with_places(docs: DataFrame, found: DataFrame) -> _Marked:
+    key, places, copies, source = (unused(c, docs) for c in ("id", "places", "copies", "source"))
+    keyed = found.select(F.col("doc_id").alias(key), F.col("places").alias(places), F.col("copies").alias(copies))
     own = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    same = F.filter("_copies", lambda c: (c["x1"] == F.xxhash64(own)) & (c["x2"] == F.xxhash64(F.lit(1), own)))
-    joined = docs.join(keyed, docs["doc_id"].cast("long") == keyed["_id"], "left")
-    return joined.select(*[docs[c] for c in docs.columns], "_places", F.get(same, F.lit(0))["source"].alias("_source"))
+    same = F.filter(copies, lambda c: (c["x1"] == F.xxhash64(own)) & (c["x2"] == F.xxhash64(F.lit(1), own)))
+    joined = docs.join(keyed, docs["doc_id"].cast("long") == keyed[key], "left")
+    return _Marked(joined.select(*[docs[c] for c in docs.columns], places, F.get(same, F.lit(0))["source"].alias(source)), places, source)
 
 
-def _factored(batch: pa.RecordBatch, window: int) -> Iterator[tuple[list[bytes], list[tuple[int, int, int, int]]]]:
-    """The words and the factors of each row."""
-    places, sources = batch.column("_places"), batch.column("_source").to_pylist()
+def _factored(batch: pa.RecordBatch, window: int, marked: tuple[str, str]) -> Iterator[tuple[list[bytes], list[tuple[int, int, int, int]]]]:
+    """The words and the factors of each row; ``marked`` names the columns of the matches."""
+    places, sources = batch.column(marked[0]), batch.column(marked[1]).to_pylist()
     for i, (text,) in enumerate(rows(iter([batch]), "text")):
         own = text.encode("utf-8", "surrogatepass").split() if text else []
         if sources[i] is None:
@@ -285,63 +296,62 @@ def _kept(own: list[bytes], found: list[tuple[int, int, int, int]]) -> list[byte
 def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``doc_id, start, length, source, source_start``: the long factors of every document, in
     words. Edge cases as in :func:`deduplicate`."""
+    marked = _with_places(texts(docs), find_factors(docs, window, anchor))
+    at = (marked.places, marked.source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for key, (_, found) in zip(batch.column("doc_id").to_pylist(), _factored(batch, window), strict=True):
+            for key, (_, found) in zip(batch.column("doc_id").to_pylist(), _factored(batch, window, at), strict=True):
                 out += [(key, *f) for f in found]
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "source", "source_start"]
             )
 
-    marked = _with_places(texts(docs), find_factors(docs, window, anchor))
-    return marked.mapInArrow(run, "doc_id long, start long, length long, source long, source_start long")
+    return marked.frame.mapInArrow(run, "doc_id long, start long, length long, source long, source_start long")
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` without the words of windows that occur in a document with a smaller id.
 
-    Adds ``n_words`` and ``n_removed``. A text that loses words becomes its kept words joined by
-    one blank, and ``n_chars`` follows; all other texts stay as they are, nulls included. Rows with
-    a null ``doc_id`` are no reference and lose nothing; repeated rows of one id are one document's
-    and do not count against each other; whole texts are read; an empty table gives no rows.
+    A text that loses words becomes its kept words joined by one blank, and ``n_chars`` follows; all
+    other texts stay as they are, nulls included, and so do all other columns, whatever their names.
+    Rows with a null ``doc_id`` are no reference and lose nothing; repeated rows of one id are one
+    document's and do not count against each other; whole texts are read; an empty table gives no
+    rows.
     """
     schema = docs.schema
     names = schema.names
+    marked = _with_places(docs, find_factors(docs, window, anchor))
+    at = (marked.places, marked.source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, counts, removed = batch.column("text").to_pylist(), [], []
+            out = batch.column("text").to_pylist()
             chars = batch.column("n_chars").to_pylist() if "n_chars" in names else [None] * batch.num_rows
-            for i, (own, found) in enumerate(_factored(batch, window)):
-                kept = _kept(own, found) if found else own
+            for i, (own, found) in enumerate(_factored(batch, window, at)):
                 if found:
-                    out[i] = b" ".join(kept).decode("utf-8", "surrogatepass")
+                    out[i] = b" ".join(_kept(own, found)).decode("utf-8", "surrogatepass")
                     chars[i] = len(out[i])
-                counts.append(len(own))
-                removed.append(len(own) - len(kept))
             columns = dict(zip(batch.schema.names, batch.columns, strict=True))
             columns["text"] = pa.array(out, columns["text"].type)
             if "n_chars" in names:
                 columns["n_chars"] = pa.array(chars, columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(
-                [*[columns[n] for n in names], pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, "n_words", "n_removed"]
-            )
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 
-    marked = _with_places(docs, find_factors(docs, window, anchor))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return marked.mapInArrow(run, f"{kinds}, n_words long, n_removed long")
+    return marked.frame.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row; null texts have no words."""
+    marked = _with_places(texts(docs), find_factors(docs, window, anchor))
+    at = (marked.places, marked.source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, hashes = [], [], []
-            for own, found in _factored(batch, window):
+            for own, found in _factored(batch, window, at):
                 kept = _kept(own, found) if found else own
                 counts.append(len(own))
                 removed.append(len(own) - len(kept))
@@ -351,8 +361,7 @@ def digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
                 ["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    marked = _with_places(texts(docs), find_factors(docs, window, anchor))
-    return marked.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return marked.frame.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def oracle_sql(window: int = WINDOW) -> str:

@@ -62,7 +62,8 @@ def test_texts_and_factors(make_docs):
     docs = make_docs([(1, f"lead  {base} tail"), (2, f"other\n{base} end"), (3, None), (4, "short  text")])
     kept = {r.doc_id: r for r in deduplicate(docs).collect()}
     assert kept[1].text == f"lead  {base} tail" and kept[2].text == "other end" and kept[2].n_chars == 9
-    assert kept[3].text is None and kept[4].text == "short  text" and (kept[2].n_words, kept[2].n_removed) == (32, 30)
+    assert kept[3].text is None and kept[4].text == "short  text"
+    assert [(r.n_words, r.n_removed) for r in digests(docs).collect() if r.doc_id == 2] == [(32, 30)]
     assert [tuple(r) for r in factors(docs).collect()] == [(2, 1, 30, 1, 1)]
     assert digests(make_docs([])).count() == 0 and factors(make_docs([])).count() == 0
 
@@ -71,3 +72,20 @@ def test_greedy_factors():
     places = np.array([[3, 1, 10], [4, 1, 11], [5, 2, 0], [9, 2, 4]])
     assert factors_of(places, 13) == [(3, 14, 1, 10), (5, 13, 2, 0), (9, 13, 2, 4)]
     assert factors_of(places[:0], 13) == []
+
+
+def test_columns_of_any_name_stay(make_docs):
+    base = " ".join(f"a{i}" for i in range(30))
+    names = ["n_words", "n_removed", "_places", "places", "_copies", "copies", "_source", "source_", "_id", "id"]
+    docs = make_docs([(1, base), (2, f"other {base}"), (3, f"other {base}")]).selectExpr("*", *[f"doc_id AS {n}" for n in names])
+    assert deduplicate(deduplicate(docs)).columns == docs.columns
+    rows = {r.doc_id: r for r in deduplicate(docs).collect()}
+    assert (rows[2].text, rows[2]._places, rows[2].n_removed) == ("other", 2, 2) and rows[1].text == base
+
+
+def test_text_of_many_words(make_docs):
+    draw = random.Random(2)
+    long = " ".join(f"w{draw.randrange(50_000)}" for _ in range(120_000))
+    cut = " ".join(long.split()[50_000:90_000])
+    found = {r.doc_id: r for r in digests(make_docs([(1, long), (2, f"own {cut} end"), (3, long)])).collect()}
+    assert (found[1].n_removed, found[2].n_removed, found[3].n_removed) == (0, 40_000, 120_000)
