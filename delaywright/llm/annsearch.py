@@ -211,7 +211,10 @@ def search(
     rows, asked = rows.filter(F.size("embedding") == dim), asked.filter(F.size("embedding") == dim)
     # A bounded sample by a hash of the vector: copies are drawn together, and fitted once.
     part = F.pmod(F.xxhash64("embedding"), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30))
-    drawn = rows.filter(part).select("embedding").distinct().limit(2 * sample) if n > sample else rows.select("embedding").distinct()
+    drawn = rows.select("embedding").distinct()
+    if n > sample:
+        # The order makes the limit the same in every run.
+        drawn = rows.filter(part).select("embedding").distinct().orderBy(F.xxhash64("embedding"), "embedding").limit(2 * sample)
     x = unit(np.array([r["embedding"] for r in drawn.orderBy("embedding").collect()], dtype=np.float64).reshape(-1, dim))
     if not len(x):
         x = np.eye(1, dim)

@@ -15,6 +15,7 @@ from delaywright.llm.frames import texts
 from delaywright.llm.license_rules import WEIGHTS, Rule, rules
 
 #: What separates words, once A-Z is lower case (a fixed value).
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _OPEN, _CLOSE = "\u0001", "\u0002"
 _DETECTION = "array<struct<label:string,level:int,first:int,last:int>>"
@@ -26,12 +27,9 @@ def spaced(pattern: str) -> str:
 
 
 def normalised(text: Column) -> Column:
-    """`` w1  w2  w3 ``: each lower-case word between two blanks of its own; no words: a blank.
-
-    lower() also folds letters beyond A-Z, which changes neither where words begin and end nor
-    whether one equals a word of the rules.
-    """
-    words = F.trim(F.regexp_replace(F.lower(text), SEPARATORS, " "))
+    """`` w1  w2  w3 ``: each word, A-Z lower-cased, between two blanks of its own; no words: a blank."""
+    folded = F.translate(text, _UPPER, _UPPER.lower())
+    words = F.trim(F.regexp_replace(folded, SEPARATORS, " "))
     return F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
 
 

@@ -45,7 +45,7 @@ def plain_detections(text):
 
 
 ODD = [
-    None, "", " \n", "no words of interest", "Released under the MIT License.", "MIT\x00License", "MIT Licensé", "mit-license/MIT LICENSE",
+    "Do what the fuc\u212a you want to", None, "", " \n", "no words of interest", "Released under the MIT License.", "MIT\x00License", "MIT Licensé", "mit-license/MIT LICENSE",
     "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.", "cc by cc by", "CC BY-SA 3.0 and cc by",
     "This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later",
     "the mit license " * 400, "apache license 2 0 apache license", "Ünlicense gnu general public licensee", "日本 MIT License 日本",
