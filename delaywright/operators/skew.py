@@ -123,7 +123,14 @@ class LastBefore:
     lead: str
 
 
-Running = Position | Previous | LastKnown | NextKnown | LastBefore
+@dataclass(frozen=True)
+class Total:
+    """Sum of ``column`` up to and including the row; nulls add nothing."""
+
+    column: str
+
+
+Running = Position | Total | Previous | LastKnown | NextKnown | LastBefore
 
 #: Sampled rows for each slice of a hot key; bounds that are looked through at once.
 _SAMPLES = 100
@@ -250,6 +257,9 @@ class OrderedScan:
             return F.row_number().over(ordered).cast("bigint")
         if isinstance(op, Previous):
             return F.lag(op.column).over(ordered)
+        if isinstance(op, Total):
+            sums = F.sum(op.column).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            return F.coalesce(sums, F.lit(0))
         if isinstance(op, NextKnown):
             # Backwards: a frame up to the end would be walked through anew for every row.
             ordered = Window.partitionBy(*by).orderBy(*[F.desc_nulls_last(c) for c in self.order_by])
@@ -267,7 +277,9 @@ class OrderedScan:
         order = F.struct(*self.order_by)
         closing = [F.count(F.lit(1)).alias("_n")]
         for name, op in outputs.items():
-            if isinstance(op, Previous):
+            if isinstance(op, Total):
+                closing.append(F.sum(op.column).alias(f"_v_{name}"))
+            elif isinstance(op, Previous):
                 closing.append(F.max_by(F.struct(op.column), order).alias(f"_v_{name}"))
             elif isinstance(op, LastKnown | NextKnown):
                 known = F.when(F.col(op.column).isNotNull(), order)
@@ -284,6 +296,8 @@ class OrderedScan:
         for name, op in outputs.items():
             if isinstance(op, Position):
                 value = F.coalesce(F.sum("_n").over(before), F.lit(0))
+            elif isinstance(op, Total):
+                value = F.coalesce(F.sum(f"_v_{name}").over(before), F.lit(0))
             elif isinstance(op, Previous):
                 value = F.lag(f"_v_{name}").over(by_slice)[op.column]
             elif isinstance(op, LastBefore):
@@ -309,7 +323,7 @@ def _quoted(column: str) -> str:
 
 def _connect(name: str, op: Running) -> Column:
     local, carried = F.col(f"_l_{name}"), F.col(f"_p_{name}")
-    if isinstance(op, Position):
+    if isinstance(op, Position | Total):
         return local + F.coalesce(carried, F.lit(0))
     if isinstance(op, Previous):
         return F.when(F.col("_at") == 1, carried).otherwise(local)

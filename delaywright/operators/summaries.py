@@ -74,6 +74,14 @@ def daily_by_year(df: DataFrame, date: str, years: Sequence[int] | None = None)
     )
 
 
+def daily_counts_by_year(df: DataFrame, date: str) -> DataFrame:
+    """The rows of :func:`daily_by_year` with the years as one array ``counts`` in ascending order
+    of the years that occur: the columns do not depend on the data."""
+    wide = daily_by_year(df, date)
+    years = sorted(c for c in wide.columns if c != "month_day")
+    return wide.select("month_day", F.array(*[F.col(y) for y in years]).alias("counts"))
+
+
 def confusion_counts(
     df: DataFrame, predicted: str, actual: str, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -45,14 +45,19 @@ def explode_edges(spark, sf_dir):
     return adjacency.explode_edges(_records(spark, sf_dir))
 
 
+PER_PART = 20
+
+
 @query(
     "expand_multiplicity",
-    f"""WITH {SUPPLY_EDGES} SELECT src AS node,
-      string_agg(rtrim(repeat(dst || ',', CAST(weight AS INTEGER)), ','), ',' ORDER BY dst) AS outlinks
-    FROM v_edge GROUP BY src""",
+    f"""WITH {SUPPLY_EDGES},
+    r AS (SELECT src AS node, dst, unnest(range(weight)) AS copy FROM v_edge),
+    o AS (SELECT node, dst, row_number() OVER (PARTITION BY node ORDER BY dst) - 1 AS place FROM r)
+    SELECT node, place // {PER_PART} AS part, string_agg(dst, ',' ORDER BY place) AS outlinks FROM o GROUP BY node, part""",
 )
 def expand_multiplicity(spark, sf_dir):
-    return adjacency.expand_multiplicity(_records(spark, sf_dir))
+    """Every link repeated by its weight, in numbered parts of bounded length."""
+    return adjacency.expand_multiplicity(_records(spark, sf_dir), PER_PART)
 
 
 @query("out_degree", f"WITH {SUPPLY_EDGES}, {DEGREE} SELECT id, out_degree FROM v_out")
@@ -158,17 +163,19 @@ def adjacency_list(spark, sf_dir):
 @query(
     "adjacency_matrix",
     f"""WITH {TRADE_EDGES}, big AS (SELECT src, dst FROM v_trade
-      WHERE weight >= (SELECT avg(weight) FROM v_trade)),
-    cell AS (SELECT a.n_nationkey AS node, 'to_' || b.n_nationkey AS name, CAST(big.src IS NOT NULL AS INTEGER) AS v
-      FROM nation a CROSS JOIN nation b LEFT JOIN big ON big.src = a.n_nationkey AND big.dst = b.n_nationkey)
-    SELECT * FROM (PIVOT cell ON name USING max(v) GROUP BY node)""",
+      WHERE weight >= (SELECT avg(weight) FROM v_trade))
+    SELECT a.n_nationkey AS node, string_agg(CAST(big.src IS NOT NULL AS INTEGER), ',' ORDER BY b.n_nationkey) AS links
+    FROM nation a CROSS JOIN nation b LEFT JOIN big ON big.src = a.n_nationkey AND big.dst = b.n_nationkey
+    GROUP BY a.n_nationkey""",
 )
 def adjacency_matrix(spark, sf_dir):
-    """Matrix of the trade links that are at least as strong as the average link."""
+    """Matrix of the trade links that are at least as strong as the average link; a row's entries
+    stand in ascending order of the nations."""
     edges = trade_edges(spark, sf_dir)
     strong = edges.filter(F.col("weight") >= edges.agg(F.avg("weight")).scalar())
     nations = [r[0] for r in table(spark, sf_dir, "nation").select("n_nationkey").orderBy("n_nationkey").collect()]
-    return graph.adjacency_matrix(strong, nations)
+    wide = graph.adjacency_matrix(strong, nations)
+    return wide.select("node", F.concat_ws(",", *[F.col(f"to_{n}").cast("string") for n in nations]).alias("links"))
 
 
 @query("adjacency_entries", f"WITH {SUPPLY_EDGES} SELECT DISTINCT src AS i, dst AS j, 1 AS v FROM v_edge")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from delaywright.functions import expressions as fx
-from delaywright.operators import cleaning, joins, profiling, summaries
+from delaywright.operators import cleaning, joins, profiling, sketches, summaries
 from delaywright.operators.skew import join_lookup
 from delaywright.plans.registry import query
 from delaywright.plans.views import (
@@ -24,12 +24,12 @@ from delaywright.plans.views import (
     trade_edges,
     with_parts,
 )
-from delaywright.runtime import scratch_path
+from delaywright.runtime import scratch_path, spool
 from delaywright.sources import adjacency, tables
 
 ORDERS_SCHEMA = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderpriority string"
+    "o_orderdate timestamp_ntz, o_orderpriority string"
 )
 
 # --- sources and sinks -----------------------------------------------------------------------
@@ -37,10 +37,10 @@ ORDERS_SCHEMA = (
 
 @query(
     "scan_parquet",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders",
 )
 def scan_parquet(spark, sf_dir):
-    return tables.read_parquet(spark, f"{sf_dir}/orders.parquet", ORDERS_SCHEMA)
+    return tables.read_parquet(spark, f"{sf_dir}/orders.parquet", ORDERS_SCHEMA).withColumn("o_orderdate", iso("o_orderdate"))
 
 
 @query(
@@ -379,7 +379,8 @@ def nearest_station_pairs(spark, sf_dir):
     FROM f ASOF LEFT JOIN report r ON f.station = r.station AND f.dep_ts - INTERVAL 2 HOUR >= r.report_ts""",
 )
 def flight_weather_join(spark, sf_dir):
-    """Flights → nearest station → latest report at least two hours before departure."""
+    """Flights → nearest station → latest report at least two hours before departure. The reports
+    are the ``error`` events; all events are flights."""
     distances = trade_edges(spark, sf_dir).select(
         F.col("src").cast("bigint").alias("origin"),
         F.col("dst").cast("bigint").alias("station"),
@@ -477,11 +478,16 @@ def daily_counts(spark, sf_dir):
 
 @query(
     "pivot_daily_by_year",
-    """SELECT * FROM (PIVOT (SELECT strftime(o_orderdate, '%m-%d') AS month_day, 'y' || year(o_orderdate) AS y FROM orders)
-    ON y USING count(*) GROUP BY month_day)""",
+    """WITH d AS (SELECT DISTINCT strftime(o_orderdate, '%m-%d') AS month_day FROM orders),
+    y AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders),
+    n AS (SELECT strftime(o_orderdate, '%m-%d') AS month_day, year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY ALL)
+    SELECT month_day, string_agg(coalesce(n, 0), ',' ORDER BY y) AS counts
+    FROM d CROSS JOIN y LEFT JOIN n USING (month_day, y) GROUP BY month_day""",
 )
 def pivot_daily_by_year(spark, sf_dir):
-    return summaries.daily_by_year(table(spark, sf_dir, "orders"), "o_orderdate")
+    """Orders of every calendar day; one place in the list for each year of the data, ascending."""
+    listed = summaries.daily_counts_by_year(table(spark, sf_dir, "orders"), "o_orderdate")
+    return listed.withColumn("counts", F.array_join(F.col("counts").cast("array<string>"), ","))
 
 
 @query(
@@ -519,6 +525,27 @@ def distinct_count(spark, sf_dir):
     return table(spark, sf_dir, "orders").agg(F.count_distinct("o_custkey").alias("customers"))
 
 
+@query(
+    "distinct_count_sketched",
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey FROM orders)
+    SELECT 'year ' || year(day) AS span, count(DISTINCT o_custkey) AS exact, true AS within_bound FROM d GROUP BY year(day)
+    UNION ALL SELECT 'all', count(DISTINCT o_custkey), true FROM d""",
+)
+def distinct_count_sketched(spark, sf_dir):
+    """Customers by year and in all from one table of daily sketches, held against exact counts."""
+    orders = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), "o_custkey")
+    daily = spool(sketches.sketch_by(orders, ["day"], "o_custkey"), "sketches")
+    year = F.concat(F.lit("year "), F.year("day"))
+    unions = sketches.estimate(daily.withColumn("span", year), ["span"]).unionByName(
+        sketches.estimate(daily.withColumn("span", F.lit("all")), ["span"])
+    )
+    spans = F.explode(F.array(year, F.lit("all"))).alias("span")
+    exact = orders.select(spans, "o_custkey").groupBy("span").agg(F.count_distinct("o_custkey").alias("exact"))
+    off = F.abs(F.col("estimate") - F.col("exact"))
+    bound = F.greatest(F.lit(1.0), sketches.relative_error() * F.col("exact"))
+    return exact.join(unions, "span").select("span", "exact", (off <= bound).alias("within_bound"))
+
+
 @query("distinct_values", f"WITH {SUPPLY_EDGES} SELECT DISTINCT dst AS id FROM v_edge")
 def distinct_values(spark, sf_dir):
     return supply_edges(spark, sf_dir).select(F.col("dst").alias("id")).distinct()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Total
+
 EDGES_PER_LINE = 100_000
 
 
@@ -72,18 +74,27 @@ def write_adjacency(edges: DataFrame, path: str) -> str:
     return path
 
 
-def expand_multiplicity(records: DataFrame) -> DataFrame:
-    """``(node, neighbours)`` → ``(node, outlinks)``: each destination repeated by its count, one
-    row for each node however many records it came in.
+def expand_multiplicity(
+    records: DataFrame, per_part: int = 100_000, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``(node, neighbours)`` → ``(node, part, outlinks)``: each destination repeated by its count,
+    destinations in order, ``per_part`` of them in a part (fewer in a node's last one).
 
-    Only for exporting the comma-separated text form, whose one line per node is by definition as
-    long as the node's links; computations keep the weight instead.
+    For exporting the text form; computations keep the weight instead. A node's links are cut by
+    running sums of their weights, and one huge weight by itself, so neither a busy node nor a
+    heavy link makes a long list. A node without links has one empty part.
     """
-    entry = F.expr("rtrim(',', repeat(concat(dst, ','), int(weight)))")
-    listed = explode_edges(records).filter("weight > 0").withColumn("entry", entry)
-    lists = listed.groupBy(F.col("src").alias("node")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dst", "entry"))), lambda e: e["entry"]), ",").alias("outlinks")
+    links = explode_edges(records).filter("weight > 0").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    ending = OrderedScan(["src"], ["dst"], rows_per_task).run(links, _ends=Total("weight"))
+    start, end = F.col("_ends") - F.col("weight"), F.col("_ends")
+    first, last = F.expr(f"(_ends - weight) div {per_part}"), F.expr(f"(_ends - 1) div {per_part}")
+    parts = ending.select("src", "dst", start.alias("_starts"), end.alias("_ends"), F.explode(F.sequence(first, last)).alias("part"))
+    inside = F.least("_ends", (F.col("part") + 1) * per_part) - F.greatest("_starts", F.col("part") * per_part)
+    listed = parts.groupBy(F.col("src").alias("node"), "part").agg(
+        F.array_sort(F.collect_list(F.struct("_starts", "dst", inside.cast("int").alias("n")))).alias("links")
     )
+    repeated = F.flatten(F.transform("links", lambda x: F.array_repeat(x["dst"].cast("string"), x["n"])))
+    lists = listed.select("node", "part", F.array_join(repeated, ",").alias("outlinks"))
     return records.select("node").distinct().join(lists, "node", "left").select(
-        "node", F.coalesce("outlinks", F.lit("")).alias("outlinks")
+        "node", F.coalesce("part", F.lit(0)).cast("bigint").alias("part"), F.coalesce("outlinks", F.lit("")).alias("outlinks")
     )

@@ -164,16 +164,21 @@ def test_text_is_parsed_not_evaluated(spark):
 
 
 def test_expand_multiplicity(spark):
-    lines = spark.createDataFrame([("3\t{'2': 2, '1': 1}",)], "value string")
-    assert adjacency.expand_multiplicity(adjacency.parse_lines(lines)).first()["outlinks"] == "1,2,2"
-
-
-def test_expanded_links_do_not_depend_on_the_record_layout(spark):
-    edges = spark.createDataFrame([("n", f"{i:02d}", 1 + i % 3) for i in range(25)], "src string, dst string, weight bigint")
-    whole, cut = (
-        adjacency.expand_multiplicity(adjacency.parse_lines(adjacency.adjacency_lines(edges, size))).collect() for size in (100, 10)
-    )
-    assert whole == cut and len(cut) == 1
+    lines = spark.createDataFrame([("3\t{'2': 2, '1': 1}",), ("4\t{}",)], "value string")
+    assert rows_of(adjacency.expand_multiplicity(adjacency.parse_lines(lines))) == [("3", 0, "1,2,2"), ("4", 0, "")]
+
+
+@pytest.mark.parametrize("rows_per_task", [4, 5_000_000])
+def test_expanded_links_come_in_bounded_parts(spark, rows_per_task):
+    """Whatever the records' layout, and however heavy a link or busy a node."""
+    weights = {f"{i:02d}": 1 + i % 3 for i in range(25)} | {"07": 40}
+    edges = spark.createDataFrame([("n", d, w) for d, w in weights.items()] + [("m", "x", 3)], "src string, dst string, weight bigint")
+    every = [d for d in sorted(weights) for _ in range(weights[d])]
+    expected = sorted(("n", p, ",".join(every[7 * p : 7 * p + 7])) for p in range(-(-len(every) // 7)))
+    for size in (100, 10):
+        records = adjacency.parse_lines(adjacency.adjacency_lines(edges, size))
+        found = rows_of(adjacency.expand_multiplicity(records, 7, rows_per_task), "node", "part", "outlinks")
+        assert sorted(found) == sorted([("m", 0, "x,x,x"), *expected])
 
 
 def test_the_callers_cache_stays(spark):
