@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from delaywright.functions import expressions as fx
 from delaywright.learning import features as ft
-from delaywright.learning import least_squares, models, search
+from delaywright.learning import compiled, least_squares, models, search
 from delaywright.operators import cleaning, evaluation, splitting, summaries
 from delaywright.operators.feature_table import flight_features
+from delaywright.plans.features import KNOWN_PRIOR
 from delaywright.plans.registry import query
 from delaywright.plans.views import FLIGHTS, flights, rounded, sql_rounded, table
 from delaywright.runtime import scratch_path
@@ -279,11 +280,31 @@ def ml_mlp(spark, sf_dir):
     return model.transform(_late(parts)).select("flight_id", "part", "sign_delay", "prediction")
 
 
-@query("model_roundtrip_score")
+@query(
+    "model_roundtrip_score",
+    f"""WITH {FLIGHTS}, {KNOWN_PRIOR},
+    n AS (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) AS upto FROM v_flight),
+    p AS (SELECT flight_id, row_number() OVER (ORDER BY fl_date, flight_id) AS pos FROM v_flight)
+    SELECT CASE WHEN pos <= CAST(floor(upto * 0.7) AS BIGINT) THEN 'train' WHEN pos <= upto THEN 'validation'
+      ELSE 'test' END AS part, count(*) AS scored, 0.0 AS largest_difference
+    FROM p JOIN known USING (flight_id), n WHERE d IS NOT NULL GROUP BY 1""",
+)
 def model_roundtrip_score(spark, sf_dir):
+    """A saved and reloaded model as a column expression, held against the fitted one: rows scored
+    and the largest difference of both predictions, by part."""
     train, _, parts = _train_test(spark, sf_dir)
-    model = models.reload(models.linear_pipeline(SPEC, TARGET).fit(train), train)
-    return _score_columns(model.transform(parts))
+    model = models.linear_pipeline(SPEC, TARGET).fit(train)
+    both = model.transform(compiled.compile_model(models.reload(model, train)).score(parts, "compiled"))
+    apart = F.max(F.abs(F.col("prediction") - F.col("compiled")))
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("scored"), F.round(apart, 6).alias("largest_difference"))
+
+
+@query("ml_boosted_expression")
+def ml_boosted_expression(spark, sf_dir):
+    """Boosted trees scored by one column expression."""
+    train, _, parts = _train_test(spark, sf_dir)
+    model = models.boosted_pipeline(TREE_SPEC, TARGET).fit(splitting.training_with_validation_flag(train))
+    return _score_columns(compiled.compile_model(model).score(parts))
 
 
 # --- exact regressions -----------------------------------------------------------------------------
