@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaywright.operators.skew import ROWS_PER_TASK, LastKnown, NextKnown, OrderedScan
+from delaywright.operators.skew import ROWS_PER_TASK, LastKnown, NextKnown, OrderedScan, join_lookup
 
 
 def asof_join(
@@ -99,6 +99,34 @@ def nearest_per_key(pairs: DataFrame, key: str, candidate: str, distance: str) -
     )
 
 
+def with_station_reports(
+    df: DataFrame,
+    stations: DataFrame,
+    reports: DataFrame,
+    airport: str,
+    timestamp: str,
+    row_id: str,
+    station: str,
+    report_time: str,
+    report_id: str,
+    readings: list[str],
+    lead_hours: int = 2,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Add the ``readings`` of the latest report, at least ``lead_hours`` before departure, of the
+    station that belongs to the airport.
+
+    ``stations`` has one row for each airport, with ``station`` and any other columns to add (its
+    distance); ``reports`` has ``station``, ``report_time``, ``report_id`` and the readings. Flights
+    without a station or an earlier report keep nulls.
+    """
+    placed = join_lookup(df, stations, [airport], [row_id], rows_per_task=rows_per_task)
+    cut_off = F.col(timestamp) - F.expr(f"INTERVAL {int(lead_hours)} HOURS")
+    return asof_join(
+        placed, reports, [station], cut_off, report_time, row_id, report_id, readings, rows_per_task=rows_per_task
+    )
+
+
 def nearest_by_value(
     left: DataFrame,
     right: DataFrame,

@@ -202,6 +202,13 @@ def fold_segments(df: DataFrame, date: str, row_id: str, folds: Sequence[Fold])
     return Segments(number, positions)
 
 
+def hashed_folds(df: DataFrame, row_id: str, folds: int, output: str = "fold") -> DataFrame:
+    """Number each row's fold, 0 to ``folds - 1``, by the md5 of its id: the same rows fall into the
+    same fold wherever they lie, and any system with md5 can tell which."""
+    digits = F.substring(F.md5(F.col(row_id).cast("string").cast("binary")), 1, 8)
+    return df.withColumn(output, (F.conv(digits, 16, 10).cast("bigint") % folds).cast("int"))
+
+
 def fold_report(df: DataFrame, date: str, row_id: str, folds: Sequence[Fold]) -> DataFrame:
     """Size and date range of the two windows of every fold.
 

@@ -7,7 +7,6 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from delaywright.functions import expressions as fx
 from delaywright.operators import cleaning, joins, profiling, sketches, summaries
-from delaywright.operators.skew import join_lookup
 from delaywright.plans.registry import query
 from delaywright.plans.views import (
     FLIGHTS,
@@ -15,11 +14,14 @@ from delaywright.plans.views import (
     PARTS,
     SUPPLY_EDGES,
     TRADE_EDGES,
+    WEATHER,
     flights,
     iso,
     labelled_documents,
     rounded,
     supply_edges,
+    station_lookup,
+    station_reports,
     table,
     trade_edges,
     with_parts,
@@ -370,38 +372,18 @@ def nearest_station_pairs(spark, sf_dir):
 
 @query(
     "flight_weather_join",
-    f"""WITH {FLIGHTS}, {TRADE_EDGES},
-    nearest AS (SELECT src AS origin, min(struct_pack(d := weight, s := dst)).s AS station FROM v_trade GROUP BY src),
-    report AS (SELECT event_id AS report_id, ts AS report_ts, user_id % 25 AS station, value AS reading
-      FROM events WHERE event_type = 'error'),
-    f AS (SELECT v.flight_id, v.origin, v.dep_ts, n.station FROM v_flight v LEFT JOIN nearest n ON v.origin = n.origin)
-    SELECT f.flight_id, f.origin, CAST(f.station AS BIGINT) AS station, r.report_id, r.reading
-    FROM f ASOF LEFT JOIN report r ON f.station = r.station AND f.dep_ts - INTERVAL 2 HOUR >= r.report_ts""",
+    f"WITH {FLIGHTS}, {WEATHER} SELECT flight_id, origin, station, report_id, reading FROM v_weather",
 )
 def flight_weather_join(spark, sf_dir):
     """Flights → nearest station → latest report at least two hours before departure. The reports
     are the ``error`` events; all events are flights."""
-    distances = trade_edges(spark, sf_dir).select(
-        F.col("src").cast("bigint").alias("origin"),
-        F.col("dst").cast("bigint").alias("station"),
-        F.col("weight").alias("distance"),
+    base = flights(spark, sf_dir).select("flight_id", "origin", "dep_ts")
+    reports = station_reports(spark, sf_dir)
+    stations = station_lookup(spark, sf_dir).drop("station_distance")
+    found = joins.with_station_reports(
+        base, stations, reports, "origin", "dep_ts", "flight_id", "station", "report_ts", "report_id", ["report_id", "reading"]
     )
-    stations = joins.nearest_per_key(distances, "origin", "station", "distance").drop("distance")
-    left = join_lookup(flights(spark, sf_dir).select("flight_id", "origin", "dep_ts"), stations, ["origin"], ["flight_id"])
-    reports = (
-        table(spark, sf_dir, "events")
-        .filter(F.col("event_type") == "error")
-        .select(
-            F.col("event_id").alias("report_id"),
-            F.col("ts").alias("report_ts"),
-            (F.col("user_id") % 25).alias("station"),
-            F.col("value").alias("reading"),
-        )
-    )
-    cut_off = F.col("dep_ts") - F.expr("INTERVAL 2 HOURS")
-    return joins.asof_join(
-        left, reports, ["station"], cut_off, "report_ts", "flight_id", "report_id", ["report_id", "reading"]
-    ).drop("dep_ts")
+    return found.drop("dep_ts")
 
 
 # --- aggregates --------------------------------------------------------------------------------------

@@ -89,3 +89,13 @@ def cv_sliding_bounds(spark, sf_dir):
 @query("cv_expanding_bounds", _fold_sql("CAST(1 AS BIGINT)"))
 def cv_expanding_bounds(spark, sf_dir):
     return _fold_report(spark, sf_dir, splitting.expanding_folds)
+
+
+@query(
+    "cv_hashed_folds",
+    f"""WITH {FLIGHTS} SELECT flight_id, CAST(CAST('0x' || substr(md5(CAST(flight_id AS VARCHAR)), 1, 8) AS BIGINT) % 3 AS INTEGER)
+      AS fold FROM v_flight""",
+)
+def cv_hashed_folds(spark, sf_dir):
+    """The folds of the random cross-validation, row by row."""
+    return splitting.hashed_folds(flights(spark, sf_dir).select("flight_id"), "flight_id", 3)

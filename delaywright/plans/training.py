@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from delaywright.functions import expressions as fx
 from delaywright.learning import features as ft
 from delaywright.learning import compiled, least_squares, models, search
-from delaywright.operators import cleaning, evaluation, splitting, summaries
+from delaywright.operators import cleaning, evaluation, joins, splitting, summaries
 from delaywright.operators.feature_table import flight_features
 from delaywright.plans.features import KNOWN_PRIOR
 from delaywright.plans.registry import query
-from delaywright.plans.views import FLIGHTS, flights, rounded, sql_rounded, table
+from delaywright.plans.views import FLIGHTS, WEATHER, flights, rounded, sql_rounded, station_lookup, station_reports, table
 from delaywright.runtime import scratch_path
 
+# Names of the features.
 SPEC = ft.FeatureSpec(
     categorical=(
         "carrier",
@@ -42,6 +43,8 @@ SPEC = ft.FeatureSpec(
         "prior_flight_dep_delay_new",
         "prior_flight_origin_delay_pagerank",
         "recency_days",
+        "station_distance",
+        "reading",
     ),
 )
 TREE_SPEC = ft.FeatureSpec(categorical=SPEC.categorical, numeric=SPEC.numeric, one_hot=False)
@@ -53,8 +56,13 @@ def known_flights(spark, sf_dir):
 
 
 def model_rows(spark, sf_dir):
-    """The feature table of all flights with a known target."""
-    return ft.numeric_as_double(flight_features(known_flights(spark, sf_dir)), SPEC.numeric)
+    """The feature table of all flights with a known target, with the weather at their airport."""
+    featured = flight_features(known_flights(spark, sf_dir))
+    stations, reports = station_lookup(spark, sf_dir), station_reports(spark, sf_dir)
+    seen = joins.with_station_reports(
+        featured, stations, reports, "origin", "dep_ts", "flight_id", "station", "report_ts", "report_id", ["reading"]
+    )
+    return ft.numeric_as_double(seen, SPEC.numeric)
 
 
 def _split(spark, sf_dir):
@@ -282,12 +290,13 @@ def ml_mlp(spark, sf_dir):
 
 @query(
     "model_roundtrip_score",
-    f"""WITH {FLIGHTS}, {KNOWN_PRIOR},
+    f"""WITH {FLIGHTS}, {KNOWN_PRIOR}, {WEATHER},
     n AS (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) AS upto FROM v_flight),
     p AS (SELECT flight_id, row_number() OVER (ORDER BY fl_date, flight_id) AS pos FROM v_flight)
     SELECT CASE WHEN pos <= CAST(floor(upto * 0.7) AS BIGINT) THEN 'train' WHEN pos <= upto THEN 'validation'
       ELSE 'test' END AS part, count(*) AS scored, 0.0 AS largest_difference
-    FROM p JOIN known USING (flight_id), n WHERE d IS NOT NULL GROUP BY 1""",
+    FROM p JOIN known USING (flight_id) JOIN v_weather USING (flight_id), n
+    WHERE d IS NOT NULL AND reading IS NOT NULL GROUP BY 1""",
 )
 def model_roundtrip_score(spark, sf_dir):
     """A saved and reloaded model as a column expression, held against the fitted one: rows scored
@@ -474,8 +483,11 @@ def _perceptron_trial(width, train_x, test_x, trial):
     model = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="sign_delay", layers=layers, seed=1234, **params
     ).fit(train_x)
-    judge = MulticlassClassificationEvaluator(labelCol="sign_delay", metricName="weightedRecall")
-    return {"loss": -judge.evaluate(model.transform(test_x))}
+    found = {}
+    for name, rows in (("train", train_x), ("test", test_x)):
+        weighted = _weighted(summaries.confusion_counts(model.transform(rows), "prediction", "sign_delay")).first()
+        found |= {f"{name}_{m}": weighted[f"weighted_{m}"] for m in ("precision", "recall", "f1")}
+    return {"loss": -found["test_recall"], **found}
 
 
 @query("tune_mlp")
@@ -495,6 +507,7 @@ def cv_random(spark, sf_dir):
     train, test, parts = _train_test(spark, sf_dir)
     stages = TREE_SPEC.stages()
     width = ft.vector_width(Pipeline(stages=stages).fit(_late(train)).transform(_late(train)), "assembled_features")
+    # Hidden layers and grid of the search.
     mlp = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="sign_delay", layers=[width, 5, 4, 2], seed=1234
     )
@@ -506,8 +519,8 @@ def cv_random(spark, sf_dir):
     )
     judge = MulticlassClassificationEvaluator(labelCol="sign_delay")
     found = CrossValidator(
-        estimator=Pipeline(stages=[*stages, mlp]), estimatorParamMaps=grid, evaluator=judge, numFolds=3, parallelism=4, seed=5
-    ).fit(_late(train))
+        estimator=Pipeline(stages=[*stages, mlp]), estimatorParamMaps=grid, evaluator=judge, numFolds=3, foldCol="fold", parallelism=4
+    ).fit(splitting.hashed_folds(_late(train), "flight_id", 3))
     rows = []
     for i, (point, score) in enumerate(zip(grid, found.avgMetrics)):
         rows += [(f"point-{i + 1}", "param", p.name, str(v)) for p, v in point.items()]
@@ -536,6 +549,7 @@ def run_log_rows(spark, sf_dir):
         scored = model.transform(test)
         rows = [(name, "param", k, str(v)) for k, v in params.items()]
         rows.append((name, "metric", "test_mae", repr(search.mean_absolute_error(scored, TARGET))))
+        rows.append((name, "model", "path", models.save_model(model, scratch_path(spark, f"model-{name}"))))
         weights = models.coefficients(model, scored).select(
             F.lit(name).alias("run_id"),
             F.lit("coefficient").alias("kind"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from delaywright.functions.expressions import clock_hour, delay_flag, positive_part
 from delaywright.operators.graph import edges_from
+from delaywright.operators.joins import nearest_per_key
 from delaywright.operators.skew import join_lookup
 from delaywright.operators.splitting import chronological_cuts, label_parts, split_positions
 from delaywright.sources.tables import read_parquet
@@ -128,6 +129,44 @@ v_trade AS (
   GROUP BY ALL)"""
 
 
+def station_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airport → its nearest station and the distance."""
+    pairs = trade_edges(spark, sf_dir).select(
+        F.col("src").cast("bigint").alias("origin"),
+        F.col("dst").cast("bigint").alias("station"),
+        F.col("weight").cast("double").alias("station_distance"),
+    )
+    return nearest_per_key(pairs, "origin", "station", "station_distance")
+
+
+def station_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather reports: the ``error`` events (all events are flights)."""
+    return (
+        table(spark, sf_dir, "events")
+        .filter(F.col("event_type") == "error")
+        .select(
+            F.col("event_id").alias("report_id"),
+            F.col("ts").alias("report_ts"),
+            (F.col("user_id") % 25).alias("station"),
+            F.col("value").alias("reading"),
+        )
+    )
+
+
+#: ``v_weather``: flights with the latest report of their station two hours before departure.
+WEATHER = (
+    TRADE_EDGES
+    + """,
+v_station AS (SELECT src AS origin, min(struct_pack(d := weight, s := dst)) AS best FROM v_trade GROUP BY src),
+v_report AS (SELECT event_id AS report_id, ts AS report_ts, user_id % 25 AS station, value AS reading
+  FROM events WHERE event_type = 'error'),
+v_placed AS (SELECT v.flight_id, v.origin, v.dep_ts, n.best.s AS station
+  FROM v_flight v LEFT JOIN v_station n ON v.origin = n.origin),
+v_weather AS (SELECT f.flight_id, f.origin, CAST(f.station AS BIGINT) AS station, r.report_id, r.reading
+  FROM v_placed f ASOF LEFT JOIN v_report r ON f.station = r.station AND f.dep_ts - INTERVAL 2 HOUR >= r.report_ts)"""
+)
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their labels; most label values are missing."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")

@@ -45,7 +45,8 @@ def test_linear_report_is_that_of_its_scores(spark):
         mine = report[r["part"]]
         assert abs(mine["tp"] - r["tp"]) <= 1 and mine["scored"] == r["tp"] + r["fp"] + r["fn"] + r["tn"]
     assert set(report) == {"train", "validation", "test"}
-    assert sum(r["skipped"] for r in report.values()) == parts.filter("prior_flight_dep_delay_new IS NULL").count() > 0
+    unknown = parts.filter("prior_flight_dep_delay_new IS NULL OR reading IS NULL OR station_distance IS NULL")
+    assert sum(r["skipped"] for r in report.values()) == unknown.count() > 0
 
 
 def test_boosted_report_covers_every_part(spark):
@@ -96,7 +97,20 @@ def test_cross_validation_keeps_and_scores_the_best_pipeline(spark):
     assert len(models.load_model(runs["best"]["model"]["path"]).stages) > 1
 
 
-@pytest.mark.parametrize("name", ["tune_grid_timefold", "tune_mlp", "run_log_rows"])
+def test_perceptron_search_records_each_trial(spark):
+    runs = runs_of(spark, "tune_mlp")
+    assert len(runs) == 8
+    for run in runs.values():
+        assert {f"{p}_{m}" for p in ("train", "test") for m in ("precision", "recall", "f1")} <= set(run["metric"])
+        assert all(0 <= float(v) <= 1 for k, v in run["metric"].items() if k != "loss")
+
+
+def test_logged_runs_keep_their_models(spark):
+    runs = runs_of(spark, "run_log_rows")
+    assert all(len(models.load_model(run["model"]["path"]).stages) > 1 for run in runs.values())
+
+
+@pytest.mark.parametrize("name", ["tune_grid_timefold"])
 def test_other_searches_have_rows(spark, name):
     rows = [r.asDict() for r in all_queries()[name](spark, SMALL).collect()]
     assert rows and json.dumps(rows, default=str).count("error") == 0
