@@ -1,5 +1,6 @@
 """Toxicity classifier: held-out accuracy, hashes, edge cases."""
 
+import math
 import random
 import zlib
 
@@ -78,3 +79,66 @@ def test_given_labels_are_learnt(spark):
     clean = [r.score for r in rows if not r.toxic]
     assert np.mean([a > b for a in toxic for b in clean]) > 0.85
     assert np.mean([s >= 0.5 for s in clean]) < 0.05
+
+
+def plain_hash(gram):
+    """The hash of an n-gram in plain integers."""
+    state = 0
+    for c in gram:
+        state = (state * 0x9E3779B97F4A7C15 + ord(c) + 1) % 2**64
+    mixed = (state + len(gram)) * 0xD6E8FEB86659FD93 % 2**64
+    mixed ^= mixed >> 32
+    return mixed * 0x9E3779B97F4A7C15 % 2**64
+
+
+def plain_features(text):
+    folded = " " + " ".join(text.lower().split()) + " "
+    return {plain_hash(folded[i : i + n]) for n in toxicity.ORDERS for i in range(len(folded) - n + 1)}
+
+
+def test_equals_a_plain_model(labelled):
+    """Features, ratios, the fit and scores, all in plain Python."""
+    docs, truth, model = labelled
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    learnt = [i for i in truth if zlib.crc32(str(i).encode()) % 5]
+    own = {i: plain_features(t) for i, t in texts.items()}
+    sizes = [sum(truth[i] == k for i in learnt) for k in (0, 1)]
+    ratio = {}
+    for h in model.hashes.tolist():
+        n = [sum(h in own[i] for i in learnt if truth[i] == k) for k in (0, 1)]
+        assert sum(n) >= toxicity.MIN_ROWS
+        # Classes below the bound of the sample are taken whole.
+        ratio[h] = math.log((n[1] + 1) / (sizes[1] + 2)) - math.log((n[0] + 1) / (sizes[0] + 2))
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+
+    def score(features):
+        return 1 / (1 + math.exp(-(model.intercept + sum(weight[h] for h in features if h in weight))))
+
+    found = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all(found[i] == pytest.approx(score(own[i]), abs=1e-6) for i in truth)
+    order = model.hashes.tolist()
+    x = np.array([[ratio[h] if h in own[i] else 0.0 for h in order] for i in learnt])
+    fitted, intercept = plain_fit(x, np.array([truth[i] for i in learnt], dtype=float))
+    assert fitted * np.array([ratio[h] for h in order]) == pytest.approx(model.weights, abs=1e-6)
+    assert intercept == pytest.approx(model.intercept, abs=1e-6)
+
+
+def plain_fit(x, y, steps=200):
+    """Accelerated gradient with restarts on a dense matrix."""
+    n, l2 = len(y), toxicity.L2
+    step = 4.0 / (4 * np.mean((x * x).sum(axis=1) + 1) + l2 / n)
+    w = ahead = np.zeros(x.shape[1])
+    b = ahead_b = 0.0
+    momentum, last = 1.0, np.inf
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ ahead + ahead_b, -50, 50)))
+        loss = -np.mean(y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12)) + l2 / (2 * n) * ahead @ ahead
+        if loss > last:
+            momentum, step, ahead, ahead_b, last = 1.0, step * 0.7, w, b, np.inf
+            continue
+        last = loss
+        new, new_b = ahead - step * (x.T @ (p - y) / n + l2 / n * ahead), ahead_b - step * np.mean(p - y)
+        after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        ahead, ahead_b = new + (momentum - 1) / after * (new - w), new_b + (momentum - 1) / after * (new_b - b)
+        w, b, momentum = new, new_b, after
+    return w, b
