@@ -6,14 +6,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from delaywright.plans import all_oracles, all_queries
 from tests.conftest import SMALL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+# (the queries of the training-data pipeline are held against their SQL beside their other tests)
+QUERIES = all_queries()
+ORACLES = all_oracles()
 SEARCHES = {"tune_grid_timefold", "tune_random", "tune_mlp", "cv_random", "run_log_rows"}
 
 
@@ -32,7 +34,8 @@ def plain(value):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
