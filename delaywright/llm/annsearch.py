@@ -196,8 +196,8 @@ def search(
 
     Null, zero, null-holding and non-finite vectors and null ids take no part, nor do vectors of
     another length than the most frequent one (the smaller, if two are). A query with fewer other
-    rows than ``k`` gets them all. Rows that repeat an id are candidates of their own; a query row
-    that repeats is answered once. Empty tables give no rows; other columns are not read.
+    rows than ``k`` gets them all. Rows that repeat an id are candidates of their own; query rows
+    that repeat an id are answered once, for the smallest of their vectors. Empty tables give no rows; other columns are not read.
     """
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(is_valid())
     asked = queries.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(is_valid())
@@ -254,20 +254,19 @@ def search(
                 ["leaf", "query_id", "query"],
             )
 
-    walks = asked.dropDuplicates(["vec_id"]).mapInArrow(walk, f"leaf int, query_id long, query {kind}")
+    walks = asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).mapInArrow(walk, f"leaf int, query_id long, query {kind}")
     parts = np.ones(tree.n_leaves, dtype=np.int64)
     for r in walks.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect():
         parts[r["leaf"]] = -(-r["n"] // block)
-    # One entry for each leaf: bounded by the tree, which the sample bounds.
-    split = F.create_map(*[F.lit(v) for leaf in range(tree.n_leaves) for v in (leaf, int(pieces[leaf]))])
-    split_q = F.create_map(*[F.lit(v) for leaf in range(tree.n_leaves) for v in (leaf, int(parts[leaf]))])
-    piece = F.pmod(F.xxhash64("vec_id"), split[F.col("leaf")]).cast("int")
-    piece_q = F.pmod(F.xxhash64("query_id"), split_q[F.col("leaf")]).cast("int")
+    # One entry for each leaf, bounded by the tree, which the sample bounds; found by the leaf's number.
+    split, split_q = (F.get(F.array(*[F.lit(int(v)) for v in counts]), F.col("leaf")) for counts in (pieces, parts))
+    piece = F.pmod(F.xxhash64("vec_id"), split).cast("int")
+    piece_q = F.pmod(F.xxhash64("query_id"), split_q).cast("int")
     index = placed.select(
-        "leaf", piece.alias("piece"), F.explode(F.sequence(F.lit(0), split_q[F.col("leaf")] - 1)).alias("part"), "vec_id", "embedding"
+        "leaf", piece.alias("piece"), F.explode(F.sequence(F.lit(0), split_q - 1)).alias("part"), "vec_id", "embedding"
     )
     visitors = walks.select(
-        "leaf", F.explode(F.sequence(F.lit(0), split[F.col("leaf")] - 1)).alias("piece"), piece_q.alias("part"), "query_id", "query"
+        "leaf", F.explode(F.sequence(F.lit(0), split - 1)).alias("piece"), piece_q.alias("part"), "query_id", "query"
     )
     key = ["leaf", "piece", "part"]
     found = (
