@@ -28,7 +28,7 @@ def rolling_airport_ranks(
     spread = daily.select(following, "src", "dst", "weight")
     asked = df.select(F.col(date).alias("_day")).distinct()
     edges = spread.join(asked, "_day", "left_semi").groupBy("_day", "src", "dst").agg(F.sum("weight").alias("weight"))
-    return pagerank_by(edges, "_day", iterations=steps, cut_every=steps).withColumnRenamed("_day", date)
+    return pagerank_by(edges, "_day", iterations=steps, cut_every=2).withColumnRenamed("_day", date)
 
 
 def with_origin_rank(

@@ -229,7 +229,7 @@ def pagerank(
     weighted: bool = True,
     normalise: bool = True,
     edges_per_task: int = ROWS_PER_TASK,
-    cut_every: int = 5,
+    cut_every: int = 2,
 ) -> DataFrame:
     """PageRank with teleportation ``alpha`` and redistribution of dangling mass.
 
@@ -266,7 +266,7 @@ def pagerank_by(
     iterations: int = 10,
     weighted: bool = True,
     edges_per_task: int = ROWS_PER_TASK,
-    cut_every: int = 5,
+    cut_every: int = 2,
 ) -> DataFrame:
     """``(group, id, pagerank)``: the ranks of many graphs at once, one for each value of ``group``
     (edges ``group, src, dst, weight``), each as :func:`pagerank` gives it for its graph alone.

@@ -19,7 +19,7 @@ from delaywright.operators.skew import ROWS_PER_TASK, attach
 from delaywright.runtime import spool
 
 ROWS_PER_RANGE = 1_000_000
-BROADCAST_VALUES = 400_000
+BROADCAST_VALUES = 1_000_000
 
 
 def prefix_sums(
