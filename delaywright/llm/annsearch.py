@@ -6,8 +6,9 @@ leaves come up in order of promise, and visits as many leaves as calibration ask
 queries with known neighbours the visits are widened until ``recall`` of the neighbours are found.
 
 Leaves are joined with their queries in blocks: a leaf beyond ``block`` rows, or with more queries,
-is split on either side, so a leaf that holds a third of all rows is many tasks' work. A block
-returns each query's best ``k``; the best of all blocks follow by rank.
+is split on either side, so a leaf that holds a third of all rows is many tasks' work. Neighbouring
+leaves of the tree, which a query mostly visits together, share a block; it returns each query's
+best ``k`` of all of them, and the best of all blocks follow by rank.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ LEAF = 512
 BRANCHES = 8
 RECALL = 0.97
 BLOCK = 4096
+#: Neighbouring leaves (or pieces of them, at most ``BLOCK`` rows each) that share a task.
+LEAVES_PER_TASK = 16
 _SEED = 20_261
 
 
@@ -148,6 +152,17 @@ def _top(near: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return (near >= last[:, None] - 1e-12) & (near > -np.inf)
 
 
+def _blocks(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
+    """The best ``k`` rows (right) for each query (left), of all leaves that it visits here."""
+    leaves = [np.unique(t.column("leaf").to_numpy()) for t in (left, right)]
+    parts = [_block(*(t.filter(pc.equal(t.column("leaf"), int(leaf))) for t in (left, right)), k) for leaf in np.intersect1d(*leaves)]
+    found = pa.concat_tables(parts or [_block(left.slice(0, 0), right.slice(0, 0), k)])
+    keys, ids, scores = (found.column(c).to_numpy() for c in ("query_id", "vec_id", "score"))
+    order = np.lexsort((ids, -scores, keys))
+    place = np.arange(len(order)) - np.searchsorted(keys[order], keys[order])
+    return found.take(pa.array(order[place < k]))
+
+
 def _block(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     """The best ``k`` of a block of rows (right) for each of a block of queries (left)."""
     out: list[list] = [[], [], []]
@@ -262,17 +277,18 @@ def search(
     split, split_q = (F.get(F.array(*[F.lit(int(v)) for v in counts]), F.col("leaf")) for counts in (pieces, parts))
     piece = F.pmod(F.xxhash64("vec_id"), split).cast("int")
     piece_q = F.pmod(F.xxhash64("query_id"), split_q).cast("int")
+    shared = F.expr(f"leaf div {LEAVES_PER_TASK}").cast("int").alias("leaves")
     index = placed.select(
-        "leaf", piece.alias("piece"), F.explode(F.sequence(F.lit(0), split_q - 1)).alias("part"), "vec_id", "embedding"
+        "leaf", shared, piece.alias("piece"), F.explode(F.sequence(F.lit(0), split_q - 1)).alias("part"), "vec_id", "embedding"
     )
     visitors = walks.select(
-        "leaf", F.explode(F.sequence(F.lit(0), split - 1)).alias("piece"), piece_q.alias("part"), "query_id", "query"
+        "leaf", shared, F.explode(F.sequence(F.lit(0), split - 1)).alias("piece"), piece_q.alias("part"), "query_id", "query"
     )
-    key = ["leaf", "piece", "part"]
+    key = ["leaves", "piece", "part"]
     found = (
         visitors.groupBy(*key)
         .cogroup(index.groupBy(*key))
-        .applyInArrow(lambda a, b: _block(a, b, k), "query_id long, vec_id long, score double")
+        .applyInArrow(lambda a, b: _blocks(a, b, k), "query_id long, vec_id long, score double")
     )
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
