@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,6 +82,8 @@ def christmas_travel(date: ColumnLike) -> Column:
 HOLIDAY_DATES = ((1, 1), (7, 4), (11, 11), (12, 25))
 HOLIDAY_WEEKDAYS = ((1, 1, 3), (2, 1, 3), (5, 1, -1), (9, 1, 1), (10, 1, 2), (11, 4, 4))
 JUNETEENTH_SINCE = 2021
+#: Days between June 19 and the nearer end of its year.
+JUNETEENTH_REACH = 169
 
 
 def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
@@ -103,26 +107,51 @@ def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> Da
     return listed.filter(F.col("holiday").isNotNull())
 
 
-def is_federal_holiday(date: ColumnLike) -> Column:
-    """Whether a day is a US federal holiday, by the legal rules, for any year."""
-    value = _col(date)
-    month, day, weekday = F.month(value), F.dayofmonth(value), F.weekday(value) + 1
-    found = F.lit(False)
-    for m, d in HOLIDAY_DATES:
-        found = found | ((month == m) & (day == d))
-    for m, w, n in HOLIDAY_WEEKDAYS:
-        of_month = day > F.dayofmonth(F.last_day(value)) - 7 if n < 0 else F.ceil(day / 7) == n
-        found = found | ((month == m) & (weekday == w) & of_month)
-    return found | ((month == 6) & (day == 19) & (F.year(value) >= JUNETEENTH_SINCE))
+def _is_holiday(day: dt.date, juneteenth: bool) -> bool:
+    """Whether a day is a US federal holiday, by the legal rules."""
+    last_week = (day + dt.timedelta(7)).month != day.month
+    return (
+        (day.month, day.day) in HOLIDAY_DATES
+        or any(
+            (day.month, day.isoweekday()) == (m, w) and (last_week if n < 0 else (day.day + 6) // 7 == n)
+            for m, w, n in HOLIDAY_WEEKDAYS
+        )
+        or (juneteenth and (day.month, day.day) == (6, 19))
+    )
+
+
+@functools.cache
+def _holiday_years(days_around: int) -> list[str]:
+    """The indicator of every day of a year, one digit a day, for each kind of year: without and
+    with June 19, common and leap years, by the weekday of January 1 (Monday first)."""
+    if not 0 <= days_around < JUNETEENTH_REACH:
+        raise ValueError("days around a holiday must not reach another year's June 19")
+
+    def marks(year: int, juneteenth: bool) -> str:
+        first, n = dt.date(year, 1, 1), 365 + calendar.isleap(year)
+        days = [first + dt.timedelta(k) for k in range(-days_around, n + days_around)]
+        found = [_is_holiday(day, juneteenth) for day in days]
+        return "".join(
+            "2" if found[k + days_around] else "1" if any(found[k : k + 2 * days_around + 1]) else "0" for k in range(n)
+        )
+
+    kinds = {(calendar.isleap(y), dt.date(y, 1, 1).weekday()): y for y in range(2001, 2401)}
+    return [marks(kinds[leap, weekday], june) for june in (False, True) for leap in (False, True) for weekday in range(7)]
 
 
 def holiday_indicator(date: ColumnLike, days_around: int = 3) -> Column:
-    """2 on a holiday, 1 within ``days_around`` days of one, else 0 (unknown dates as well)."""
+    """2 on a holiday, 1 within ``days_around`` days of one, else 0 (unknown dates as well).
+
+    A year's holidays follow from its first weekday, its length and whether June 19 is one, so a day
+    is looked up in one of 28 literals: the rules themselves, written out for each day around a row's,
+    would be too much generated code to be compiled.
+    """
     value = F.to_date(_col(date))
-    near = F.lit(False)
-    for k in range(1, days_around + 1):
-        near = near | is_federal_holiday(F.date_add(value, k)) | is_federal_holiday(F.date_sub(value, k))
-    return F.when(is_federal_holiday(value), 2).when(near, 1).otherwise(0)
+    year = F.year(value)
+    leap = ((year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))).cast("int")
+    kind = (year >= JUNETEENTH_SINCE).cast("int") * 14 + leap * 7 + F.weekday(F.trunc(value, "year"))
+    years = F.array(*[F.lit(marks) for marks in _holiday_years(days_around)])
+    return F.coalesce(F.substring(F.get(years, kind), F.dayofyear(value), F.lit(1)).cast("int"), F.lit(0))
 
 
 def with_holiday_indicator(df: DataFrame, date: str, output: str = "federal_holiday_indicator") -> DataFrame:

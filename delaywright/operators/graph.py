@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Position
 from delaywright.runtime import cut_lineage, spool
 
+#: Graphs up to this many edges are iterated in one task (about 50 bytes an edge).
+EDGES_PER_GRAPH = 1_000_000
+
 
 def edges_from(df: DataFrame, src: Column, dst: Column, weight: Column | None = None) -> DataFrame:
     """Aggregate rows into an edge list; the weight is the row count or a summed expression."""
@@ -267,10 +272,63 @@ def pagerank_by(
     weighted: bool = True,
     edges_per_task: int = ROWS_PER_TASK,
     cut_every: int = 2,
+    edges_per_graph: int = EDGES_PER_GRAPH,
 ) -> DataFrame:
     """``(group, id, pagerank)``: the ranks of many graphs at once, one for each value of ``group``
     (edges ``group, src, dst, weight``), each as :func:`pagerank` gives it for its graph alone.
 
+    The edges of every graph are counted first. Graphs of at most ``edges_per_graph`` edges are
+    iterated in one task each, so that all steps cost one shuffle of the edges; larger ones
+    walk together step by step (:func:`_walks_by`). Equal but for rounding.
+    """
+    held, own = _hold(edges)
+    sizes = held.groupBy(F.col(group).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    # at most edges / edges_per_graph rows
+    large = cut_lineage(sizes.filter(F.col("n") > edges_per_graph).select("g"))
+    if large.isEmpty():
+        ranks = _ranks_in_tasks(held, group, alpha, iterations, weighted)
+    else:
+        match = held[group].eqNullSafe(large["g"])
+        small = held.join(F.broadcast(large), match, "left_anti")
+        walked = _walks_by(
+            held.join(F.broadcast(large), match, "left_semi"), group, alpha, iterations, weighted, edges_per_task, cut_every
+        )
+        ranks = _ranks_in_tasks(small, group, alpha, iterations, weighted).unionByName(walked)
+    ranks = cut_lineage(ranks)
+    for frame in own:
+        frame.unpersist()
+    return ranks
+
+
+def _ranks_in_tasks(edges: DataFrame, group: str, alpha: float, iterations: int, weighted: bool) -> DataFrame:
+    """The ranks of graphs whose edges fit a task, each graph a sparse iteration over arrays."""
+
+    def walk(table: pa.Table) -> pa.Table:
+        m = table.num_rows
+        ends = pa.chunked_array(table["src"].chunks + table["dst"].chunks).combine_chunks()
+        ends = ends.dictionary_encode(null_encoding="encode")
+        codes, n = ends.indices.to_numpy(), len(ends.dictionary)
+        src, dst = codes[:m], codes[m:]
+        weight = np.nan_to_num(table["weight"].cast(pa.float64()).to_numpy()) if weighted else np.ones(m)
+        degree = np.bincount(src, weight, n)
+        share = np.divide(weight, degree[src], out=np.zeros(m), where=degree[src] > 0)
+        dangling = np.bincount(src, minlength=n) == 0
+        rank = np.full(n, 1.0 / n)
+        for _ in range(iterations):
+            inflow = np.bincount(dst, rank[src] * share, n)
+            rank = alpha / n + (1 - alpha) * (rank[dangling].sum() / n + inflow)
+        name = pa.repeat(table[group][0], n)
+        return pa.table({group: name, "id": ends.dictionary, "pagerank": pa.array(rank)})
+
+    kinds = edges.select(group, F.col("src").alias("id"), F.lit(0.0).alias("pagerank")).schema
+    return edges.select(group, "src", "dst", "weight").groupBy(group).applyInArrow(walk, kinds)
+
+
+def _walks_by(
+    edges: DataFrame, group: str, alpha: float, iterations: int, weighted: bool, edges_per_task: int, cut_every: int
+) -> DataFrame:
+    """The ranks of graphs of any size.
+
     Nodes are named by (group, node), so that all graphs walk together and a step is one join and
     one sum whatever their number. Number of nodes, dangling mass and the coefficients that follow
     from them belong to each graph; they are one row a graph and never leave the executors.

@@ -205,13 +205,19 @@ def test_ranks_of_many_graphs_at_once_equal_each_alone(spark):
         nodes = [f"n{i}" for i in range(3 + 2 * g)]
         rows += [(g if g else None, draw.choice(nodes), draw.choice(nodes), draw.randint(1, 9)) for _ in range(4 * len(nodes))]
     edges = spark.createDataFrame(rows, "g int, src string, dst string, weight bigint").groupBy("g", "src", "dst").agg(F.sum("weight").alias("weight"))
-    found = {(r["g"], r["id"]): r["pagerank"] for r in graph.pagerank_by(edges, "g", iterations=7, edges_per_task=5).collect()}
+    # every graph in a task, every graph walked, and some of each
+    found, walked, mixed = (
+        {(r["g"], r["id"]): r["pagerank"] for r in graph.pagerank_by(edges, "g", iterations=7, edges_per_task=5, edges_per_graph=n).collect()}
+        for n in (1000, 0, 20)
+    )
     expected = {}
     for g in {r[0] for r in rows}:
         own = edges.filter(F.col("g").eqNullSafe(F.lit(g))).drop("g")
         expected |= {(g, r["id"]): r["pagerank"] for r in graph.pagerank(own, iterations=7).collect()}
     assert found.keys() == expected.keys()
-    assert all(found[k] == pytest.approx(expected[k], abs=1e-12) for k in found)
+    for ranks in (found, walked, mixed):
+        assert ranks.keys() == expected.keys()
+        assert all(ranks[k] == pytest.approx(expected[k], abs=1e-12) for k in ranks)
     assert sum(found.values()) == pytest.approx(5)
 
 
