@@ -2,18 +2,19 @@
 
 Tokens are UTF-16 units of the lower-cased text with white space as one blank, between start marks
 and an end mark; a gram of up to four units is one 64-bit number, so prefixes and suffixes are
-shifts and masks. All trusted text is counted. Counts, contexts and continuations are tables keyed
+shifts and masks. All trusted text is counted but for a tenth, which the thresholds need. Counts, contexts and continuations are tables keyed
 by gram, joined order by order, so the model is built in shards whatever its size.
 
 A document's perplexity sums the log-probabilities of all its positions. A model of at most
 ``BROADCAST_GRAMS`` grams is sent to the tasks; a larger one is joined with the documents' grams.
 Documents are kept whose perplexity lies between two quantiles of the trusted documents of their
-language.
+language, the upper one of those that the model did not count.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ from delaywright.runtime import spool
 
 ORDER = 4
 LOW, HIGH = 0.001, 0.99
+#: One in so many trusted documents is not counted; the upper threshold comes from these.
+LEFT_OUT = 10
 #: Up to so many grams (20 bytes each) are broadcast.
 BROADCAST_GRAMS = 8_000_000
 #: Up to so many ids of trusted documents (8 bytes each) are broadcast.
@@ -235,6 +238,18 @@ class Lookup:
         return total
 
 
+_LOOKUPS: dict[str, Lookup] = {}
+
+
+def _kept_lookup(sent: tuple) -> Lookup:
+    """The table of a model, built once in each Python worker and kept for its next tasks."""
+    name, *parts = sent
+    if name not in _LOOKUPS:
+        _LOOKUPS.clear()
+        _LOOKUPS[name] = Lookup(*parts)
+    return _LOOKUPS[name]
+
+
 def perplexities(docs: DataFrame, model: Model, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
     """``doc_id, lang, n_tokens, perplexity`` of every row of ``docs`` (``doc_id, text, lang``).
 
@@ -251,10 +266,10 @@ def perplexities(docs: DataFrame, model: Model, broadcast_grams: int = BROADCAST
         table["logp"].to_numpy(),
         table["backoff"].to_numpy(),
     )
-    sent = docs.sparkSession.sparkContext.broadcast((*parts, model.unseen))
+    sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, *parts, model.unseen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(*sent.value)
+        lookup = _kept_lookup(sent.value)
         for batch in batches:
             keys, langs, counts, values = [], [], [], []
             for part in _slices(batch, "text", "doc_id", "lang"):
@@ -315,21 +330,33 @@ def _by_join(docs: DataFrame, model: Model) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     """``doc_id, lang, n_tokens, perplexity, lowest, highest, kept`` of every row of ``docs``.
 
-    Trusted documents are those that ``labels`` (``doc_id, quality``) gives quality 1; the model
-    counts all of them, and ``lowest`` and ``highest`` are the ``low`` and ``high`` quantiles of
-    their perplexities in the document's language, or over all languages where it has none. Without
-    trusted documents every document is kept. Edge cases as in :func:`perplexities`.
+    Trusted documents are those that ``labels`` (``doc_id, quality``) gives quality 1. A hash of the
+    id leaves one in ``LEFT_OUT`` of them out of the model, which counts all others. ``lowest`` is the
+    ``low`` quantile of the trusted documents' perplexities; ``highest`` is the ``high`` quantile of
+    those left out (what a model has counted looks more familiar than new text of its kind), or of
+    all trusted documents where that is more. Both are those of the document's language, or over all
+    languages where it has none. Without trusted documents every document is kept. Edge cases as in
+    :func:`perplexities`.
     """
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    good = spool(good, "trusted")
+    left_out = F.pmod(F.xxhash64("doc_id"), F.lit(LEFT_OUT)) == 0
+    good = spool(good.withColumn("left_out", left_out), "trusted")
     # Few ids go to the texts; with more of them the texts are joined by shuffle.
-    sent = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
-    model = train(_documents(docs).join(sent, "doc_id", "left_semi").select("text"))
+    few = good.count() <= BROADCAST_IDS
+
+    def sent(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if few else ids
+
+    model = train(_documents(docs).join(sent(good.filter("not left_out")), "doc_id", "left_semi").select("text"))
     found = spool(perplexities(docs, model), "perplexities")
-    bounds = F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 10_000).alias("bounds")
-    trusted = found.join(sent, "doc_id", "left_semi").select(F.col("lang").alias("_lang"), "perplexity")
+    trusted = found.join(sent(good), "doc_id").select(F.col("lang").alias("_lang"), "perplexity", "left_out")
+    ends = F.array(F.lit(low), F.lit(high))
+    every = F.percentile_approx("perplexity", ends, 10_000)
+    new = F.percentile_approx(F.when(F.col("left_out"), F.col("perplexity")), high, 10_000)
+    bounds = F.array(every[0], F.greatest(every[1], new)).alias("bounds")
     by_lang = trusted.groupBy("_lang").agg(bounds)
-    overall = trusted.agg(bounds).first()["bounds"] or [0.0, float("inf")]
+    overall = trusted.agg(bounds).first()["bounds"]
+    overall = [0.0, float("inf")] if None in overall else overall
     either = F.coalesce("bounds", F.array(*[F.lit(b) for b in overall]))
     return (
         found.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from delaywright.llm import quality
 
@@ -102,6 +103,23 @@ def test_classify(spark, make_docs):
     assert quality.classify(make_docs([]), labels).count() == 0
 
 
+def test_upper_threshold_comes_from_documents_left_out(spark, make_docs):
+    docs = make_docs([*enumerate(corpus(6, 300))])
+    labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    found = quality.classify(docs, labels)
+    left_out = F.pmod(F.xxhash64("doc_id"), F.lit(quality.LEFT_OUT)) == 0
+    counted = [r.text for r in docs.filter(~left_out).collect()]
+    assert 0 < len(counted) < 300
+    plain = plain_model(counted)
+    values = {r.doc_id: plain(r.text)[1] for r in docs.collect()}
+    new = sorted(values[r.doc_id] for r in docs.filter(left_out).collect())
+    every = sorted(values.values())
+    row = found.first()
+    at = {q: math.ceil(quality.HIGH * len(v)) - 1 for q, v in (("new", new), ("every", every))}
+    assert row.highest == pytest.approx(max(new[at["new"]], every[at["every"]]))
+    assert row.lowest == pytest.approx(every[0])
+
+
 def test_languages_have_their_own_thresholds(spark):
     rows = [(i, t, "a") for i, t in enumerate(corpus(5, 50))] + [(100 + i, f"zeta {i} eta theta" * 3, "b") for i in range(50)]
     rows += [(200, "the of and", None), (201, "the of and", "c")]
