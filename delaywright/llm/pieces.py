@@ -22,6 +22,8 @@ from delaywright.llm.frames import rows, texts
 
 MARK = "▁"
 TABLE_LIMIT = 500_000
+#: Characters of neighbouring texts that are looked up together.
+SLICE = 500_000
 _CHUNK = re.compile(f"[ {MARK}]+[^ {MARK}]*")
 
 
@@ -40,6 +42,8 @@ class PieceCoder:
         if p.encode("Ａ", out_type=str)[-1] in ("A", f"{MARK}A") or not any(map(p.is_byte, range(len(names)))):
             raise ValueError("the model must fall back to bytes and not normalise")
         self._decimal = [b"%d" % i for i in range(len(names))]
+        # Without one of these a chunk's pieces are its own substrings.
+        self._odd = frozenset(i for i in range(len(names)) if special[i] or p.is_byte(i))
         self._mark_id = p.piece_to_id(MARK)
         self._surface = [
             b"" if special[i] else bytes([int(n[3:-1], 16)]) if p.is_byte(i) else n.replace(MARK, " ").encode()
@@ -56,6 +60,9 @@ class PieceCoder:
         for chunk, ids in zip(chunks, self.processor.encode(chunks, num_threads=1), strict=True):
             ids = ids if chunk else [self._mark_id]
             joined = b",".join(map(self._decimal.__getitem__, ids))
+            if self._odd.isdisjoint(ids):
+                found.append(joined)
+                continue
             plain = b"".join(map(self._surface.__getitem__, ids)).decode("utf-8", "replace")
             found.append(joined if plain[1:] == chunk else (joined, plain))
         return found
@@ -68,22 +75,46 @@ class PieceCoder:
 
     def code(self, text: str) -> tuple[int, bytes, str]:
         """(number of ids, decimal ids joined by commas, decoded text)."""
-        if not text:
-            return 0, b"", ""
-        chunks = self.chunks(text)
-        found = self._table.values_of(chunks)
-        plain = text.replace(MARK, " ")
-        if tuple in set(map(type, found)):
-            plain = "".join(f[1] if type(f) is tuple else " " + c for c, f in zip(chunks, found, strict=True))[1:]
-            found = [f[0] if type(f) is tuple else f for f in found]
-        joined = b",".join(found)
-        return joined.count(b",") + 1, joined, plain
+        return self.code_all([text])[0]
+
+    def code_all(self, texts: list[str]) -> list[tuple[int, bytes, str]]:
+        """:meth:`code` of several texts; what the table lacks of all of them is segmented in one call."""
+        parts = [self.chunks(text) if text else [] for text in texts]
+        values = self._table.values_of([chunk for part in parts for chunk in part])
+        coded, at = [], 0
+        for text, chunks in zip(texts, parts, strict=True):
+            found = values[at : at + len(chunks)]
+            at += len(chunks)
+            if not found:
+                coded.append((0, b"", ""))
+                continue
+            plain = text.replace(MARK, " ")
+            if tuple in set(map(type, found)):
+                plain = "".join(f[1] if type(f) is tuple else " " + c for c, f in zip(chunks, found, strict=True))[1:]
+                found = [f[0] if type(f) is tuple else f for f in found]
+            joined = b",".join(found)
+            coded.append((joined.count(b",") + 1, joined, plain))
+        return coded
 
     def encode(self, text: str) -> list[int]:
         n, ids, _ = self.code(text)
         return [int(i) for i in ids.split(b",")] if n else []
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of neighbouring rows, up to ``SLICE`` characters or one text."""
+    keys, part, size = [], [], 0
+    for key, text in rows(iter([batch]), "doc_id", "text"):
+        if part and size + len(text) > SLICE:
+            yield keys, part
+            keys, part, size = [], [], 0
+        keys.append(key)
+        part.append(text)
+        size += len(text)
+    if part:
+        yield keys, part
+
+
 _CODERS: dict[tuple[str, int], PieceCoder] = {}
 
 
@@ -109,14 +140,11 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model_file, table_limit)
         for batch in batches:
-            found = []
-            for key, text in rows(iter([batch]), "doc_id", "text"):
-                n, joined, plain = coder.code(text)
-                found.append((key, n, [int(i) for i in joined.split(b",")] if ids and n else [] if ids else None, joined.decode(), plain))
-                if len(found) == 64:
-                    yield _batch(found)
-                    found = []
-            if found:
+            for keys, part in _slices(batch):
+                found = []
+                for key, (n, joined, plain) in zip(keys, coder.code_all(part), strict=True):
+                    listed = [int(i) for i in joined.split(b",")] if ids and n else [] if ids else None
+                    found.append((key, n, listed, joined.decode(), plain))
                 yield _batch(found)
 
     return texts(docs).mapInArrow(
@@ -143,12 +171,12 @@ def encode_digests(docs: DataFrame, model_file: str, table_limit: int = TABLE_LI
         coder = _coder(model_file, table_limit)
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for key, text in rows(iter([batch]), "doc_id", "text"):
-                n, joined, plain = coder.code(text)
-                out[0].append(key)
-                out[1].append(n)
-                out[2].append(hashlib.sha256(joined).hexdigest())
-                out[3].append(hashlib.sha256(plain.encode("utf-8", "surrogatepass")).hexdigest())
+            for keys, part in _slices(batch):
+                for key, (n, joined, plain) in zip(keys, coder.code_all(part), strict=True):
+                    out[0].append(key)
+                    out[1].append(n)
+                    out[2].append(hashlib.sha256(joined).hexdigest())
+                    out[3].append(hashlib.sha256(plain.encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2]), pa.array(out[3])],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
