@@ -26,13 +26,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Slot:
+    """A number, step by step as the stages compute it (``value``), and as ``x * factor + offset``,
+    where x is ``base`` itself or, with ``category``, 1 in the rows whose ``base`` is that number and
+    0 in the others."""
+
+    value: Column
+    base: Column
+    category: int | None = None
+    factor: float = 1.0
+    offset: float = 0.0
+
+    @classmethod
+    def plain(cls, column: Column) -> Slot:
+        return cls(column, column)
+
+    def scaled(self, value: Column, factor: float, offset: float) -> Slot:
+        return Slot(value, self.base, self.category, self.factor * factor, self.offset * factor + offset)
+
+
 @dataclass
 class CompiledModel:
     """``slots`` are the parts of every vector column made so far, ``staged`` the category indexes
     that are computed once a row, ``known`` what a row must meet to be scored."""
 
     staged: dict[str, Column] = field(default_factory=dict)
-    slots: dict[str, list[Column]] = field(default_factory=dict)
+    slots: dict[str, list[Slot]] = field(default_factory=dict)
     known: list[Column] = field(default_factory=list)
     prediction: Column | None = None
 
@@ -43,9 +63,12 @@ class CompiledModel:
             staged = staged.filter(reduce(lambda a, b: a & b, self.known))
         return staged.select(*[F.col(c) for c in df.columns], self.prediction.alias(output))
 
-    def values(self, column: str) -> list[Column]:
+    def parts(self, column: str) -> list[Slot]:
         """A vector's slots, or the one slot of a plain column."""
-        return self.slots.get(column) or [F.col(column).cast("double")]
+        return self.slots.get(column) or [Slot.plain(F.col(column).cast("double"))]
+
+    def values(self, column: str) -> list[Column]:
+        return [slot.value for slot in self.parts(column)]
 
 
 def compile_model(model: PipelineModel) -> CompiledModel:
@@ -64,13 +87,13 @@ def _index(compiled: CompiledModel, stage: StringIndexerModel) -> None:
         place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(source).cast("string"))
         compiled.staged[f"_{target}"] = place.cast("int")
         compiled.known.append(F.coalesce(F.col(f"_{target}") > 0, F.lit(False)))
-        compiled.slots[target] = [(F.col(f"_{target}") - 1).cast("double")]
+        compiled.slots[target] = [Slot.plain((F.col(f"_{target}") - 1).cast("double"))]
 
 
 def _encode(compiled: CompiledModel, stage: OneHotEncoderModel) -> None:
     for source, target, size in zip(stage.getInputCols(), stage.getOutputCols(), stage.categorySizes, strict=True):
         (index,) = compiled.values(source)
-        compiled.slots[target] = [(index == i).cast("double") for i in range(size - stage.getDropLast())]
+        compiled.slots[target] = [Slot((index == i).cast("double"), index, i) for i in range(size - stage.getDropLast())]
 
 
 def _assemble(compiled: CompiledModel, stage: VectorAssembler) -> None:
@@ -78,23 +101,29 @@ def _assemble(compiled: CompiledModel, stage: VectorAssembler) -> None:
         if column not in compiled.slots:
             value = F.col(column).cast("double")
             compiled.known.append(value.isNotNull() & ~F.isnan(value))
-    compiled.slots[stage.getOutputCol()] = [v for c in stage.getInputCols() for v in compiled.values(c)]
+    compiled.slots[stage.getOutputCol()] = [v for c in stage.getInputCols() for v in compiled.parts(c)]
 
 
 def _min_max(compiled: CompiledModel, stage: MinMaxScalerModel) -> None:
     low, high = stage.getMin(), stage.getMax()
     scaled = []
-    for value, least, most in zip(compiled.values(stage.getInputCol()), stage.originalMin.toArray(), stage.originalMax.toArray(), strict=True):
-        even = F.lit((low + high) / 2)
-        scaled.append(even if most == least else (value - float(least)) * float((high - low) / (most - least)) + float(low))
+    for slot, least, most in zip(compiled.parts(stage.getInputCol()), stage.originalMin.toArray(), stage.originalMax.toArray(), strict=True):
+        if most == least:
+            even = (low + high) / 2
+            scaled.append(slot.scaled(F.lit(even), 0.0, even))
+        else:
+            rate = float((high - low) / (most - least))
+            value = (slot.value - float(least)) * rate + float(low)
+            scaled.append(slot.scaled(value, rate, float(low - least * rate)))
     compiled.slots[stage.getOutputCol()] = scaled
 
 
 def _standard(compiled: CompiledModel, stage: StandardScalerModel) -> None:
     scaled = []
-    for value, mean, std in zip(compiled.values(stage.getInputCol()), stage.mean.toArray(), stage.std.toArray(), strict=True):
-        centred = value - float(mean) if stage.getWithMean() else value
-        scaled.append(centred * float(1 / std if std else 0.0) if stage.getWithStd() else centred)
+    for slot, mean, std in zip(compiled.parts(stage.getInputCol()), stage.mean.toArray(), stage.std.toArray(), strict=True):
+        shift = float(mean) if stage.getWithMean() else 0.0
+        rate = (float(1 / std) if std else 0.0) if stage.getWithStd() else 1.0
+        scaled.append(slot.scaled((slot.value - shift) * rate, rate, -shift * rate))
     compiled.slots[stage.getOutputCol()] = scaled
 
 
@@ -106,9 +135,25 @@ def _total(terms: list[Column]) -> Column:
 
 
 def _linear(compiled: CompiledModel, stage: LinearRegressionModel) -> None:
-    weights = stage.coefficients.toArray().tolist()
-    used = [v * w for v, w in zip(compiled.values(stage.getFeaturesCol()), weights, strict=True) if w]
-    compiled.prediction = _total([*used, F.lit(float(stage.intercept))])
+    compiled.prediction = _weighted_sum(compiled.parts(stage.getFeaturesCol()), stage.coefficients.toArray().tolist(), float(stage.intercept))
+
+
+def _weighted_sum(slots: list[Slot], weights: list[float], constant: float) -> Column:
+    """The weighted sum of the slots. Those of one category are a look-up in an array of literals:
+    a term for each would be more generated code than the JVM compiles."""
+    terms: list[Column] = []
+    looked_up: dict[str, tuple[Column, dict[int, float]]] = {}
+    for slot, weight in zip(slots, weights, strict=True):
+        constant += slot.offset * weight
+        rate = slot.factor * weight
+        if slot.category is not None:
+            looked_up.setdefault(str(slot.base), (slot.base, {}))[1][slot.category] = rate
+        elif rate:
+            terms.append(slot.base * rate)
+    for base, rates in looked_up.values():
+        known = F.array(*[F.lit(rates.get(i, 0.0)) for i in range(max(rates) + 1)])
+        terms.append(F.coalesce(F.get(known, base.cast("int")), F.lit(0.0)))
+    return _total([*terms, F.lit(constant)])
 
 
 def _boosted(compiled: CompiledModel, stage: GBTRegressionModel) -> None:
@@ -131,15 +176,15 @@ def _tree(node, values: list[Column]) -> Column:
 
 def _perceptron(compiled: CompiledModel, stage: MultilayerPerceptronClassificationModel) -> None:
     layers, weights = stage.getLayers(), stage.weights.toArray().tolist()
-    values, at = compiled.values(stage.getFeaturesCol()), 0
+    slots, at = compiled.parts(stage.getFeaturesCol()), 0
     for i, (width, size) in enumerate(zip(layers[:-1], layers[1:], strict=True)):
         inner = weights[at : at + width * size]
         bias = weights[at + width * size : at + width * size + size]
-        sums = [_total([*[values[k] * inner[k * size + j] for k in range(width)], F.lit(bias[j])]) for j in range(size)]
+        sums = [_weighted_sum(slots, [inner[k * size + j] for k in range(width)], bias[j]) for j in range(size)]
         # One layer is one staged array, or every layer would repeat the ones before it.
         active = F.array(*sums) if i == len(layers) - 2 else F.array(*[1 / (1 + F.exp(-s)) for s in sums])
         compiled.staged[f"_layer{i}"] = active
-        values = [F.col(f"_layer{i}")[j] for j in range(size)]
+        slots = [Slot.plain(F.col(f"_layer{i}")[j]) for j in range(size)]
         at += width * size + size
     # The class of the greatest output; of equal ones the first.
     last = F.col(f"_layer{len(layers) - 2}")

@@ -63,3 +63,12 @@ def test_other_stages_are_an_error(rows):
     model = Pipeline(stages=[Bucketizer(splits=[-1e9, 0.0, 1e9], inputCol="x", outputCol="b")]).fit(rows)
     with pytest.raises(TypeError):
         compiled.compile_model(model)
+
+
+def test_categories_of_a_linear_model_are_looked_up(rows):
+    # forty categories in one column: a term for each would be too much generated code
+    many = rows.withColumn("kind", (F.col("id") % 40).cast("string"))
+    model = models.linear_pipeline(FeatureSpec(("kind",), ("x",), True), "target").fit(many)
+    assert apart(model, unknown(many)) < 1e-9
+    text = str(compiled.compile_model(model).prediction)
+    assert text.count("_kind_indexed") <= 2
