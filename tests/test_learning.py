@@ -118,3 +118,11 @@ def test_training_frames_are_not_over_partitioned(rows):
     assert sized.rdd.getNumPartitions() == 1 and sized.count() == rows.count()
     kept = ft.cache_for_training(rows.repartition(3), rows_per_partition=100)
     assert kept.rdd.getNumPartitions() == 3
+
+
+def test_one_huge_partition_is_dealt_out(spark):
+    # 4,999 of 5,000 rows in one of 60 partitions, as one key of a join leaves them
+    owner = F.when(F.col("id") < 4_999, 0).otherwise(F.col("id"))
+    held = ft.cache_for_training(spark.range(5_000).repartition(60, owner), rows_per_partition=100)
+    sizes = [r["count"] for r in held.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 5_000 and max(sizes) <= 400
