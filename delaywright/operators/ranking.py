@@ -108,27 +108,51 @@ def rank_columns(rows: DataFrame, columns: list[Column], rows_per_range: int = R
     return Ranking(placed.select("t", "v", "n", (rank - (F.col("_all") + 1) / 2.0).alias("centred")), values)
 
 
-def attach_ranks(rows: DataFrame, columns: list[Column], ranking: Ranking, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def attach_ranks(
+    rows: DataFrame,
+    columns: list[Column],
+    ranking: Ranking,
+    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_values: int | None = None,
+) -> DataFrame:
     """One column ``r0, r1, …`` with the centred rank for each of ``columns``; null values have none.
 
-    Few distinct values are broadcast. Many are joined in long form, once for all columns; values
+    The columns of few distinct values are broadcast, up to ``broadcast_values`` of them in all. The
+    others are joined in long form, once for all of them, and carry the ranks found so far; values
     that own many rows are spread over salts."""
-    if ranking.values <= BROADCAST_VALUES:
-        table = spool(ranking.table, "ranks")
-        out = rows.select(*[c.cast("double").alias(f"v{t}") for t, c in enumerate(columns)])
-        for t in range(len(columns)):
-            own = table.filter(F.col("t") == t).select(F.col("v").alias(f"_v{t}"), F.col("centred").alias(f"r{t}"))
-            out = out.join(F.broadcast(own), out[f"v{t}"] == own[f"_v{t}"], "left").drop(f"_v{t}")
-        return out.select(*[f"r{t}" for t in range(len(columns))])
+    limit = BROADCAST_VALUES if broadcast_values is None else broadcast_values
+    table = spool(ranking.table, "ranks")
+    sizes = {r["t"]: r["count"] for r in table.groupBy("t").count().collect()}
+    few, held = [], 0
+    for t in sorted(range(len(columns)), key=lambda t: sizes.get(t, 0)):
+        held += sizes.get(t, 0)
+        if held <= limit:
+            few.append(t)
+    many = [t for t in range(len(columns)) if t not in few]
     narrow = rows.select(*[c.cast("double").alias(f"v{t}") for t, c in enumerate(columns)])
-    # Written once: the rows' numbers must be the same whenever a part is computed again.
-    numbered = spool(narrow.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    entries = [F.struct(F.lit(t).alias("t"), F.col(f"v{t}").alias("v")) for t in range(len(columns))]
-    long = numbered.select("_row", F.inline(F.array(*entries))).filter("v IS NOT NULL")
-    ranked = attach(long, ranking.table, ["t", "v"], "n", ["_row"], rows_per_task)
+    if many:
+        # Written once: the rows' numbers must be the same whenever a part is computed again.
+        narrow = spool(narrow.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    out = narrow
+    for t in few:
+        own = table.filter(F.col("t") == t).select(F.col("v").alias(f"_v{t}"), F.col("centred").alias(f"r{t}"))
+        out = out.join(F.broadcast(own), out[f"v{t}"] == own[f"_v{t}"], "left").drop(f"_v{t}")
+    found = [f"r{t}" for t in range(len(columns))]
+    if not many:
+        return out.select(*found)
+    carried = [f"r{t}" for t in few]
+    entries = [F.struct(F.lit(t).alias("t"), F.col(f"v{t}").alias("v")) for t in many]
+    long = out.select("_row", *carried, F.inline(F.array(*entries))).filter("v IS NOT NULL")
+    large = table.filter(F.col("t").isin(many))
+    ranked = attach(long, large, ["t", "v"], "n", ["_row"], rows_per_task).select("_row", "t", "centred", *carried)
+    if few:
+        # Rows without any value in the large columns.
+        empty = F.coalesce(*[F.col(f"v{t}") for t in many]).isNull()
+        ranked = ranked.unionByName(out.filter(empty).select("_row", *carried), allowMissingColumns=True)
     return ranked.groupBy("_row").agg(
-        *[F.max(F.when(F.col("t") == t, F.col("centred"))).alias(f"r{t}") for t in range(len(columns))]
-    ).drop("_row")
+        *[F.max(F.when(F.col("t") == t, F.col("centred"))).alias(f"r{t}") for t in many],
+        *[F.max(c).alias(c) for c in carried],
+    ).select(*found)
 
 
 def spearman_pairs(
