@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaywright.operators.skew import ROWS_PER_TASK, OrderedScan, Total
+from delaywright.runtime import spool
 
 EDGES_PER_LINE = 100_000
+#: Links that one task sorts: half a million of them take some 230 MB.
+LINKS_PER_TASK = 500_000
 
 
 def neighbour_map(text: Column) -> Column:
@@ -85,7 +90,13 @@ def expand_multiplicity(
     heavy link makes a long list. A node without links has one empty part.
     """
     links = explode_edges(records).filter("weight > 0").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
-    ending = OrderedScan(["src"], ["dst"], rows_per_task).run(links, _ends=Total("weight"))
+    # Written once: they are measured and scanned, in as many tasks as their rows need.
+    links = spool(links, "links")
+    tasks = math.ceil(links.count() / LINKS_PER_TASK)
+    scan = OrderedScan(["src"], ["dst"], rows_per_task)
+    bounds = scan.measure(links)
+    dealt = links if bounds is not None or tasks <= 1 else links.repartition(tasks, "src")
+    ending = scan.run_measured(dealt, bounds, _ends=Total("weight"))
     start, end = F.col("_ends") - F.col("weight"), F.col("_ends")
     first, last = F.expr(f"(_ends - weight) div {per_part}"), F.expr(f"(_ends - 1) div {per_part}")
     parts = ending.select("src", "dst", start.alias("_starts"), end.alias("_ends"), F.explode(F.sequence(first, last)).alias("part"))
