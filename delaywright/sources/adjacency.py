@@ -89,7 +89,7 @@ def expand_multiplicity(
     running sums of their weights, and one huge weight by itself, so neither a busy node nor a
     heavy link makes a long list. A node without links has one empty part.
     """
-    links = explode_edges(records).filter("weight > 0").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    links = explode_edges(records).filter("weight > 0")
     # Written once: they are measured and scanned, in as many tasks as their rows need.
     links = spool(links, "links")
     tasks = math.ceil(links.count() / LINKS_PER_TASK)
